@@ -5,22 +5,94 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import decontaminate, jaccard_join, langid, line_dedup, lm_score, packing, quality, token_counts, topk, toxicity
 from .common import prepare, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "lang", "log_perplexity", "keep")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    docs = docs.withColumn("held_out", held_out)
+    return langid.identify(docs, docs.where(~F.col("held_out")).select("text", "lang"), keep=("doc_id", "held_out"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(prepare(spark), sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(prepare(spark), sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(prepare(spark), sf_dir, "embeddings"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard_join.similar_groups(table(prepare(spark), sf_dir, "documents"), k=3, percent=90)
+    return groups.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    held_out = lambda: F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    learn = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+    return toxicity.score_toxicity(docs.withColumn("held_out", held_out()), learn, keep=("doc_id", "held_out"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op5_token_counts)}
+    found = (op1_line_dedup, op2_quality_classifier, op3_packing, op4_language_id, op5_token_counts, op6_lm_scoring, op7_decontamination, op8_exact_topk, op9_jaccard_join, op10_toxicity)
+    return {f.__name__: f for f in found}
+
+
+LINE_DEDUP = """
+with lines as (select source, unnest(list_distinct(list_transform(string_split(text, chr(10)), x -> trim(x)))) as line from documents),
+gone as (select coalesce(list(line), []) as all_gone from (select line from lines where length(line) >= 12 group by line having count(distinct source) >= 8)),
+marked as (select doc_id, text, string_split(text, chr(10)) as parts, all_gone from documents, gone)
+select doc_id,
+  case when text is null then null else array_to_string(list_filter(parts, x -> not list_contains(all_gone, trim(x))), chr(10)) end as text,
+  coalesce(len(parts), 0)::bigint as n_lines,
+  coalesce(len(list_filter(parts, x -> list_contains(all_gone, trim(x)))), 0)::bigint as n_removed
+from marked
+"""
+
+WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+
+DECONTAMINATION = f"""
+with d as (select doc_id, {WORDS} as w from documents), b as (select item_id, {WORDS} as w from benchmark where text is not null),
+q as (select item_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), i -> array_to_string(w[i:i + 4], ' ')))) as s, len(w) as n from b where len(w) > 0),
+sizes as (select item_id, count(*) as n from q group by item_id),
+p as (select doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))) as s from d where len(w) >= 5)
+select doc_id, item_id, count(*)::double / any_value(sizes.n) as containment
+from p join q using (s) join sizes using (item_id) group by doc_id, item_id having count(*) >= 0.8 * any_value(sizes.n)
+"""
+
+TOPK = """
+with v as (select distinct vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": LINE_DEDUP, "op7_decontamination": DECONTAMINATION, "op8_exact_topk": TOPK}
