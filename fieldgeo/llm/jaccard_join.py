@@ -78,8 +78,9 @@ def shingle_sets(batches_texts: list[str], k: int, hashes: WordHashes) -> list[n
 
 def class_of(tokens: np.ndarray) -> int:
     """64-bit id of a shingle set; null ids are left to empty sets."""
-    both = mix(tokens).sum(dtype=np.uint64) ^ (mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return int(mix(np.array([both ^ np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
+    sums = [int(mix(tokens ^ np.uint64(seed)).sum(dtype=np.uint64)) for seed in (0, 0x5851F42D4C957F2D)]
+    both = (sums[0] ^ (sums[1] * 0x9E3779B97F4A7C15 + len(tokens))) & (2**64 - 1)
+    return int(mix(np.array([both], np.uint64)).view(np.int64)[0])
 
 
 class Node:
@@ -209,7 +210,7 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     i, other = F.col("chunk"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     tasks = sets.select("class_id", "tokens", "area", "chunk", other).withColumns({"low": F.least(i, F.col("other")), "high": F.greatest(i, F.col("other"))})
 
-    def verify(key, rows: pa.Table) -> pa.Table:
+    def verify(key, rows):
         own = {"a": [], "b": []}
         if rows.num_rows > 1:
             names, sets = rows.column("class_id").to_pylist(), [np.frombuffer(x, np.uint64) for x in rows.column("tokens").to_pylist()]

@@ -187,18 +187,18 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     dealt = chosen.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     grouped = dealt.groupBy("block")
 
-    def ask_pairs(key, rows: pa.Table) -> pa.Table:
+    def ask_pairs(key, rows):
         own = Block(rows)
         return asked(PAIRS, key[0].as_py(), own.pair_keys, [own.pair_counts], shards)
 
-    def answer_pairs(key, rows: pa.Table) -> pa.Table:
+    def answer_pairs(key, rows):
         who, place, counts, totals = merged(rows, PAIRS)
         owner = np.zeros(len(place), np.int64)
         trained = np.flatnonzero(counts[0] > 0)
         owner[trained[np.unique(place[trained], return_index=True)[1]]] = 1
         return table_of(answers(PAIRS, key[0].as_py(), who, np.stack([totals[0][place], owner])), ANSWER)
 
-    def ask_words(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def ask_words(key, left, right):
         if not left.num_rows:
             return table_of([], ASK)
         own = Block(left)
@@ -207,13 +207,13 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         ones, twos = (int((owned * (totals == n)).sum()) for n in (1, 2))
         return asked(WORDS, key[0].as_py(), own.hashes, [own.counts, types], shards, ones, twos)
 
-    def answer_words(key, rows: pa.Table) -> pa.Table:
+    def answer_words(key, rows):
         who, place, _, totals = merged(rows, WORDS)
         c = totals[0]
         sums = [int(c.sum()), *(int(x.sum()) for x in (c > 0, c == 1, c == 2)), *(sum(rows.column(x).to_pylist()) for x in ("ones", "twos"))]
         return table_of([*answers(WORDS, key[0].as_py(), who, totals[:, place]), (TOTALS, key[0].as_py(), -1, b"", *sums)], ANSWER)
 
-    def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def score(key, left, right):
         out = []
         if left.num_rows:
             own = Block(left)
@@ -228,7 +228,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     pairs = grouped.applyInArrow(ask_pairs, ASK).groupBy("shard").applyInArrow(answer_pairs, ANSWER)
     words = grouped.cogroup(pairs.groupBy("block")).applyInArrow(ask_words, ASK).groupBy("shard").applyInArrow(answer_words, ANSWER)
     sums = words.where(F.col("kind") == TOTALS).agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in SUMS])
-    sums = sums.select(F.lit(TOTALS).alias("kind"), F.lit(0).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("int").alias("block"), F.lit(b"").alias("counts"), *SUMS)  # one row for each block
+    sums = sums.select(F.lit(TOTALS).alias("kind"), F.lit(0).alias("shard"), F.explode(F.sequence(F.lit(0).cast("int"), F.lit(blocks - 1).cast("int"))).alias("block"), F.lit(b"").alias("counts"), *SUMS)  # one row for each block
     told = pairs.unionAll(words.where(F.col("kind") == WORDS)).unionAll(sums)
     return grouped.cogroup(told.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

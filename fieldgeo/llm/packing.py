@@ -223,7 +223,7 @@ def slots(patterns: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, i
     return out
 
 
-def ranked(df: DataFrame, group: str, order: list[str], rows_each: int = 20_000) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list[str], rows_each: int = 5_000) -> DataFrame:
     """rank (from 0) of every row within group, dense and without putting a group into one task.
 
     Rows are dealt to sub-groups by a hash; sub-groups get first ranks from a running sum over their counts, whose table

@@ -65,13 +65,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 LINE_DEDUP = """
-with lines as (select source, unnest(list_distinct(list_transform(string_split(text, chr(10)), x -> trim(x)))) as line from documents),
+with lines as (select source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x)))) as line from documents),
 gone as (select coalesce(list(line), []) as all_gone from (select line from lines where length(line) >= 12 group by line having count(distinct source) >= 8)),
 marked as (select doc_id, text, string_split(text, chr(10)) as parts, all_gone from documents, gone)
 select doc_id,
-  case when text is null then null else array_to_string(list_filter(parts, x -> not list_contains(all_gone, trim(x))), chr(10)) end as text,
+  case when text is null then null else array_to_string(list_filter(parts, lambda x: not list_contains(all_gone, trim(x))), chr(10)) end as text,
   coalesce(len(parts), 0)::bigint as n_lines,
-  coalesce(len(list_filter(parts, x -> list_contains(all_gone, trim(x)))), 0)::bigint as n_removed
+  coalesce(len(list_filter(parts, lambda x: list_contains(all_gone, trim(x)))), 0)::bigint as n_removed
 from marked
 """
 
@@ -79,16 +79,16 @@ WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 
 DECONTAMINATION = f"""
 with d as (select doc_id, {WORDS} as w from documents), b as (select item_id, {WORDS} as w from benchmark where text is not null),
-q as (select item_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), i -> array_to_string(w[i:i + 4], ' ')))) as s, len(w) as n from b where len(w) > 0),
+q as (select item_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')))) as s, len(w) as n from b where len(w) > 0),
 sizes as (select item_id, count(*) as n from q group by item_id),
-p as (select doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))) as s from d where len(w) >= 5)
+p as (select doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) as s from d where len(w) >= 5)
 select doc_id, item_id, count(*)::double / any_value(sizes.n) as containment
 from p join q using (s) join sizes using (item_id) group by doc_id, item_id having count(*) >= 0.8 * any_value(sizes.n)
 """
 
 TOPK = """
-with v as (select distinct vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v from embeddings
-  where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
 select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
 """

@@ -93,7 +93,7 @@ def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int) -> DataF
 
 
 def _search(shards: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key, left, right):
         found: list[tuple[int, int, int]] = []
         if left.num_rows and right.num_rows:
             dim = key[1].as_py()
