@@ -99,13 +99,14 @@ def _search(shards: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             dim = key[1].as_py()
             column = lambda t, c: t.column(c).combine_chunks()
             tree = Tree(column(left, "vec_id").to_numpy(), _matrix(column(left, "v"), dim))
-            floors = column(right, "floor").to_numpy(zero_copy_only=False)
-            for own, query, floor in zip(column(right, "vec_id").to_pylist(), _matrix(column(right, "v"), dim), floors, strict=True):
+            floors = column(right, "q_floor").to_numpy(zero_copy_only=False)
+            for own, query, floor in zip(column(right, "q_vec_id").to_pylist(), _matrix(column(right, "q_v"), dim), floors, strict=True):
                 found += [(own, i, s) for s, i in tree.search(query, own, k, -np.inf if np.isnan(floor) else floor)]
         q, i, s = zip(*found, strict=True) if found else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.int64())})
 
-    return shards.groupBy("shard", "dim").cogroup(queries.groupBy("shard", "dim")).applyInArrow(run, RESULT)
+    asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("shard", "dim", "vec_id", "v", "floor")])  # names of their own, as both come from one table
+    return shards.groupBy("shard", "dim").cogroup(asked.groupBy("q_shard", "q_dim")).applyInArrow(run, RESULT)
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector: str = "embedding", scale: int = 64, shard_rows: int = 4096) -> DataFrame:
@@ -122,7 +123,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
     q = v.where(F.col("vec_id") % every == 0)
     home = _search(v, q.withColumn("floor", F.lit(None).cast("double")), k)
     kth = home.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
-    away = q.join(kth, q["vec_id"] == kth["query_id"], "left").select("vec_id", "v", "dim", "floor", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to"), "shard").where("`to` <> shard").withColumn("shard", F.col("to")).drop("to")
+    away = q.join(kth, F.col("vec_id") == kth["query_id"], "left").select("vec_id", "v", "dim", "floor", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("to"), "shard").where("`to` <> shard").withColumn("shard", F.col("to")).drop("to")
     both = home.unionAll(_search(v, away, k)) if shards > 1 else home
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return both.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
