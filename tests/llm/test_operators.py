@@ -286,12 +286,11 @@ def test_quality(spark, sf, docs, edges, nothing):
             key = quality.keys_of(data, quality.ORDER)[len(data) - 1]
             total, n = 0.0, quality.ORDER
             while n:
-                at, found = own.find(n, np.array([(key & ((1 << (8 * n)) - 1)) | (n << 56)]))
+                p, found = own.find(own.grams[n], np.array([(key & ((1 << (8 * n)) - 1)) | (n << 56)]))
                 if found[0]:
-                    total += own.levels[n][1][at[0]]
+                    total += p[0]
                     break
-                at, found = own.find(n - 1, np.array([((key >> 8) & ((1 << (8 * (n - 1))) - 1)) | ((n - 1) << 56)]))
-                total += own.levels[n - 1][2][at[0]] if found[0] else 0.0
+                total += own.find(own.contexts[n - 1], np.array([((key >> 8) & ((1 << (8 * (n - 1))) - 1)) | ((n - 1) << 56)]))[0].sum()
                 n -= 1
             parts.append(math.exp(total - (0 if n else math.log(256))))
         assert abs(sum(parts) - 1) < 1e-6
