@@ -16,7 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,7 +158,7 @@ def spanning_links(one: Chunk, two: Chunk, percent: int) -> list[tuple[int, int]
     return out
 
 
-def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 128, chunk_tokens: int = 1_000_000) -> DataFrame:
+def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 512, chunk_tokens: int = 500_000) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id, n_linked) for every row of docs; percent is the Jaccard threshold in hundredths.
 
     class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included. Rows with
@@ -187,9 +187,9 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(names))], names=["sign", "class_id"])
 
     slim = materialize(chosen.mapInArrow(describe, "doc_id long, n_shingles long, class_id long"), "slim")
-    signed = chosen.mapInArrow(sign, "sign long, class_id long").repartition("sign")
-    shared = signed.groupBy("sign").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low <> high")
-    stars = signed.join(shared, "sign").where("class_id <> low").select(F.col("low").alias("a"), F.col("class_id").alias("b")).distinct()
+    signed = chosen.mapInArrow(sign, "sign long, class_id long")
+    low = F.first("class_id").over(Window.partitionBy("sign").orderBy("class_id"))
+    stars = signed.withColumn("low", low).where("class_id <> low").select(F.col("low").alias("a"), F.col("class_id").alias("b")).distinct()
     near = components(stars, "near").select(F.col("node").alias("class_id"), F.col("component").alias("area"))
 
     # one document of each class that has neighbours brings its set along
@@ -198,7 +198,7 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     sizes = chosen_ids.groupBy("area").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / chunk_rows), F.lit(64)), F.ceil(F.col("tokens") / chunk_tokens))
     plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("class_id", F.col("doc_id").alias("lead_id"), "area", "chunks", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk"))
-    leads = chosen.join(plan.select("lead_id").distinct(), chosen["doc_id"].eqNullSafe(F.col("lead_id")), "left_semi")
+    leads = chosen.join(plan.select("lead_id").distinct().hint("merge"), chosen["doc_id"].eqNullSafe(F.col("lead_id")), "left_semi")
 
     def bring(batches):
         hashes = WordHashes()
