@@ -16,7 +16,7 @@ def _fields(parts: Column, layout: dict[int, str]) -> list[Column]:
 def _lines(spark: SparkSession, path: str, sep: str, header: bool = False) -> DataFrame:
     """parts (array of trimmed fields) and the file's path; a header line is told by a first field that is no number."""
     df = spark.read.text(path).withColumn("file", F.input_file_name())
-    df = df.select(F.transform(F.split("value", sep), F.trim).alias("parts"), "file").where(F.size("parts") > 1)
+    df = df.select(F.transform(F.split("value", sep), lambda x: F.trim(x)).alias("parts"), "file").where(F.size("parts") > 1)
     return df.where(F.col("parts")[0].try_cast("double").isNotNull()) if header else df
 
 
