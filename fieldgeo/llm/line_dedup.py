@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 
 def _lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), F.trim)
+    return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = 8, lg_k: int = 12) -> DataFrame:
@@ -37,7 +39,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", min_s
     keyed = docs.withColumn("__key", F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
     places = keyed.select("__key", F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("place", "content")).where(F.length("content") >= min_chars)
     places = places.select("__key", "site", "place", F.xxhash64("content").alias("line"))
-    gone = boilerplate(places.select("line", "site"), min_sites, lg_k)
+    gone = materialize(boilerplate(places.select("line", "site"), min_sites, lg_k), "boilerplate")  # a table, so that a join with it is broadcast by its size or split where a line is hot
     marks = places.select("__key", "place", "line").join(gone, "line").groupBy("__key").agg(F.collect_set("place").alias("__gone"))
     whole = F.split(F.col(text), "\n")
     left = F.filter(whole, lambda x, i: ~F.array_contains(F.col("__gone"), i))
