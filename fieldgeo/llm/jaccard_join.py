@@ -4,16 +4,17 @@
 2. Partition. For a threshold t two sets differ in at most d = (1 - t) / (1 + t) * (|A| + |B|) elements. Elements are dealt
    to more than d parts by a hash, so some part is equal in both: classes that share a part's hash may link, others can't.
    Sizes are banded by powers of 1 / t; a class signs its own band and the next, so that partners always share one.
-3. Classes joined by shared parts form neighbourhoods, cut into chunks; every pair of chunks of a neighbourhood is a task.
-4. In a task each chunk is a signature tree: leaves and nodes hold an OR-combined token bitmap and the range of sizes. A
-   dual traversal drops node pairs whose largest possible overlap is under what the smallest sizes need; pairs of classes
-   that remain, unless already linked by others, are verified exactly. Spanning links are kept, and components follow.
+3. Candidates. Where classes share a part, a bound on their overlap from hashed token bitmaps decides whether they may link:
+   first of each class with the part's first one, then, in parts whose classes that leaves apart, by a dual tree traversal.
+   Spanning candidates make areas: families of texts that are alike, not all that share a passage.
+4. Areas are cut into chunks of bounded size, and every pair of an area's chunks is a task that holds both chunks' sets.
+   Each chunk is a signature tree: leaves and nodes hold an OR-combined token bitmap and the range of sizes. The dual
+   traversal drops node pairs whose largest possible overlap is under what the smallest sizes need; pairs of classes that
+   remain, unless already linked by others, are verified exactly. Spanning links are kept, and components follow.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -100,27 +101,58 @@ def signature_tree(sizes: np.ndarray, bits: np.ndarray, loss: np.ndarray, rows:
     return Node(rows, kids, kids[0].bits | kids[1].bits, kids[0].smallest, kids[1].largest, max(x.loss for x in kids))
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Bits of the tokens' hashes in a power of two of places, at least four a token."""
+    width = 1 << max(8, (4 * len(tokens) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(tokens % np.uint64(width)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def same_width(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps (rows of uint64) folded to the narrowest one's width: a token's place in half the width is its place modulo that."""
+    least = min(map(len, maps))
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, least // 8), axis=0) for x in maps])
+
+
 class Chunk:
-    def __init__(self, ids: list[int], sets: list[np.ndarray], width: int):
-        order = np.argsort([len(x) for x in sets], kind="stable")
+    """Classes in order of size, with their bitmaps, the tokens that bitmaps hide, and their tree."""
+
+    def __init__(self, ids: list[int], sizes: list[int], maps: np.ndarray, sets: list[np.ndarray] | None = None):
+        order = np.argsort(sizes, kind="stable")
         self.ids = [ids[i] for i in order]
-        self.sets = [sets[i] for i in order]
-        self.sizes = np.array([len(x) for x in self.sets])
-        self.bits = np.zeros((len(ids), width // 64), np.uint64)
-        for row, tokens in zip(self.bits, self.sets, strict=True):
-            place = tokens % np.uint64(width)
-            np.bitwise_or.at(row, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
-        self.loss = self.sizes - np.bitwise_count(self.bits).sum(1, dtype=np.int64)  # tokens hidden by others on the same bit
+        self.sets = [sets[i] for i in order] if sets else []
+        self.sizes = np.array(sizes)[order]
+        self.bits = maps[order]
+        self.loss = self.sizes - np.bitwise_count(self.bits).sum(1, dtype=np.int64)
         self.root = signature_tree(self.sizes, self.bits, self.loss, np.arange(len(ids)))
 
 
+def chunks_of(rows: pa.Table) -> tuple[Chunk, Chunk]:
+    """The one or two chunks of a task's rows (class_id, n, bits, chunk, and tokens if they're there)."""
+    names, sizes, side = rows.column("class_id").to_pylist(), rows.column("n").to_pylist(), rows.column("chunk").to_numpy()
+    maps = same_width(rows.column("bits").to_pylist())
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("tokens").to_pylist()] if "tokens" in rows.column_names else None
+    parts = []
+    for c in np.unique(side):
+        at = np.flatnonzero(side == c)
+        parts.append(Chunk([names[i] for i in at], [sizes[i] for i in at], maps[at], [sets[i] for i in at] if sets else None))
+    return parts[0], parts[-1]
+
+
+def in_chunk_pairs(rows: DataFrame, key: str) -> DataFrame:
+    """rows (key, chunk, chunks, ...) once for each pair of chunks that theirs is in, as low and high."""
+    out = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return out.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other", "chunks")
+
+
 def needed(a, b, percent: int):
     """The least overlap at which sets of these sizes link."""
     return -(-percent * (a + b) // (100 + percent))
 
 
-def spanning_links(one: Chunk, two: Chunk, percent: int) -> list[tuple[int, int]]:
-    """Links between the chunks (or within one, if they're the same) that join all that link."""
+def spanning_links(one: Chunk, two: Chunk, percent: int, exact: bool = True) -> list[tuple[int, int]]:
+    """Links between the chunks (or within one, if they're the same) that join all that link, or (not exact) may link."""
     lead: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -151,8 +183,8 @@ def spanning_links(one: Chunk, two: Chunk, percent: int) -> list[tuple[int, int]
             u, v = one.ids[x], two.ids[y]
             if u == v or find(u) == find(v):
                 continue
-            common = len(np.intersect1d(one.sets[x], two.sets[y], assume_unique=True))
-            if links(common, len(one.sets[x]), len(two.sets[y]), percent):
+            common = len(np.intersect1d(one.sets[x], two.sets[y], assume_unique=True)) if exact else 0
+            if not exact or links(common, len(one.sets[x]), len(two.sets[y]), percent):
                 lead[find(u)] = find(v)
                 out.append((u, v))
     return out
@@ -172,7 +204,7 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         hashes = WordHashes()
         for batch in batches:
             sets = shingle_sets(texts(batch.column(1)), k, hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) if len(x) else None for x in sets], pa.int64())], names=["doc_id", "n_shingles", "class_id"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) if len(x) else None for x in sets], pa.int64()), pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary())], names=["doc_id", "n_shingles", "class_id", "bits"])
 
     def sign(batches):
         hashes, seen = WordHashes(), set()
@@ -186,46 +218,70 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                     names.append(np.full(len(own), name))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(names))], names=["sign", "class_id"])
 
-    slim = materialize(chosen.mapInArrow(describe, "doc_id long, n_shingles long, class_id long"), "slim")
+    slim = materialize(chosen.mapInArrow(describe, "doc_id long, n_shingles long, class_id long, bits binary"), "slim")
     signed = chosen.mapInArrow(sign, "sign long, class_id long")
     low = F.first("class_id").over(Window.partitionBy("sign").orderBy("class_id"))
-    stars = signed.withColumn("low", low).where("class_id <> low").select(F.col("low").alias("a"), F.col("class_id").alias("b")).distinct()
-    near = components(stars, "near").select(F.col("node").alias("class_id"), F.col("component").alias("area"))
+    shared = materialize(signed.withColumn("low", low).where("class_id <> low").distinct(), "shared")
 
-    # one document of each class that has neighbours brings its set along
+    # candidates by bitmap: every class with its part's first, then, where that leaves a part's classes apart, each with each
+    maps = slim.where("class_id is not null").select("class_id", F.col("n_shingles").alias("n"), "bits").groupBy("class_id").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    maps = materialize(maps.join(shared.select("class_id").union(shared.select("low")).distinct(), "class_id", "left_semi"), "maps")
+
+    def may_link(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")], strict=True):
+                one, two = same_width([x, y])
+                hidden = min(n - int(np.bitwise_count(one).sum()), m - int(np.bitwise_count(two).sum()))
+                keep.append(int(np.bitwise_count(one & two).sum()) + hidden >= needed(n, m, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    stars = shared.select(F.col("low").alias("a"), F.col("class_id").alias("b")).distinct()
+    for side in ("a", "b"):
+        stars = stars.join(maps.select(F.col("class_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    strong = materialize(stars.mapInArrow(may_link, "a long, b long"), "strong")
+    first = components(strong, "first")
+    named = lambda c: F.coalesce("component", F.col(c))
+    low_named = shared.select("sign", F.col("low").alias("class_id")).distinct()
+    members = shared.select("sign", "class_id").unionAll(low_named).join(first, F.col("class_id") == F.col("node"), "left").select("sign", "class_id", named("class_id").alias("component"))
+    apart = members.groupBy("sign").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y and rows > 2")
+    chunk = lambda n: F.pmod(F.xxhash64("class_id"), n).cast("int")
+    apart = apart.select("sign", F.least(F.ceil(F.col("rows") / 1024), F.lit(64)).cast("int").alias("chunks"))
+    open_ = shared.select("sign", "class_id").unionAll(low_named).join(apart, "sign").join(maps, "class_id").withColumn("chunk", chunk(F.col("chunks")))
+
+    def candidates(key, rows):
+        found = spanning_links(*chunks_of(rows), percent, exact=False)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    more = in_chunk_pairs(open_, "sign").groupBy("sign", "low", "high").applyInArrow(candidates, "a long, b long")
+    near = components(strong.unionAll(more), "near").select(F.col("node").alias("class_id"), F.col("component").alias("area"))
+
+    # one document of each class that has candidates brings its set along
     ids = slim.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     chosen_ids = materialize(near.join(ids, "class_id"), "areas")
     sizes = chosen_ids.groupBy("area").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / chunk_rows), F.lit(64)), F.ceil(F.col("tokens") / chunk_tokens))
-    plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("class_id", F.col("doc_id").alias("lead_id"), "area", "chunks", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk"))
+    plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("class_id", F.col("doc_id").alias("lead_id"), "area", "chunks", chunk(F.col("chunks")).alias("chunk"))
     leads = chosen.join(plan.select("lead_id").distinct().hint("merge"), chosen["doc_id"].eqNullSafe(F.col("lead_id")), "left_semi")
 
     def bring(batches):
         hashes = WordHashes()
         for batch in batches:
             sets = [x for x in shingle_sets(texts(batch.column(1)), k, hashes) if len(x)]
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["class_id", "tokens"])
+            columns = [pa.array([class_of(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["class_id", "n", "bits", "tokens"])
 
-    sets = leads.mapInArrow(bring, "class_id long, tokens binary").join(plan, "class_id").groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("tokens", "area", "chunks", "chunk")])
-    i, other = F.col("chunk"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    tasks = sets.select("class_id", "tokens", "area", "chunk", other).withColumns({"low": F.least(i, F.col("other")), "high": F.greatest(i, F.col("other"))})
+    sets = leads.mapInArrow(bring, "class_id long, n long, bits binary, tokens binary").join(plan, "class_id").groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("n", "bits", "tokens", "area", "chunks", "chunk")])
 
     def verify(key, rows):
-        own = {"a": [], "b": []}
-        if rows.num_rows > 1:
-            names, sets = rows.column("class_id").to_pylist(), [np.frombuffer(x, np.uint64) for x in rows.column("tokens").to_pylist()]
-            width = 1 << max(8, math.ceil(math.log2(8 * np.median([len(x) for x in sets]))))
-            side = rows.column("chunk").to_numpy()
-            parts = [Chunk([names[i] for i in at], [sets[i] for i in at], min(width, 1 << 16)) for c in sorted(set(side.tolist())) if len(at := np.flatnonzero(side == c))]
-            found = spanning_links(parts[0], parts[-1], percent)
-            own = {"a": [x for x, _ in found], "b": [y for _, y in found]}
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in own.items()})
-
-    edges = tasks.groupBy("area", "low", "high").applyInArrow(verify, "a long, b long")
+        found = spanning_links(*chunks_of(rows), percent)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    edges = in_chunk_pairs(sets, "area").groupBy("area", "low", "high").applyInArrow(verify, "a long, b long")
     groups = components(edges, "links").select(F.col("node").alias("class_id"), F.col("component").alias("group"))
-    named = ids.join(groups, "class_id", "left").withColumn("group", F.coalesce("group", "class_id"))
-    lowest = named.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_classes"))
-    by_class = named.join(lowest, "group").select("class_id", "component_id", "n_classes")
+    grouped = ids.join(groups, "class_id", "left").withColumn("group", F.coalesce("group", "class_id"))
+    lowest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_classes"))
+    by_class = grouped.join(lowest, "group").select("class_id", "component_id", "n_classes")
     out = slim.join(by_class, "class_id", "left")
     return out.select("doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_classes", F.lit(1)).alias("n_classes"))
 
