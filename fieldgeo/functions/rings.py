@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 POINT = "struct<x:double,y:double>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def point(x: Column | float, y: Column | float) -> Column:
     as_col = lambda v: (v if isinstance(v, Column) else F.lit(float(v))).cast("double")
     return F.struct(as_col(x).alias("x"), as_col(y).alias("y"))
@@ -104,16 +111,16 @@ def clip_convex(subject: Column, window: Column) -> Column:
     """As clip, for a counter-clockwise window."""
 
     def cut(points: Column, e: Column) -> Column:
-        inside = lambda p: cross(e["a"], e["b"], p) >= 0
-
         def step(s: Column) -> Column:
-            a, b = s["a"], s["b"]
-            da, db = cross(e["a"], e["b"], a), cross(e["a"], e["b"], b)
+            a, b, da, db = s["a"], s["b"], s["da"], s["db"]
             t = da / (da - db)
             meet = point(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"]))
-            return F.when(inside(a) & inside(b), F.array(b)).when(inside(a), F.array(meet)).when(inside(b), F.array(meet, b)).otherwise(F.array().cast(f"array<{POINT}>"))
+            return F.when((da >= 0) & (db >= 0), F.array(b)).when(da >= 0, F.array(meet)).when(db >= 0, F.array(meet, b)).otherwise(F.array().cast(f"array<{POINT}>"))
 
-        return F.flatten(F.transform(edges(points), step))
+        side = lambda p: cross(e["a"], e["b"], p)
+        sided = F.transform(points, lambda p: F.struct(p.alias("p"), side(p).alias("d")))
+        pairs = let(sided, lambda q: F.zip_with(q, _next(q), lambda a, b: F.struct(a["p"].alias("a"), b["p"].alias("b"), a["d"].alias("da"), b["d"].alias("db"))))
+        return F.flatten(F.transform(pairs, step))
 
     return F.aggregate(edges(window), subject.cast(f"array<{POINT}>"), cut)
 
