@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas
 from . import testbed as t
 from .functions import clock, geodesy, rings, text
 from .operators import imaging, relational, series, spatial, summary
 from .plans import flight as flight_plan
 from .plans import ground
+from .sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -557,3 +559,75 @@ def dataset_names(spark, sf_dir):
     parts = [F.when(k % 7 == 0, "20241399").otherwise(F.date_format(d, "yyyyMMdd")), F.lit("18ASH"), F.lit("BYD0"), F.lit("Rededge"), F.when(k % 11 == 0, "m20").otherwise("20m"), F.when(k % 5 == 0, "-190").otherwise("-90"), F.lit("Still"), F.concat(F.lit("Flight"), (1 + k % 3).cast("string"))]
     x = text.dataset_fields(F.concat_ws("_", *parts))
     return t.table(spark, sf_dir, "orders").select("o_orderkey", x.alias("x")).select("o_orderkey", "x.error", F.col("x.day").cast("string").alias("day"), "x.elevation", "x.angle", F.col("x.flight").cast("long").alias("flight"))
+
+
+# --- readers and sinks: tables written in a file layout and read back -------------------------------------------------
+
+
+def _written(spark, lines: DataFrame) -> str:
+    path = t.scratch(spark)
+    lines.write.text(path)
+    return path
+
+
+@query(f"with {t.FLIGHT} select ts_ms, recording, round(lat, 6) as lat, round(lon, 6) as lon, round(alt, 6) as alt from log")
+def reread_flight_log(spark, sf_dir):
+    log = t.flight_log(spark, sf_dir)
+    at = {0: F.format_string("%.9f", "lat"), 1: F.format_string("%.9f", "lon"), 2: F.format_string("%.4f", F.col("alt") / 0.3048), 37: F.col("recording").cast("int").cast("string"), 43: F.col("ts_ms").cast("string")}
+    path = _written(spark, log.select(F.concat_ws(",", *[at.get(i, F.lit("0")) for i in range(44)])))
+    return readers.read_flight_log(spark, path).select("ts_ms", "recording", r6("lat").alias("lat"), r6("lon").alias("lon"), r6("alt").alias("alt"))
+
+
+@query("""select 'CAM' as tag, event_id as week_ms, (user_id % 2000)::int as week, round(value, 2) as altitude from events where event_id % 3 = 0
+union all select 'GPS', event_id, (user_id % 2000)::int, round(value, 2) from events where event_id % 3 = 1""")
+def reread_tagged_log(spark, sf_dir):
+    e = t.table(spark, sf_dir, "events")
+    v = F.format_string("%.2f", "value")
+    cam = F.concat_ws(", ", F.lit("CAM"), "event_id", F.col("user_id") % 2000, F.lit("1.5"), F.lit("2.5"), F.lit("0"), v)
+    gps = F.concat_ws(", ", F.lit("GPS"), "event_id", F.col("user_id") % 2000, F.lit("8"), F.lit("0.9"), F.lit("9"), F.lit("1.5"), F.lit("2.5"), v)
+    path = _written(spark, e.select(F.when(F.col("event_id") % 3 == 0, cam).when(F.col("event_id") % 3 == 1, gps).otherwise(F.lit("FMT, 0"))))
+    a, b = readers.read_tagged_log(spark, path)
+    pick = lambda df, tag: df.select(F.lit(tag).alias("tag"), "week_ms", "week", "altitude")
+    return pick(a, "CAM").unionAll(pick(b, "GPS"))
+
+
+@query("select lpad((event_id % 86400)::varchar, 6, '0') as utc_time, round(value, 2) as elevation, case when event_id % 2 = 0 then -1 else 1 end * round(value, 2) as lon from events")
+def reread_rover_log(spark, sf_dir):
+    v = F.format_string("%.2f", "value")
+    line = F.concat_ws("\t", F.lit("1"), F.lit("x"), F.lpad((F.col("event_id") % 86400).cast("string"), 6, "0"), F.concat(v, F.lit("\t")), v, F.when(F.col("event_id") % 2 == 0, "W").otherwise("E"), F.lit("39.1"), F.lit("N"), F.lit("0.5"), F.lit("20"))
+    path = _written(spark, t.table(spark, sf_dir, "events").select(line).unionAll(spark.sql("select 'h1\th2\th3\th4'")))
+    return readers.read_rover_log(spark, path).select("utc_time", "elevation", geodesy.signed_coord(F.col("longitude"), F.col("long_ref")).alias("lon"))
+
+
+@query(f"with {t.CLOUD} select round(x, 6) as x, round(y, 6) as y, round(z, 6) as z, r, g, b from cloud")
+def reread_points(spark, sf_dir):
+    path = t.scratch(spark)
+    sinks.write_points(t.cloud(spark, sf_dir), path)
+    return readers.read_points(spark, path).select(r6("x").alias("x"), r6("y").alias("y"), r6("z").alias("z"), "r", "g", "b")
+
+
+@query("select n_name as image, n_nationkey + 50.0::double as m11, n_nationkey + 40.0::double as m22, n_nationkey / 10 + 4 as m34 from nation")
+def reread_matrices(spark, sf_dir):
+    c = t.cameras(spark, sf_dir)
+    path = _written(spark, c.select(F.concat_ws(" ", "image", *[f"m{r}{k}" for r in (1, 2, 3) for k in (1, 2, 3, 4)])))
+    return readers.read_pmatrix(spark, path).select("image", "m11", "m22", "m34")
+
+
+@query(f"with {t.FLIGHT} select 'IMG_' || event_id || '.jpg' as image_file_name, flight_id, round(alt, 4) as altitude, 'AMSL' as altitude_ref from log where recording")
+def written_metadata(spark, sf_dir):
+    log = t.flight_log(spark, sf_dir).where("recording")
+    rows = log.select(F.concat(F.lit("IMG_"), "event_id", F.lit(".jpg")).alias("image_file_name"), "flight_id", F.round("alt", 4).alias("altitude"), F.lit("AMSL").alias("altitude_ref"))
+    path = t.scratch(spark)
+    sinks.write_metadata(rows, path)
+    kinds = {"flight_id": "bigint", "altitude": "double"}
+    back = spark.read.csv(path, schema=", ".join(f"{c} {kinds.get(c, 'string')}" for c in schemas.IMAGE_ROW), header=True)
+    return back.select("image_file_name", "flight_id", "altitude", "altitude_ref")
+
+
+@query("select o_orderkey as record_id, o_custkey as run_id from orders where o_orderkey % 2 = 0 union all select o_orderkey, o_custkey from orders where o_orderkey % 2 = 1 and o_orderkey % 3 = 0")
+def appended_rows(spark, sf_dir):
+    o = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_custkey").alias("run_id"))
+    path = t.scratch(spark)
+    sinks.append_table(o.where("record_id % 2 = 0"), path)
+    sinks.append_new(o.where("record_id % 2 = 0 or record_id % 3 = 0"), path, "record_id")
+    return spark.read.schema(o.schema).parquet(path)

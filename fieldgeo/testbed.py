@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,3 +99,9 @@ def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey").cast("double")
     one = {"m11": n + 50, "m12": F.lit(3.0), "m13": F.lit(1.0), "m14": F.lit(2000.0), "m21": F.lit(2.0), "m22": n + 40, "m23": F.lit(5.0), "m24": F.lit(1500.0), "m31": F.lit(0.01), "m32": F.lit(0.02), "m33": F.lit(0.03), "m34": n / 10 + 4}
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("image"), F.lit(640).alias("width"), F.lit(480).alias("height"), *[v.cast("double").alias(k) for k, v in one.items()])
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for what a query writes: below spark.checkpoint.dir, or of its own where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
