@@ -221,7 +221,7 @@ def identify(docs: DataFrame, labelled: DataFrame, text: str = "text", lang: str
             of_word = np.add.reduceat(values, np.cumsum([0, *map(len, parts[:-1])]), axis=0) if len(values) else values
             names, scores = [], []
             for tally in documents:
-                if not tally or not languages:
+                if not languages or not any(map(str.isalpha, chain.from_iterable(tally))):
                     names.append("und")
                     scores.append(0.0)
                     continue
