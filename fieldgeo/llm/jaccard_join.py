@@ -191,9 +191,10 @@ def spanning_links(one: Chunk, two: Chunk, percent: int, exact: bool = True) ->
 
 
 def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 512, chunk_tokens: int = 500_000) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id, n_linked) for every row of docs; percent is the Jaccard threshold in hundredths.
+    """(doc_id, n_shingles, class_id, component_id, n_classes) for every row of docs; percent is the Jaccard threshold in hundredths.
 
-    class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included. Rows with
+    class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included, and
+    n_classes how many different sets the component has. Rows with
     equal sets are linked. Null, empty or wordless texts have 0 shingles, null class_id, and their own id as component; a
     null id is never a component's name while another is there. Repeated rows are all returned. Sets are compared by 64-bit hashes.
     """
