@@ -263,16 +263,17 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     sizes = chosen_ids.groupBy("area").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     chunks = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / chunk_rows), F.lit(64)), F.ceil(F.col("tokens") / chunk_tokens))
     plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("class_id", F.col("doc_id").alias("lead_id"), "area", "chunks", chunk(F.col("chunks")).alias("chunk"))
-    leads = chosen.join(plan.select("lead_id").distinct().hint("merge"), chosen["doc_id"].eqNullSafe(F.col("lead_id")), "left_semi")
+    leads = chosen.join(plan.hint("merge"), chosen["doc_id"].eqNullSafe(F.col("lead_id"))).select("text", "class_id", "area", "chunk", "chunks")
 
     def bring(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [x for x in shingle_sets(texts(batch.column(1)), k, hashes) if len(x)]
-            columns = [pa.array([class_of(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["class_id", "n", "bits", "tokens"])
+            sets = shingle_sets(texts(batch.column(0)), k, hashes)
+            own = [i for i, name in enumerate(batch.column(1).to_pylist()) if len(sets[i]) and class_of(sets[i]) == name]  # ids may be shared by other texts
+            columns = [pa.array([len(sets[i]) for i in own], pa.int64()), pa.array([bitmap(sets[i]) for i in own], pa.binary()), pa.array([sets[i].tobytes() for i in own], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(own, pa.int64())) for c in batch.columns[1:]], *columns], names=["class_id", "area", "chunk", "chunks", "n", "bits", "tokens"])
 
-    sets = leads.mapInArrow(bring, "class_id long, n long, bits binary, tokens binary").join(plan, "class_id").groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("n", "bits", "tokens", "area", "chunks", "chunk")])
+    sets = leads.mapInArrow(bring, "class_id long, area long, chunk int, chunks int, n long, bits binary, tokens binary")
 
     def verify(key, rows):
         found = spanning_links(*chunks_of(rows), percent)
