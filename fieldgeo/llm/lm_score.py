@@ -13,7 +13,8 @@ block asks only for the n-grams that stand in it, in packed arrays by shard of t
 2. block -> unigram shards: word hashes, the block's counts, and how many bigrams it owns after each word, which add up to T(v).
 3. With both answers a block builds its part of the automaton and each document is traversed once from left to right.
 
-A word on a third of all rows is one entry for each block. Words are told apart by 64-bit hashes, bigrams by 48 bits within a shard.
+A word on a third of all rows is one entry for each block. Words are told apart by 64-bit hashes, bigrams by 40
+bits within a shard, whose size is bounded: about one bigram in a million shares its count with another.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def asked(kind: int, block: int, keys: np.ndarray, counts: list[np.ndarray], sha
     for s in range(shards):
         own = order[ends[s] : ends[s + 1]]
         if len(own):
-            data = keys[own].tobytes() if kind == WORDS else np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+            data = keys[own].tobytes() if kind == WORDS else np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
             rows.append((kind, s, block, data, packed(np.stack([c[own] for c in counts]), "<i8"), ones, twos))
             ones = twos = 0
     return table_of(rows, ASK)
@@ -105,8 +106,8 @@ def merged(rows: pa.Table, kind: int) -> tuple[list[tuple[int, int]], np.ndarray
         if kind == WORDS:
             own = np.frombuffer(data, np.uint64)
         else:
-            wide = np.zeros((len(data) // 6, 8), np.uint8)
-            wide[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+            wide = np.zeros((len(data) // 5, 8), np.uint8)
+            wide[:, 3:] = np.frombuffer(data, np.uint8).reshape(-1, 5)
             own = wide.view(np.uint64)[:, 0]
         who.append((block, len(own)))
         keys.append(own)
@@ -153,16 +154,17 @@ class Automaton:
         self.root = np.log10(known).tolist()
         self.next = np.where(c > 0, np.arange(len(c)) + 1, 0).tolist()
         self.fail = [0.0, *np.log10(np.where(context > 0, context, 1.0)).tolist()]
-        self.arcs: dict[int, float] = dict(zip((block.left[seen] * len(c) + block.right[seen]).tolist(), np.log10(p).tolist(), strict=True))
-        self.n = len(c)
+        arcs = np.full(len(seen), np.nan)
+        arcs[seen] = np.log10(p)
+        self.arcs = [None if x != x else x for x in arcs.tolist()]  # by the number of a (context, word) pair
 
-    def score(self, tokens: list[int]) -> float:
-        """One traversal: follow the state's arc, or its failure arc to the root and the arc there."""
-        root, after, fail, arcs, n = self.root, self.next, self.fail, self.arcs, self.n
+    def score(self, tokens: list[int], pairs: list[int]) -> float:
+        """One traversal: follow the state's arc, or its failure arc to the root and the arc there. pairs: each word's pair with the one before."""
+        root, after, fail, arcs = self.root, self.next, self.fail, self.arcs
         state, total = after[0], 0.0
-        for word in tokens:
+        for word, pair in zip(tokens, pairs, strict=True):
             if state:
-                p = arcs.get((state - 1) * n + word)
+                p = arcs[pair]
                 total += fail[state] + root[word] if p is None else p
             else:
                 total += root[word]
@@ -221,8 +223,9 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             c, types = answered(right, WORDS, own.hashes, shards)
             machine = Automaton(own, c, types, answered(right, PAIRS, own.pair_keys, shards)[0], total)
             base = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))
-            for doc, held, ids in zip(left.column("doc_id").to_pylist(), left.column("held_out").to_pylist(), own.documents, strict=True):
-                out.append((doc, held, len(ids), int((c[ids] > 0).sum()), total.tokens, float(base[ids].sum()), machine.score(ids.tolist())))
+            pairs = np.split(own.places, np.cumsum([len(x) for x in own.documents])[:-1])
+            for doc, held, ids, met in zip(left.column("doc_id").to_pylist(), left.column("held_out").to_pylist(), own.documents, pairs, strict=True):
+                out.append((doc, held, len(ids), int((c[ids] > 0).sum()), total.tokens, float(base[ids].sum()), machine.score(ids.tolist(), met.tolist())))
         return table_of(out, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
     pairs = grouped.applyInArrow(ask_pairs, ASK).groupBy("shard").applyInArrow(answer_pairs, ANSWER)
