@@ -299,6 +299,18 @@ def test_quality(spark, sf, docs, edges, nothing):
     assert quality.classify(nothing, labels).count() == 0
 
 
+def test_quality_of_repeated_words(spark):
+    rng = random.Random(1)
+    words = [a + b for a in ("ba", "ke", "lo", "mi", "su") for b in ("n", "rt", "sh", "nd", "lly")]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    good = [(i, prose(rng.randint(30, 90)), "en") for i in range(300)]
+    rows = good + [(1000, "ban " * 60, "en"), (1001, "kert " * 30 + "lond " * 30, "en"), (1002, prose(20) + " sully" * 60, "en"), (1003, "mish land baban " * 20, "en"), (1004, prose(60), "en"), (1005, " \n ", "en")]
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in good], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels).collect()}
+    assert not any(got[i]["keep"] for i in range(1000, 1004)) and got[1004]["keep"] and got[1005]["log_recurrence"] is None
+    assert sum(got[i]["keep"] for i, _, _ in good) >= 295
+
+
 def test_toxicity(spark, sf, docs, edges, nothing):
     labels = table(spark, sf, "labels").where("crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "toxic")
     both = docs.select("doc_id", "text").unionAll(edges.select("doc_id", "text"))
