@@ -311,6 +311,21 @@ def test_quality_of_repeated_words(spark):
     assert sum(got[i]["keep"] for i, _, _ in good) >= 295
 
 
+def test_quality_limits_come_from_all_trusted_rows(spark, monkeypatch):
+    data = [(i, f"some words of text number {i} and {i * 7919 % 1009} more", "en" if i % 5 else "xx") for i in range(500)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(500)], "doc_id long, quality int")
+    seen, plain = [], quality.thresholds
+
+    def watched(scored, *args, **options):
+        seen.append({r["lang"]: r["count"] for r in scored.groupBy("lang").count().collect()})
+        return plain(scored, *args, **options)
+
+    monkeypatch.setattr(quality, "thresholds", watched)
+    assert quality.classify(frame, labels, size=20).count() == 500
+    assert all(sum(x.values()) >= 460 and x["xx"] >= 60 for x in seen)
+
+
 def test_toxicity(spark, sf, docs, edges, nothing):
     labels = table(spark, sf, "labels").where("crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "toxic")
     both = docs.select("doc_id", "text").unionAll(edges.select("doc_id", "text"))
