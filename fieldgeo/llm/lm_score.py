@@ -13,8 +13,7 @@ block asks only for the n-grams that stand in it, in packed arrays by shard of t
 2. block -> unigram shards: word hashes, the block's counts, and how many bigrams it owns after each word, which add up to T(v).
 3. With both answers a block builds its part of the automaton and each document is traversed once from left to right.
 
-A word on a third of all rows is one entry for each block. Words are told apart by 64-bit hashes, bigrams by 40
-bits within a shard, whose size is bounded: about one bigram in a million shares its count with another.
+A word on a third of all rows is one entry for each block. Words and bigrams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -86,8 +85,7 @@ def asked(kind: int, block: int, keys: np.ndarray, counts: list[np.ndarray], sha
     for s in range(shards):
         own = order[ends[s] : ends[s + 1]]
         if len(own):
-            data = keys[own].tobytes() if kind == WORDS else np.ascontiguousarray(keys[own].view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
-            rows.append((kind, s, block, data, packed(np.stack([c[own] for c in counts]), "<i8"), ones, twos))
+            rows.append((kind, s, block, keys[own].tobytes(), packed(np.stack([c[own] for c in counts]), "<i8"), ones, twos))
             ones = twos = 0
     return table_of(rows, ASK)
 
@@ -99,16 +97,11 @@ def table_of(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[t]) for n, t, c in zip(names, types, columns, strict=True)})
 
 
-def merged(rows: pa.Table, kind: int) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def merged(rows: pa.Table) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(block, entries) of each request, the distinct key's place of every entry, the requests' counts (2-d), and their totals."""
     who, keys, counts = [], [], []
     for block, data, c in sorted(zip(rows.column("block").to_pylist(), rows.column("keys").to_pylist(), rows.column("counts").to_pylist(), strict=True), key=lambda x: x[0]):
-        if kind == WORDS:
-            own = np.frombuffer(data, np.uint64)
-        else:
-            wide = np.zeros((len(data) // 5, 8), np.uint8)
-            wide[:, 3:] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-            own = wide.view(np.uint64)[:, 0]
+        own = np.frombuffer(data, np.uint64)
         who.append((block, len(own)))
         keys.append(own)
         counts.append(unpacked(c, "<i8").reshape(-1, len(own)))
@@ -194,7 +187,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         return asked(PAIRS, key[0].as_py(), own.pair_keys, [own.pair_counts], shards)
 
     def answer_pairs(key, rows):
-        who, place, counts, totals = merged(rows, PAIRS)
+        who, place, counts, totals = merged(rows)
         owner = np.zeros(len(place), np.int64)
         trained = np.flatnonzero(counts[0] > 0)
         owner[trained[np.unique(place[trained], return_index=True)[1]]] = 1
@@ -210,7 +203,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         return asked(WORDS, key[0].as_py(), own.hashes, [own.counts, types], shards, ones, twos)
 
     def answer_words(key, rows):
-        who, place, _, totals = merged(rows, WORDS)
+        who, place, _, totals = merged(rows)
         c = totals[0]
         sums = [int(c.sum()), *(int(x.sum()) for x in (c > 0, c == 1, c == 2)), *(sum(rows.column(x).to_pylist()) for x in ("ones", "twos"))]
         return table_of([*answers(WORDS, key[0].as_py(), who, totals[:, place]), (TOTALS, key[0].as_py(), -1, b"", *sums)], ANSWER)

@@ -175,6 +175,13 @@ def test_lm_scores(spark, docs, rows, edges, nothing):
     assert lm_score.score_documents(nothing).count() == 0
 
 
+def test_lm_bigrams_that_differ_in_low_bits_alone_are_told_apart():
+    keys = np.array([(7 << 40) | 24, (7 << 40) | 40, (7 << 40) | 56], np.uint64)  # one shard of 8, one upper 40 bits
+    asked = lm_score.asked(lm_score.PAIRS, 0, keys, [np.array([5, 0, 2])], 8)
+    _, place, counts, totals = lm_score.merged(asked)
+    assert len(set(place.tolist())) == 3 and totals[0][place].tolist() == counts[0].tolist() == [5, 0, 2]
+
+
 def test_decontamination(spark, sf, docs, rows, edges, nothing):
     bench = [(r["item_id"], r["text"]) for r in table(spark, sf, "benchmark").collect()] + [(900, None), (901, ""), (902, "no id HERE"), (903, "one"), (None, "twice the same row")]
     frame = spark.createDataFrame(bench, "item_id long, text string")
