@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows an Arrow batch may hold, so that a batch of long texts stays small in a Python worker.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
+
+#: What Python workers are started with: buffers that go back to the system when freed, and no threads of libraries' own.
+WORKER_ENV = {"TOKENIZERS_PARALLELISM": "false", "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "1048576", "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "RAYON_NUM_THREADS": "1"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,16 +28,37 @@ def prepare(spark: SparkSession) -> SparkSession:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
-    env.setdefault("TOKENIZERS_PARALLELISM", "false")
+    for name, value in WORKER_ENV.items():
+        env.setdefault(name, value)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like those given that df doesn't have, whatever case it writes its own in."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; after the last one, what it has freed goes back to the system, as workers outlive their tasks."""
+    yield from batches
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of its own only where that is unset, as in local tests."""
+    """The folder in spark.checkpoint.dir; one of its own only in local mode where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -41,7 +69,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what materialize() wrote for these tables. Nothing that is still to be computed may read them."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +114,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 class WordHashes(dict):
     """Word to 64-bit hash, kept for the words seen last; forgets all when full."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         import xxhash
 
         super().__init__()
@@ -114,22 +152,24 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) for every node of the undirected edges (a, b), the component named by its smallest node.
 
     Alternates large-star and small-star steps until nothing changes; the edge table never leaves the cluster and
-    each round is cut by a written table. A round's shuffle is linear in the edges.
+    each round is cut by a written table, of which the last alone stays. A round's shuffle is linear in the edges.
     """
-    spark = edges.sparkSession
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = materialize(e, label)
     before = None
     while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        e = e.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
-        e = materialize(e, label)
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
+        last, e = e, materialize(small, label)
+        discard(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = nodes.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out.written_to = e.written_to
+    return out

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, mix, prepare, shingle_hashes, texts, words_of
+from .common import WordHashes, mix, prepare, released, shingle_hashes, texts, words_of
 
 
 class Items:
@@ -100,7 +100,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
 
         def run(batches, sent=sent):
             found, hashes = Items(sent.value, k, bands), WordHashes()
-            for batch in batches:
+            for batch in released(batches):
                 rows = [(doc, i, c) for doc, x in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True) for i, c in found.matches(hashes.of(words_of(x)), threshold)]
                 d, i, c = zip(*rows, strict=True) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(d, batch.schema.field(0).type), pa.array(i, pa.int64()), pa.array(c, pa.float64())], names=schema.names)
@@ -126,7 +126,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", thr
 
         def keep(batches, sent=sent):
             found, hashes = Items(sent.value, k, bands), WordHashes()
-            for batch in batches:
+            for batch in released(batches):
                 column = batch.column(names.index(text))
                 yield batch.filter(pa.array([not found.matches(hashes.of(words_of(x)), threshold) for x in texts(column)], pa.bool_()))
 

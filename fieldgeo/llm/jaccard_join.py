@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, components, materialize, mix, prepare, shingle_hashes, texts, words_of
+from .common import WordHashes, components, discard, fresh, materialize, mix, prepare, released, shingle_hashes, texts, words_of
 
 
 def links(common: int, a: int, b: int, percent: int) -> bool:
@@ -190,28 +190,29 @@ def spanning_links(one: Chunk, two: Chunk, percent: int, exact: bool = True) ->
     return out
 
 
-def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 512, chunk_tokens: int = 500_000) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id, n_classes) for every row of docs; percent is the Jaccard threshold in hundredths.
+#: Of two rows the lead is the one with an id, of the smaller id, then of the smaller hash.
+LEAD = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
 
-    class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included, and
-    n_classes how many different sets the component has. Rows with
-    equal sets are linked. Null, empty or wordless texts have 0 shingles, null class_id, and their own id as component; a
-    null id is never a component's name while another is there. Repeated rows are all returned. Sets are compared by 64-bit hashes.
-    """
-    spark = prepare(docs.sparkSession)
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+def grouped_classes(docs: DataFrame, text: str, id_col: str, k: int, percent: int, chunk_rows: int, chunk_tokens: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, row, n_shingles, class_id), row a hash of its id and text, and every class's (class_id, doc_id,
+    row, n, group): its lead row, its size, and the smallest class linked to it."""
+    prepare(docs.sparkSession)
+    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text))
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
 
     def describe(batches):
         hashes = WordHashes()
-        for batch in batches:
-            sets = shingle_sets(texts(batch.column(1)), k, hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) if len(x) else None for x in sets], pa.int64()), pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary())], names=["doc_id", "n_shingles", "class_id", "bits"])
+        for batch in released(batches):
+            sets = shingle_sets(texts(batch.column(2)), k, hashes)
+            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array([class_of(x) if len(x) else None for x in sets], pa.int64()), pa.array([bitmap(x) if len(x) else None for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["doc_id", "row", "n_shingles", "class_id", "bits"])
 
     def sign(batches):
         hashes, seen = WordHashes(), set()
-        for batch in batches:
+        for batch in released(batches):
             signs, names = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for tokens in shingle_sets(texts(batch.column(1)), k, hashes):
+            for tokens in shingle_sets(texts(batch.column(0)), k, hashes):
                 if len(tokens) and (name := class_of(tokens)) not in seen:  # a task signs a class once
                     seen.add(name)
                     own = signatures(tokens, percent)
@@ -219,8 +220,8 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                     names.append(np.full(len(own), name))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), pa.array(np.concatenate(names))], names=["sign", "class_id"])
 
-    slim = materialize(chosen.mapInArrow(describe, "doc_id long, n_shingles long, class_id long, bits binary"), "slim")
-    signed = chosen.mapInArrow(sign, "sign long, class_id long")
+    slim = materialize(chosen.select("doc_id", "row", "text").mapInArrow(describe, "doc_id long, row long, n_shingles long, class_id long, bits binary"), "slim")
+    signed = chosen.select("text").mapInArrow(sign, "sign long, class_id long")
     low = F.first("class_id").over(Window.partitionBy("sign").orderBy("class_id"))
     shared = materialize(signed.withColumn("low", low).where("class_id <> low").distinct(), "shared")
 
@@ -229,7 +230,7 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     maps = materialize(maps.join(shared.select("class_id").union(shared.select("low")).distinct(), "class_id", "left_semi"), "maps")
 
     def may_link(batches):
-        for batch in batches:
+        for batch in released(batches):
             keep = []
             for n, m, x, y in zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")], strict=True):
                 one, two = same_width([x, y])
@@ -247,7 +248,7 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     members = shared.select("sign", "class_id").unionAll(low_named).join(first, F.col("class_id") == F.col("node"), "left").select("sign", "class_id", named("class_id").alias("component"))
     apart = members.groupBy("sign").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y and rows > 2")
     chunk = lambda n: F.pmod(F.xxhash64("class_id"), n).cast("int")
-    apart = apart.select("sign", F.least(F.ceil(F.col("rows") / 1024), F.lit(64)).cast("int").alias("chunks"))
+    apart = apart.select("sign", F.ceil(F.col("rows") / chunk_rows).cast("int").alias("chunks"))
     open_ = shared.select("sign", "class_id").unionAll(low_named).join(apart, "sign").join(maps, "class_id").withColumn("chunk", chunk(F.col("chunks")))
 
     def candidates(key, rows):
@@ -255,23 +256,24 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     more = in_chunk_pairs(open_, "sign").groupBy("sign", "low", "high").applyInArrow(candidates, "a long, b long")
-    near = components(strong.unionAll(more), "near").select(F.col("node").alias("class_id"), F.col("component").alias("area"))
+    areas = components(strong.unionAll(more), "near")
+    near = areas.select(F.col("node").alias("class_id"), F.col("component").alias("area"))
 
-    # one document of each class that has candidates brings its set along
-    ids = slim.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    # one row of each class that has candidates brings its set along
+    ids = slim.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.min_by("row", LEAD).alias("row"), F.first("n_shingles").alias("n"))
     chosen_ids = materialize(near.join(ids, "class_id"), "areas")
+    discard(shared, maps, strong, first, areas)
     sizes = chosen_ids.groupBy("area").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
-    chunks = F.greatest(F.lit(1), F.least(F.ceil(F.col("rows") / chunk_rows), F.lit(64)), F.ceil(F.col("tokens") / chunk_tokens))
-    plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("class_id", F.col("doc_id").alias("lead_id"), "area", "chunks", chunk(F.col("chunks")).alias("chunk"))
-    leads = chosen.join(plan.hint("merge"), chosen["doc_id"].eqNullSafe(F.col("lead_id"))).select("text", "class_id", "area", "chunk", "chunks")
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / chunk_rows), F.ceil(F.col("tokens") / chunk_tokens))
+    plan = chosen_ids.join(sizes.select("area", chunks.cast("int").alias("chunks")), "area").select("row", "class_id", "area", "chunks", chunk(F.col("chunks")).alias("chunk"))
+    leads = chosen.select("row", "text").join(plan.hint("merge"), "row").select("text", "class_id", "area", "chunk", "chunks")
 
     def bring(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in released(batches):
             sets = shingle_sets(texts(batch.column(0)), k, hashes)
-            own = [i for i, name in enumerate(batch.column(1).to_pylist()) if len(sets[i]) and class_of(sets[i]) == name]  # ids may be shared by other texts
-            columns = [pa.array([len(sets[i]) for i in own], pa.int64()), pa.array([bitmap(sets[i]) for i in own], pa.binary()), pa.array([sets[i].tobytes() for i in own], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*[c.take(pa.array(own, pa.int64())) for c in batch.columns[1:]], *columns], names=["class_id", "area", "chunk", "chunks", "n", "bits", "tokens"])
+            columns = [pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=["class_id", "area", "chunk", "chunks", "n", "bits", "tokens"])
 
     sets = leads.mapInArrow(bring, "class_id long, area long, chunk int, chunks int, n long, bits binary, tokens binary")
 
@@ -281,16 +283,35 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     edges = in_chunk_pairs(sets, "area").groupBy("area", "low", "high").applyInArrow(verify, "a long, b long")
     groups = components(edges, "links").select(F.col("node").alias("class_id"), F.col("component").alias("group"))
-    grouped = ids.join(groups, "class_id", "left").withColumn("group", F.coalesce("group", "class_id"))
+    discard(chosen_ids)
+    return slim, ids.join(groups, "class_id", "left").withColumn("group", F.coalesce("group", "class_id"))
+
+
+def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 512, chunk_tokens: int = 500_000) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id, n_classes) for every row of docs; percent is the Jaccard threshold in hundredths.
+
+    class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included, and
+    n_classes how many different sets the component has. Rows with
+    equal sets are linked. Null, empty or wordless texts have 0 shingles, null class_id, and their own id as component; a
+    null id is never a component's name while another is there. Repeated rows are all returned. Sets are compared by 64-bit hashes.
+    """
+    slim, grouped = grouped_classes(docs, text, id_col, k, percent, chunk_rows, chunk_tokens)
     lowest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_classes"))
     by_class = grouped.join(lowest, "group").select("class_id", "component_id", "n_classes")
     out = slim.join(by_class, "class_id", "left")
     return out.select("doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_classes", F.lit(1)).alias("n_classes"))
 
 
-def drop_similar(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with one row of each group left: its smallest id's, and of rows that share that id one; empty texts are all kept."""
-    groups = similar_groups(docs, text, id_col, **options)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), "n_shingles").groupBy("__id").agg(F.max("n_shingles").alias("__n"))
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-    return kept.drop("__id", "__n")
+def drop_similar(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 5, percent: int = 80, chunk_rows: int = 512, chunk_tokens: int = 500_000) -> DataFrame:
+    """docs with one row of each group left: that of the smallest id, a null id last; of rows that share id and text, one.
+
+    Where rows of a group share the smallest id with different texts, the one whose id and text have the smallest hash stays. Texts that are null, empty or without words are all kept.
+    """
+    _, grouped = grouped_classes(docs, text, id_col, k, percent, chunk_rows, chunk_tokens)
+    row, n = fresh(docs, "row", "n")
+    leads = grouped.groupBy("group").agg(F.min_by("row", LEAD).alias(row)).select(row)
+    hashed = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), F.col(text)))
+    wordless = F.col(text).isNull() | ~F.col(text).rlike(r"[^ \t-\r]")
+    met = hashed.where(~wordless).join(leads, row)
+    one = met.withColumn(n, F.row_number().over(Window.partitionBy(row).orderBy(row))).where(F.col(n) == 1)
+    return one.select(*docs.columns).unionAll(docs.where(wordless))

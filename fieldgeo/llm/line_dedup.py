@@ -10,40 +10,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
+
+SALTS = 16  # parts into which a line's places are dealt in joins, so that a line on very many rows isn't one task's
 
 
 def _lines(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = 8, lg_k: int = 12) -> DataFrame:
-    """Hashes (column line) of lines on min_sites distinct sites or more, from rows (line, site). A null site counts for nothing."""
+def _salted(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def boilerplate(lines: DataFrame, lg_k: int = 12) -> DataFrame:
+    """Hashes (column line) of lines on as many distinct sites as they need, or more, from rows (line, site, needed, salt). A null site counts for nothing."""
     error = 3 * 1.04 / 2 ** (lg_k / 2)  # three standard errors of the sketch
-    low, high = min_sites * (1 - error), min_sites * (1 + error)
-    spread = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites")).where(F.col("sites") >= low)
-    sure = spread.where(F.col("sites") > high).select("line")
-    near = spread.where(F.col("sites") <= high).select("line")
-    exact = lines.join(near, "line", "left_semi").where("site is not null").distinct().groupBy("line").count().where(F.col("count") >= min_sites).select("line")
-    return sure.unionAll(exact)
+    spread = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"), F.max("needed").alias("needed"))
+    spread = spread.where(F.col("sites") >= F.col("needed") * (1 - error))
+    certain = F.col("sites") > F.col("needed") * (1 + error)
+    near = _salted(spread.where(~certain).select("line"))
+    exact = lines.join(near, ["line", "salt"], "left_semi").where("site is not null").select("line", "site", "needed").distinct()
+    exact = exact.groupBy("line").agg(F.count("*").alias("sites"), F.max("needed").alias("needed")).where("sites >= needed").select("line")
+    return spread.where(certain).select("line").unionAll(exact)
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = 8, min_chars: int = 12, lg_k: int = 12) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = 8, short_chars: int = 12, short_sites: int = 16, lg_k: int = 12) -> DataFrame:
     """docs with the boilerplate lines taken out of text, and columns n_lines (before) and n_removed after the others.
 
-    Lines are compared without outer spaces; lines under min_chars characters are never taken for boilerplate, since short
-    ones recur by chance. The lines left are joined by line feeds, untouched. A text all of whose lines go becomes empty; a
+    A line is boilerplate on min_sites distinct sites or more, one under short_chars characters on short_sites or more, since
+    short ones recur by chance; empty lines never are. Lines are compared without outer spaces. The lines left are joined by
+    line feeds, untouched. A text all of whose lines go becomes empty; a
     null text stays null with 0 lines; repeated rows are all kept. Own columns named n_lines or n_removed are replaced.
     """
     docs = docs.drop("n_lines", "n_removed")
-    keyed = docs.withColumn("__key", F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
-    places = keyed.select("__key", F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("place", "content")).where(F.length("content") >= min_chars)
-    places = places.select("__key", "site", "place", F.xxhash64("content").alias("line"))
-    gone = materialize(boilerplate(places.select("line", "site"), min_sites, lg_k), "boilerplate")  # a table, so that a join with it is broadcast by its size or split where a line is hot
-    marks = places.select("__key", "place", "line").join(gone, "line").groupBy("__key").agg(F.collect_set("place").alias("__gone"))
+    key, gone = fresh(docs, "row_key", "gone_places")
+    keyed = docs.withColumn(key, F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
+    places = keyed.select(F.col(key).alias("key"), F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("place", "content")).where(F.length("content") > 0)
+    needed = F.when(F.length("content") < short_chars, short_sites).otherwise(min_sites).alias("needed")
+    places = places.select("key", "site", "place", F.xxhash64("content").alias("line"), needed, F.pmod("key", F.lit(SALTS)).cast("int").alias("salt"))
+    found = materialize(boilerplate(places.select("line", "site", "needed", "salt"), lg_k), "boilerplate")  # a table, so that a join with it is broadcast by its size
+    marks = places.select("key", "place", "line", "salt").join(_salted(found), ["line", "salt"]).groupBy("key").agg(F.collect_set("place").alias(gone))
     whole = F.split(F.col(text), "\n")
-    left = F.filter(whole, lambda x, i: ~F.array_contains(F.col("__gone"), i))
-    out = keyed.join(marks, "__key", "left")
-    cleaned = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    n_removed = F.coalesce(F.size("__gone"), F.lit(0))
-    return out.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns], F.coalesce(F.size(whole), F.lit(0)).cast("long").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(n_removed).cast("long").alias("n_removed"))
+    left = F.filter(whole, lambda x, i: ~F.array_contains(F.col(gone), i))
+    out = keyed.join(marks.withColumnRenamed("key", key), key, "left")
+    cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    n_removed = F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed")
+    return out.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns], F.when(whole.isNull(), 0).otherwise(F.size(whole)).cast("long").alias("n_lines"), n_removed)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare, texts, tokenizer_path
+from .common import materialize, prepare, released, texts, tokenizer_path
 
 #: The tokenizer's pattern for lower-cased Latin-1 texts: contractions, letters, one digit or fraction, other signs.
 RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
@@ -33,7 +33,7 @@ class WordIds(dict):
     many at a time and told apart by their word-end ids.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
@@ -89,7 +89,7 @@ def word_ids(name: str) -> WordIds:
     return _loaded[name]
 
 
-def encoded(table: WordIds, texts: list[str], most: int = 1_000_000):
+def encoded(table: WordIds, texts: list[str], most: int = 200_000):
     """The ids of each text, a few characters' worth of texts at a time."""
     some, size = [], 0
     for text in texts:
@@ -110,7 +110,7 @@ def cut_pieces(docs: DataFrame, text: str, id_col: str, capacity: int, end_id: i
 
     def cut(batches):
         table = word_ids(tokenizer)
-        for batch in batches:
+        for batch in released(batches):
             rows = []
             for doc, data in zip(batch.column(0).to_pylist(), encoded(table, texts(batch.column(1))), strict=True):
                 data += end

@@ -17,7 +17,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "lang", "log_perplexity", "keep")
+    return quality.classify(docs, table(spark, sf_dir, "labels"), columns=["doc_id", "lang"]).select("doc_id", "lang", "log_perplexity", "keep")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 LINE_DEDUP = """
 with lines as (select source, unnest(list_distinct(list_transform(string_split(text, chr(10)), lambda x: trim(x)))) as line from documents),
-gone as (select coalesce(list(line), []) as all_gone from (select line from lines where length(line) >= 12 group by line having count(distinct source) >= 8)),
+gone as (select coalesce(list(line), []) as all_gone from (select line from lines where line <> '' group by line having count(distinct source) >= case when length(line) < 12 then 16 else 8 end)),
 marked as (select doc_id, text, string_split(text, chr(10)) as parts, all_gone from documents, gone)
 select doc_id,
   case when text is null then null else array_to_string(list_filter(parts, lambda x: not list_contains(all_gone, trim(x))), chr(10)) end as text,

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import prepare, texts, tokenizer_path
+from .common import prepare, released, texts, tokenizer_path
 
 MARK = "▁"
 CROSSING = re.compile("[^▁]▁")
@@ -35,7 +35,7 @@ def prove_whole_tokens(processor) -> frozenset[str]:
 class PartCounts(dict):
     """Tokens by part: the proven whole tokens, and parts merged lately."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 150_000):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -82,7 +82,7 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str = "piece_bpe_32
 
     def count(batches):
         table = part_counts(model)
-        for batch in batches:
+        for batch in released(batches):
             column = batch.column(batch.num_columns - 1)
             n = pa.array([table.of(x) for x in texts(column)], pa.int64())
             size = pc.fill_null(pc.cast(pc.binary_length(column), pa.int64()), 0)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare, texts
+from .common import materialize, prepare, released, texts
 
 #: Fixed word lists of the grammar, in four languages.
 THREATS = "kill hurt destroy beat burn die töten schlagen vernichten sterben tuer frapper détruire mourir matar golpear destruir morir".split()
@@ -123,7 +123,7 @@ def learn_insults(labelled: DataFrame, most: int = 500, least: int = 5, ratio: f
     """Words with the number of different words before them in toxic texts least or more, and ratio times as frequent there."""
 
     def pairs(batches):
-        for batch in batches:
+        for batch in released(batches):
             seen = set()
             for toxic, x in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                 tokens = [t for t in TOKEN.findall(x.lower()) if t not in STOPS]
@@ -172,7 +172,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
     names = list(FEATURES)
 
     def describe(batches):
-        for batch in batches:
+        for batch in released(batches):
             x = np.array([grammar.features(t) for t in texts(batch.column(1))], np.float64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy(zero_copy_only=False), pa.int32()), *[pa.array(c) for c in x.T]], names=["toxic", *names])
 
@@ -185,7 +185,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def predict(batches):
-        for batch in batches:
+        for batch in released(batches):
             x = np.array([grammar.features(t) for t in texts(batch.column(batch.num_columns - 1))], np.float64).reshape(-1, len(names))
             s = 1 / (1 + np.exp(-(w[0] + (x - mean) / scale @ w[1:]))) if both else np.full(len(x), constant)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(s, pa.float64()), pa.array((s >= limit).astype(np.int32))], names=schema.names)
