@@ -1,7 +1,8 @@
 """A corpus pipeline: quality, boilerplate lines, near duplicates, benchmark leaks, then packed sequences.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns the documents' columns, the
-last one the packed pieces. run() writes each stage's result to the shared folder and reads it again.
+last one the packed pieces. run() writes each stage's result to the shared folder and reads it again. Columns that are
+named as a stage's own results come through unchanged; n_chars follows the text where there is such a column.
 """
 
 from __future__ import annotations
@@ -10,25 +11,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgeo.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from fieldgeo.llm.common import materialize, prepare, table
+from fieldgeo.llm.common import fresh, materialize, prepare, table
+
+
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns of these names under other ones, and each column's present name."""
+    present = {c: c for c in docs.columns}
+    for column in docs.columns:
+        if column.lower() in names:
+            (present[column],) = fresh(docs, f"input_{column}")
+            docs = docs.withColumnRenamed(column, present[column])
+    return docs, present
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts outside their language's range of perplexity go."""
     prepare(spark)
-    return quality.classify(docs, table(spark, sf_dir, "labels")).where("keep").select(*docs.columns)
+    docs, names = aside(docs, "log_perplexity", "log_recurrence", "keep")
+    kept = quality.classify(docs, table(spark, sf_dir, "labels")).where("keep")
+    return kept.select(*[F.col(now).alias(c) for c, now in names.items()])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites go; n_chars follows the text left."""
+    docs, names = aside(docs, "n_lines", "n_removed")
     cleaned = line_dedup.dedup_lines(docs)
-    return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    if "n_chars" in names:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+    return cleaned.select(*[F.col(now).alias(c) for c, now in names.items()])
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one of the smallest id stays."""
     prepare(spark)
-    return jaccard_join.drop_similar(docs, k=5, percent=80).select(*docs.columns)
+    return jaccard_join.drop_similar(docs, k=5, percent=80)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +61,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("quality", quality_stage), ("lines", line_stage), ("near duplicates", duplicate_stage), ("benchmark leaks", leak_stage), ("packing", packing_stage)]
 
-#: Tokenisation and the trained model have no SQL form; tests hold the stages against brute-force versions.
+#: Tokenisation and the trained model have no SQL form; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
