@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -190,8 +190,9 @@ def spanning_links(one: Chunk, two: Chunk, percent: int, exact: bool = True) ->
     return out
 
 
-#: Of two rows the lead is the one with an id, of the smaller id, then of the smaller hash.
-LEAD = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+def lead_order() -> Column:
+    """Of two rows the lead is the one with an id, of the smaller id, then of the smaller hash."""
+    return F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
 
 
 def grouped_classes(docs: DataFrame, text: str, id_col: str, k: int, percent: int, chunk_rows: int, chunk_tokens: int) -> tuple[DataFrame, DataFrame]:
@@ -260,7 +261,7 @@ def grouped_classes(docs: DataFrame, text: str, id_col: str, k: int, percent: in
     near = areas.select(F.col("node").alias("class_id"), F.col("component").alias("area"))
 
     # one row of each class that has candidates brings its set along
-    ids = slim.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.min_by("row", LEAD).alias("row"), F.first("n_shingles").alias("n"))
+    ids = slim.where("class_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.min_by("row", lead_order()).alias("row"), F.first("n_shingles").alias("n"))
     chosen_ids = materialize(near.join(ids, "class_id"), "areas")
     discard(shared, maps, strong, first, areas)
     sizes = chosen_ids.groupBy("area").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
@@ -309,7 +310,7 @@ def drop_similar(docs: DataFrame, text: str = "text", id_col: str = "doc_id", k:
     """
     _, grouped = grouped_classes(docs, text, id_col, k, percent, chunk_rows, chunk_tokens)
     row, n = fresh(docs, "row", "n")
-    leads = grouped.groupBy("group").agg(F.min_by("row", LEAD).alias(row)).select(row)
+    leads = grouped.groupBy("group").agg(F.min_by("row", lead_order()).alias(row)).select(row)
     hashed = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("long"), F.col(text)))
     wordless = F.col(text).isNull() | ~F.col(text).rlike(r"[^ \t-\r]")
     met = hashed.where(~wordless).join(leads, row)
