@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldgeo.llm import decontaminate, jaccard_join, langid, line_dedup, lm_score, packing, quality, token_counts, topk, toxicity
 from fieldgeo.llm.common import components, table, words_of
@@ -151,35 +152,42 @@ def test_lm_scores(spark, docs, rows, edges, nothing):
     both = docs.select("doc_id", "text").unionAll(edges.select("doc_id", "text"))
     rows = rows + [r[:2] for r in EDGES]
     own = [(d, [*words_of(t), None], held(d, 10, 0)) for d, t in rows]
-    c, pairs = Counter(), Counter()
+    c, pairs, triples = Counter(), Counter(), Counter()
     for _, tokens, out in own:
         if not out:
             c.update(tokens)
             pairs.update(zip([None, *tokens], tokens, strict=False))
+            triples.update(zip([None, *tokens], tokens, tokens[1:], strict=False))
     total, kinds = sum(c.values()), len(c)
-    successors = Counter(v for v, _ in pairs)
-    share = lambda x: (a := sum(v == 1 for v in x.values())) / (a + 2 * sum(v == 2 for v in x.values()))
-    d, cut = share(c), share(pairs)
+    d = (a := sum(v == 1 for v in c.values())) / (a + 2 * sum(v == 2 for v in c.values()))
+    k2, k3 = len(pairs) / len(c), len(triples) / len(pairs)
     one = lambda w: (c[w] - d) / total if c[w] else d * kinds / total
-
-    def two(v, w):
-        if not c[v]:
-            return one(w)
-        back = cut * successors[v] / c[v]
-        return (pairs[v, w] - cut) / c[v] + back * one(w) if pairs[v, w] else back * one(w)
-
-    want = [(doc, out, len(tokens), sum(c[w] > 0 for w in tokens), total, round(sum(math.log10((c[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in tokens), 4), round(sum(math.log10(two(v, w)) for v, w in zip([None, *tokens], tokens, strict=False)), 4)) for doc, tokens, out in own]
+    two = lambda v, w: (pairs[v, w] + k2 * one(w)) / (c[v] + k2) if c[v] else one(w)
+    three = lambda u, v, w: (triples[u, v, w] + k3 * two(v, w)) / (pairs[u, v] + k3) if pairs[u, v] else two(v, w)
+    score = lambda t: math.log10(two(None, t[0])) + sum(math.log10(three(*x)) for x in zip([None, *t], t, t[1:], strict=False))
+    want = [(doc, out, len(t), sum(c[w] > 0 for w in t), total, round(sum(math.log10((c[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in t), 4), round(score(t), 4)) for doc, t, out in own]
     got = [(r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in lm_score.score_documents(both, block_bytes=60_000).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert abs(sum(one(w) for w in c) + d * kinds / total - 1) < 1e-9
+    u, v, w = next(iter(triples))
+    assert abs(sum(three(u, v, w) for w in c) + k3 / (pairs[u, v] + k3) * k2 / (c[v] + k2) * d * kinds / total - 1) < 1e-9
     assert lm_score.score_documents(nothing).count() == 0
+    assert {r["score"] for r in lm_score.score_documents(both, held_out=F.lit(True)).collect()} == {0.0}
 
 
-def test_lm_bigrams_that_differ_in_low_bits_alone_are_told_apart():
-    keys = np.array([(7 << 40) | 24, (7 << 40) | 40, (7 << 40) | 56], np.uint64)  # one shard of 8, one upper 40 bits
-    asked = lm_score.asked(lm_score.PAIRS, 0, keys, [np.array([5, 0, 2])], 8)
-    _, place, counts, totals = lm_score.merged(asked)
-    assert len(set(place.tolist())) == 3 and totals[0][place].tolist() == counts[0].tolist() == [5, 0, 2]
+def test_lm_counts_are_added_up_exactly():
+    rng = np.random.default_rng(2)
+    requests, want = [], Counter()
+    for _ in range(5):
+        rows = sorted({(int(a), int(b), int(c)) for a, b, c in rng.integers(0, 6, (40, 3)) + [2**31 - 9, 2**32 - 9, 2**32 - 9]})
+        counts = rng.integers(0, 4, len(rows))
+        want.update(dict(zip(rows, counts.tolist(), strict=True)))
+        columns = np.array(rows, np.uint64).T
+        requests.append(lm_score.unpacked(lm_score.packed(lm_score.steps(columns[0]), *columns[1:], counts)))
+    totals, places = lm_score.added_up(lm_score.TRIPLES, requests)
+    for request, place in zip(requests, places, strict=True):
+        rows = zip(*[x.tolist() for x in (np.cumsum(request[0]), *request[1:3])], strict=True)
+        assert [want[r] for r in rows] == totals[place].tolist()
 
 
 def test_decontamination(spark, sf, docs, rows, edges, nothing):
@@ -278,29 +286,71 @@ def test_topk(spark, sf):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
-def test_quality(spark, sf, docs, edges, nothing):
+def brute_kneser_ney(samples, order):
+    """p(byte | up to order - 1 before) by the textbook recursion over dictionaries."""
+    counts = Counter()
+    for data in samples:
+        x = bytes([quality.START]) * (order - 1) + data + bytes([quality.END])
+        counts.update(x[i : i + order] for i in range(len(x) - order + 1))
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    followers, cuts = {}, {}
+    for n, level in levels.items():
+        n1, n2, n3, n4 = (sum(v == i for v in level.values()) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
+        d1, d2, d3 = 1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)
+        cuts[n] = [0, *(min(max(d, 0.05), top - 0.05) for d, top in ((d1, 1), (d2, 2), (d3, 3)))]
+        followers[n] = defaultdict(list)
+        for g, c in level.items():
+            followers[n][g[:-1]].append(c)
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / quality.ALPHABET
+        own = followers[n].get(g[:-1])
+        if not own:
+            return p(g[1:])
+        c, d = levels[n][g], cuts[n]
+        return ((c - d[min(c, 3)]) + sum(d[min(x, 3)] for x in own) * p(g[1:])) / sum(own)
+
+    return p
+
+
+def test_quality_against_brute_force(spark, sf, docs, rows, edges, nothing):
     labels = table(spark, sf, "labels")
-    model, held_back = quality.train(docs, labels, size=60)
-    scored = {r["doc_id"]: r["log_perplexity"] for r in quality.perplexity(docs, model).collect()}
-    joined = {r["doc_id"]: r["log_perplexity"] for r in quality.perplexity(docs, model, most_rows=10).collect()}
-    assert all(abs(scored[d] - joined[d]) < 1e-6 for d in scored)
-    rows = model.toArrow()
-    own = quality.Model(*[rows.column(c).to_numpy() for c in ("key", "log_p", "log_backoff")])
-    for context in ("the", "a", "zzqx", ""):  # a distribution over the next byte
-        parts = []
-        for b in range(256):
-            data = context.encode() + bytes([b])
-            key = quality.keys_of(data, quality.ORDER)[len(data) - 1]
-            total, n = 0.0, quality.ORDER
-            while n:
-                p, found = own.find(own.grams[n], np.array([(key & ((1 << (8 * n)) - 1)) | (n << 56)]))
-                if found[0]:
-                    total += p[0]
-                    break
-                total += own.find(own.contexts[n - 1], np.array([((key >> 8) & ((1 << (8 * (n - 1))) - 1)) | ((n - 1) << 56)]))[0].sum()
-                n -= 1
-            parts.append(math.exp(total - (0 if n else math.log(256))))
-        assert abs(sum(parts) - 1) < 1e-6
+    both = docs.select("doc_id", "text", "lang").unionAll(edges.select("doc_id", "text", "lang"))
+    sample = quality.sample_of(both, labels, 30, "text", "doc_id")
+    model, marks = quality.fit(sample), quality.fit_marks(sample)
+    p = brute_kneser_ney([r["text"].encode() for r in sample.collect()], quality.ORDER)
+    pad = bytes([quality.START]) * (quality.ORDER - 1)
+    for context in (b"the ", b"a", b"zzqx", b""):
+        assert abs(sum(p((pad + context)[-4:] + bytes([b])) for b in range(256)) - 1) < 1e-9
+    got = by_row(quality.perplexity(both, model, marks, block_bytes=40_000, wave_blocks=2, shard_rows=5_000).collect(), "doc_id", "log_perplexity")
+    want = []
+    for d, t in [*rows, *(r[:2] for r in EDGES)]:
+        x = pad + (t or "").encode() + bytes([quality.END])
+        want.append((d, -sum(math.log(p(x[i : i + quality.ORDER])) for i in range(len(x) - 4)) / (len(x) - 4) if t else None))
+    assert len(got) == len(want)
+    for (d, a), (e, b) in zip(sorted(got, key=repr), sorted(want, key=repr), strict=True):
+        assert d == e and (a is None) == (b is None) and (a is None or abs(a - b) < 1e-5)
+    scored = quality.classify(both, labels, size=30).collect()
+    by_id = {r["doc_id"]: r for r in scored if r["doc_id"] is not None}
+    own, trusted = {r["id"] for r in sample.collect()}, [by_id[r["doc_id"]] for r in labels.where("quality = 1").collect() if r["doc_id"] in by_id]
+    quantile = lambda x, q: sorted(x)[max(0, math.ceil(q * len(x)) - 1)]
+
+    def limits(column, lang):
+        of = lambda lang, out: [r[column] for r in trusted if r[column] is not None and lang in (None, r["lang"]) and not (out and r["doc_id"] in own)]
+        every = of(lang, False) if lang is not None and len(of(lang, False)) >= 50 else of(None, False)
+        others = of(lang, True) if lang is not None and len(of(lang, False)) >= 50 and len(of(lang, True)) >= 50 else of(None, True)
+        a, m, z, n = quantile(every, 0.001), quantile(every, 0.5), quantile(others, 0.995), quantile(others, 0.5)
+        return a - 0.5 * (m - a), z + 0.5 * (z - n)
+
+    for r in scored:
+        low, high = limits("log_perplexity", r["lang"])
+        repeats = limits("log_recurrence", r["lang"])[1]
+        assert r["keep"] == (r["log_perplexity"] is not None and low <= r["log_perplexity"] <= high and (r["log_recurrence"] is None or r["log_recurrence"] <= repeats))
     got = {(r["doc_id"], r["text"]): r["keep"] for r in quality.classify(edges, labels).collect()}  # no trusted text among them
     assert not got[1001, ""] and not got[1002, None] and got[1007, "one"]
     assert quality.classify(nothing, labels).count() == 0
@@ -318,21 +368,6 @@ def test_quality_of_repeated_words(spark):
     assert sum(got[i]["keep"] for i, _, _ in good) >= 295
 
 
-def test_quality_limits_come_from_all_trusted_rows(spark, monkeypatch):
-    data = [(i, f"some words of text number {i} and {i * 7919 % 1009} more", "en" if i % 5 else "xx") for i in range(500)]
-    frame = spark.createDataFrame(data, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 1) for i in range(500)], "doc_id long, quality int")
-    seen, plain = [], quality.thresholds
-
-    def watched(scored, *args, **options):
-        seen.append({r["lang"]: r["count"] for r in scored.groupBy("lang").count().collect()})
-        return plain(scored, *args, **options)
-
-    monkeypatch.setattr(quality, "thresholds", watched)
-    assert quality.classify(frame, labels, size=20).count() == 500
-    assert all(sum(x.values()) >= 460 and x["xx"] >= 60 for x in seen)
-
-
 def test_toxicity(spark, sf, docs, edges, nothing):
     labels = table(spark, sf, "labels").where("crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "toxic")
     both = docs.select("doc_id", "text").unionAll(edges.select("doc_id", "text"))
