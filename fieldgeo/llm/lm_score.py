@@ -1,39 +1,41 @@
-"""Language-model scores of documents by a weighted backoff automaton over word bigrams.
+"""Language-model scores of documents by a weighted backoff automaton over word trigrams.
 
 The model. Unigrams: p(w) = (c(w) - d) / N for known words and d V / N for the one unknown outcome, d = n1 / (n1 + 2 n2).
-Bigrams: p(w | v) = (c(vw) - D) / c(v) + D T(v) / c(v) p(w), T(v) the distinct successors of v. As an automaton: a state for each context with
-successors, an arc for each seen bigram that carries log p(w | v), and a failure arc to the root that carries
-log(D T(v) / c(v)); the root has an arc for each word.
+Above them each order is drawn towards the one below as if by k tokens more: p(w | v) = (c(vw) + k2 p(w)) / (c(v) + k2) and
+p(w | uv) = (c(uvw) + k3 p(w | v)) / (c(uv) + k3), k being the distinct n-grams of that order for each context seen. As an automaton: a state
+for each context with successors, an arc for each seen n-gram that carries its log probability, and a failure arc to the
+state of the context's last word, or to the root, that carries log(k / (c + k)); the root has an arc for each word.
 
-Its counts grow with the corpus, so no task holds the whole model. Documents are dealt to blocks of a few megabytes; a
-block asks only for the n-grams that stand in it, in packed arrays by shard of the n-gram's hash:
+Its counts grow with the corpus, so no task holds the whole model. Documents are dealt to blocks of a few megabytes, in
+which words are numbers; a block asks only for the n-grams that stand in it, in packed arrays by shard:
 
-1. block -> bigram shards: keys and the block's training counts. A shard adds the counts up and answers with totals, and
-   tells one of the asking blocks of each bigram seen in training that it owns it.
-2. block -> unigram shards: word hashes, the block's counts, and how many bigrams it owns after each word, which add up to T(v).
+1. block -> word shards, by 64-bit hashes: a shard adds the blocks' training counts up and numbers its words, often used ones first.
+2. block -> n-gram shards, by those numbers, without n-grams that hold an unknown word: a shard adds the counts up.
 3. With both answers a block builds its part of the automaton and each document is traversed once from left to right.
 
-A word on a third of all rows is one entry for each block. Words and bigrams are told apart by 64-bit hashes.
+A word, pair or triple on a third of all rows is one entry for each block. A text is read as words once; the blocks are
+written to the shared folder as numbers.
 """
 
 from __future__ import annotations
 
-import zlib
+import struct
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, word_hashes, words_of
+from .common import materialize, mix, prepare, word_hashes, words_of
 
 END = np.uint64(0x2545F4914F6CDD1D)
-PAIRS, WORDS, TOTALS = 1, 0, 2  # kinds of requests and answers
-ASK = "kind int, shard int, block int, keys binary, counts binary, ones long, twos long"
-ANSWER = "kind int, shard int, block int, counts binary, tokens long, types long, w1 long, w2 long, p1 long, p2 long"
-NO_TOTALS = (0,) * 6
+WORDS, PAIRS, TRIPLES = 1, 2, 3  # n-grams by their order
+BLOCK = "block int, docs array<long>, held array<boolean>, tokens binary, words array<struct<shard int, data binary>>"
+ASK = "kind int, shard int, block int, data binary"
+ANSWER = "kind int, shard int, block int, data binary, n long, types long, ones long, twos long"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 class Numbers(dict):
@@ -42,52 +44,33 @@ class Numbers(dict):
         return n
 
 
-class Block:
-    """The tokens of a block's documents as numbers: 0 for the end, others by first appearance."""
-
-    def __init__(self, table: pa.Table):
-        numbers = Numbers()
-        self.documents = []
-        for text in table.column("text"):
-            ids = np.array([*map(numbers.__getitem__, words_of(text.as_py())), 0], np.int64)
-            self.documents.append(ids)
-        self.train = ~np.array(table.column("held_out").to_pylist(), bool)
-        self.hashes = np.concatenate([np.array([END]), word_hashes(list(numbers))])
-        n = len(self.hashes)
-        self.tokens = np.concatenate(self.documents)
-        weight = np.repeat(self.train, [len(x) for x in self.documents]).astype(np.int64)
-        before = np.concatenate([np.concatenate([[0], x[:-1]]) for x in self.documents])  # the end also stands before the first word
-        self.pairs, self.places = np.unique(before * n + self.tokens, return_inverse=True)
-        self.pair_counts = np.bincount(self.places, weight, len(self.pairs)).astype(np.int64)
-        self.counts = np.bincount(self.tokens, weight, n).astype(np.int64)
-        self.left, self.right = self.pairs // n, self.pairs % n
-        self.pair_keys = mix(self.hashes[self.left] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[self.right])
-
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers from 0 as few bytes as their largest one needs, the lower bytes of all first, compressed."""
+    parts = []
+    for x in arrays:
+        width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+        parts += [struct.pack("<qq", len(x), width), x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return zstandard.compress(b"".join(parts), 1)
 
-def packed(x: np.ndarray, kind: str) -> bytes:
-    return zlib.compress(x.astype(kind).tobytes(), 1)
 
-
-def unpacked(x: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), kind).astype(np.int64)
+def unpacked(data: bytes) -> list[np.ndarray]:
+    data, at, out = zstandard.decompress(data), 0, []
+    while at < len(data):
+        n, width = struct.unpack_from("<qq", data, at)
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 16).reshape(width, n).T
+        out.append(whole.view("<u8").reshape(n).astype(np.uint64))
+        at += 16 + n * width
+    return out
 
 
-def by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the keys by shard and key, and each shard's ends within it."""
-    shard = (keys % np.uint64(shards)).astype(np.int64)
-    order = np.lexsort((keys, shard))
-    return order, shard, np.searchsorted(shard[order], np.arange(shards + 1))
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted uint64 values, the first from 0; np.cumsum undoes it."""
+    return np.diff(x, prepend=x.dtype.type(0))
 
 
-def asked(kind: int, block: int, keys: np.ndarray, counts: list[np.ndarray], shards: int, ones: int = 0, twos: int = 0) -> pa.Table:
-    order, _, ends = by_shard(keys, shards)
-    rows = []
-    for s in range(shards):
-        own = order[ends[s] : ends[s + 1]]
-        if len(own):
-            rows.append((kind, s, block, keys[own].tobytes(), packed(np.stack([c[own] for c in counts]), "<i8"), ones, twos))
-            ones = twos = 0
-    return table_of(rows, ASK)
+def whole(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.int64)
 
 
 def table_of(rows: list[tuple], schema: str) -> pa.Table:
@@ -97,80 +80,184 @@ def table_of(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[t]) for n, t, c in zip(names, types, columns, strict=True)})
 
 
-def merged(rows: pa.Table) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(block, entries) of each request, the distinct key's place of every entry, the requests' counts (2-d), and their totals."""
-    who, keys, counts = [], [], []
-    for block, data, c in sorted(zip(rows.column("block").to_pylist(), rows.column("keys").to_pylist(), rows.column("counts").to_pylist(), strict=True), key=lambda x: x[0]):
-        own = np.frombuffer(data, np.uint64)
-        who.append((block, len(own)))
-        keys.append(own)
-        counts.append(unpacked(c, "<i8").reshape(-1, len(own)))
-    _, place = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.concatenate(counts, axis=1)
-    totals = np.stack([np.bincount(place, c, place.max() + 1) for c in counts]).astype(np.int64)
-    return who, place, counts, totals
-
-
-def answers(kind: int, shard: int, who: list[tuple[int, int]], values: np.ndarray) -> list[tuple]:
-    out, at = [], 0
-    for block, n in who:
-        out.append((kind, shard, block, packed(values[:, at : at + n], "<i8"), *NO_TOTALS))
-        at += n
-    return out
+def as_numbers(block: int, table: pa.Table, shards: int) -> pa.Table:
+    """One row for a block: its documents' tokens as places in the list of its words, which are sorted by shard and hash."""
+    numbers = Numbers()
+    documents = [np.array([*map(numbers.__getitem__, words_of(x.as_py())), 0], np.int64) for x in table.column("text")]
+    held = table.column("held_out").to_pylist()
+    hashes = np.concatenate([np.array([END]), word_hashes(list(numbers))])
+    shard = whole(hashes % np.uint64(shards))
+    order = np.lexsort((hashes, shard))
+    rank = np.argsort(order)
+    tokens, sizes = rank[np.concatenate(documents)], np.array([len(x) for x in documents])
+    counts = np.bincount(tokens, np.repeat(~np.array(held, bool), sizes), len(order)).astype(np.int64)
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    words = [{"shard": s, "data": packed(steps(hashes[order[a:z]]), counts[a:z])} for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
+    kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.struct([("shard", pa.int32()), ("data", pa.binary())]))]
+    row = (block, table.column("doc_id").to_pylist(), held, packed(tokens, sizes), words)
+    return pa.table({n: pa.array([x], t) for n, x, t in zip(("block", "docs", "held", "tokens", "words"), row, kinds, strict=True)})
 
 
-def answered(rows: pa.Table, kind: int, keys: np.ndarray, shards: int) -> np.ndarray:
-    """The answers' values (2-d) in the order of keys."""
-    order, _, ends = by_shard(keys, shards)
-    out = None
-    for k, s, data in zip(rows.column("kind").to_pylist(), rows.column("shard").to_pylist(), rows.column("counts").to_pylist(), strict=True):
-        if k == kind:
-            own = order[ends[s] : ends[s + 1]]
-            values = unpacked(data, "<i8").reshape(-1, len(own))
-            if out is None:
-                out = np.zeros((len(values), len(keys)), np.int64)
-            out[:, own] = values
-    return out
+class Block:
+    """A block's documents with what the word shards told of its words, and its distinct n-grams of known words.
+
+    grams[n] are the n-grams of order n as rows of word numbers, in order; places[n] is each token's row there, or -1; weights[n] their
+    counts in training documents.
+    """
+
+    def __init__(self, row: dict, told: dict[int, bytes]):
+        tokens, sizes = map(whole, unpacked(row["tokens"]))
+        self.docs, self.held, self.sizes, self.tokens = row["docs"], row["held"], sizes, tokens
+        numbers, counts = zip(*[unpacked(told[s]) for s in sorted(told)], strict=True)
+        self.numbers, self.counts = whole(np.concatenate(numbers)), whole(np.concatenate(counts))
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.first, end = first, tokens[-1]
+        before = np.concatenate([[end], tokens[:-1]])  # the end also stands before the first word
+        before[first] = end
+        second = np.concatenate([[end], before[:-1]])
+        known, trained = self.counts > 0, np.repeat(~np.array(self.held, bool), sizes)
+        n = len(self.numbers)
+        self.grams, self.places, self.weights = {}, {}, {}
+        open_ = known[tokens] & known[before]
+        pair = np.where(open_, before * n + tokens, -1)
+        self.take(PAIRS, pair, trained, n)
+        open_ &= known[second]
+        open_[first] = False
+        triple = np.full(len(tokens), -1)
+        triple[open_] = self.places[PAIRS][np.flatnonzero(open_) - 1] * n + tokens[open_]  # the pair before, then the word
+        self.take(TRIPLES, triple, trained, n)
+
+    def take(self, kind: int, keys: np.ndarray, trained: np.ndarray, n: int) -> None:
+        some = np.flatnonzero(keys >= 0)
+        found, at = np.unique(keys[some], return_inverse=True)
+        self.places[kind] = np.full(len(keys), -1)
+        self.places[kind][some] = at
+        self.weights[kind] = np.bincount(at, trained[some], len(found)).astype(np.int64)
+        left = self.numbers[found // n][:, None] if kind == PAIRS else self.grams[PAIRS][found // n]
+        self.grams[kind] = np.hstack([left, self.numbers[found % n][:, None]]) if len(found) else np.zeros((0, kind), np.int64)
+
+    def by_shard(self, kind: int, shards: int) -> list[tuple[int, np.ndarray]]:
+        """Each shard's n-grams, in the order of their first words' numbers."""
+        rows, hashed = self.grams[kind], np.zeros(len(self.grams[kind]), np.uint64)
+        for column in rows.T:
+            hashed = mix(hashed + column.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        shard = whole(hashed % np.uint64(shards))
+        order = np.lexsort((*rows.T[::-1], shard))
+        ends = np.searchsorted(shard[order], np.arange(shards + 1))
+        return [(s, order[a:z]) for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
+
+    def asked(self, kind: int, shards: int) -> list[tuple[int, bytes]]:
+        return [(s, packed(steps(self.grams[kind][at, 0]), *self.grams[kind][at, 1:].T, self.weights[kind][at])) for s, at in self.by_shard(kind, shards)]
+
+    def answered(self, kind: int, shards: int, told: dict[int, bytes]) -> np.ndarray:
+        """Training counts of the block's n-grams."""
+        out = np.zeros(len(self.grams[kind]), np.int64)
+        for s, at in self.by_shard(kind, shards):
+            out[at] = whole(unpacked(told[s])[0])
+        return out
+
+
+def added_up(kind: int, requests: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of a shard's requests: their distinct n-grams' total counts, and the place of each entry among those, a list for each request."""
+    columns = [np.concatenate([np.cumsum(r[0]) for r in requests]), *[np.concatenate([r[i] for r in requests]) for i in range(1, len(requests[0]) - 1)]]
+    keys = columns[0]
+    for column in columns[1:]:
+        _, keys = np.unique(keys, return_inverse=True)
+        keys = (keys.astype(np.uint64) << np.uint64(32)) | column
+    _, place = np.unique(keys, return_inverse=True)
+    totals = np.bincount(place, np.concatenate([r[-1] for r in requests])).astype(np.int64)
+    return totals, np.split(place, np.cumsum([len(r[0]) for r in requests])[:-1])
 
 
 class Automaton:
-    """A block's states and arcs. State 0 is the root; state v + 1 stands for context v where v was seen in training."""
-
-    def __init__(self, block: Block, c: np.ndarray, types: np.ndarray, pair_totals: np.ndarray, total: Totals):
-        n_train, vocabulary, d, discount = total.tokens, total.types, total.share(total.w1, total.w2), total.share(total.p1, total.p2)
-        known = np.where(c > 0, c - d, max(d * vocabulary, d)) / max(n_train, 1)
-        if not n_train:
-            known = (c + 0.1) / (n_train + 0.1 * (vocabulary + 1))
-        context = np.where(c > 0, discount * types / np.maximum(c, 1), 1.0)
-        seen = (pair_totals > 0) & (c[block.left] > 0)
-        p = (pair_totals[seen] - discount) / c[block.left[seen]] + context[block.left[seen]] * known[block.right[seen]]
-        self.root = np.log10(known).tolist()
-        self.next = np.where(c > 0, np.arange(len(c)) + 1, 0).tolist()
-        self.fail = [0.0, *np.log10(np.where(context > 0, context, 1.0)).tolist()]
-        arcs = np.full(len(seen), np.nan)
-        arcs[seen] = np.log10(p)
-        self.arcs = [None if x != x else x for x in arcs.tolist()]  # by the number of a (context, word) pair
-
-    def score(self, tokens: list[int], pairs: list[int]) -> float:
-        """One traversal: follow the state's arc, or its failure arc to the root and the arc there. pairs: each word's pair with the one before."""
-        root, after, fail, arcs = self.root, self.next, self.fail, self.arcs
-        state, total = after[0], 0.0
-        for word, pair in zip(tokens, pairs, strict=True):
-            if state:
-                p = arcs[pair]
-                total += fail[state] + root[word] if p is None else p
+    """A block's states and arcs: the root, a state for each of its words and pairs that was seen in training."""
+
+    def __init__(self, block: Block, pairs: np.ndarray, triples: np.ndarray, total: Totals):
+        c = block.counts
+        root = np.where(c > 0, c - total.discount, max(total.discount * total.types, total.discount)) / max(total.tokens, 1)
+        if not total.tokens:
+            root = np.ones(len(c))
+        self.root = np.log10(root)
+        before = np.concatenate([[0], block.tokens[:-1]])
+        before[block.first] = block.tokens[-1]
+        self.pair, self.triple = block.places[PAIRS], block.places[TRIPLES]
+        # a probability of every distinct n-gram that was seen; by the place of one of its tokens its lower orders are known
+        at = self.one_place(self.pair, len(pairs))
+        two = (pairs + total.pull_pairs * root[block.tokens[at]]) / np.maximum(c[before[at]] + total.pull_pairs, 1e-9)
+        at = self.one_place(self.triple, len(triples))
+        context = pairs[self.pair[at - 1]]
+        three = (triples + total.pull_triples * two[self.pair[at]]) / np.maximum(context + total.pull_triples, 1e-9)
+        log = lambda p, seen: np.log10(np.where(seen, p, np.nan))
+        self.arcs = {PAIRS: log(two, pairs > 0), TRIPLES: log(three, triples > 0)}
+        self.fail = {PAIRS: np.log10(total.pull_pairs / (c + total.pull_pairs)), TRIPLES: np.log10(total.pull_triples / (pairs + total.pull_triples))}
+        self.word_states, self.pair_states = c > 0, pairs > 0
+        self.before = before
+
+    @staticmethod
+    def one_place(places: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n, np.int64)
+        out[places[places >= 0]] = np.flatnonzero(places >= 0)
+        return out
+
+    def score(self, block: Block, a: int, z: int) -> float:
+        """One traversal of tokens a to z: an arc of the present state if it has one for the word, else its failure arc, and again."""
+        at = lambda values, places: np.where(places >= 0, values[places], np.nan).tolist() if len(values) else [np.nan] * len(places)
+        tokens, pairs, before = block.tokens[a:z], self.pair[a:z], self.before[a:z]
+        last = np.concatenate([[-1], pairs[:-1]])
+        has_pair = ((last >= 0) & self.pair_states[last]).tolist() if len(self.pair_states) else [False] * len(tokens)
+        states = zip(has_pair, self.word_states[before].tolist(), at(self.arcs[TRIPLES], self.triple[a:z]), at(self.arcs[PAIRS], pairs), self.root[tokens].tolist(), at(self.fail[TRIPLES], last), self.fail[PAIRS][before].tolist(), strict=True)
+        total = 0.0
+        for pair_state, word_state, three, two, one, fail_pair, fail_word in states:
+            if pair_state:
+                if three == three:
+                    total += three
+                    continue
+                total += fail_pair
+            if word_state:
+                total += two if two == two else fail_word + one
             else:
-                total += root[word]
-            state = after[word]
+                total += one
         return total
 
 
-def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", held_out=None, block_bytes: int = 3_500_000) -> DataFrame:
+class Totals(NamedTuple):
+    """Of the training documents: tokens, and the distinct words, pairs and triples, words seen once and twice, pairs followed by a word."""
+
+    tokens: int
+    types: int
+    ones: int
+    twos: int
+    pairs: int
+    triples: int
+
+    @property
+    def discount(self) -> float:
+        """n1 / (n1 + 2 n2), kept within (0, 1)."""
+        return min(max(self.ones / (self.ones + 2 * self.twos), 1e-3), 1 - 1e-6) if self.ones + self.twos else 0.5
+
+    @property
+    def pull_pairs(self) -> float:
+        return max(self.pairs, 1) / max(self.types, 1)
+
+    @property
+    def pull_triples(self) -> float:
+        return max(self.triples, 1) / max(self.pairs, 1)
+
+
+def by_kind(rows: pa.Table) -> dict[int, dict[int, bytes]]:
+    out: dict[int, dict[int, bytes]] = {WORDS: {}, PAIRS: {}, TRIPLES: {}}
+    for kind, shard, data in zip(*[rows.column(c).to_pylist() for c in ("kind", "shard", "data")], strict=True):
+        if kind in out:
+            out[kind][shard] = data
+    return out
+
+
+def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", held_out=None, block_bytes: int = 5_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; learns from rows not held out.
 
     Tokens are words with A-Z lower-cased, then one end. Null and empty texts have the end alone. held_out is a boolean
     column, null meaning held out; by default rows whose crc32(doc_id) mod 10 is 0, a null id's being held out. Repeated rows count as often
-    as they stand there. Without training rows every word is unknown. An empty table gives an empty result.
+    as they stand there. Without training rows every word is unknown and has probability 1. An empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
     if held_out is None:
@@ -179,70 +266,49 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-size // (4 * block_bytes)))
-    dealt = chosen.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    grouped = dealt.groupBy("block")
-
-    def ask_pairs(key, rows):
-        own = Block(rows)
-        return asked(PAIRS, key[0].as_py(), own.pair_keys, [own.pair_counts], shards)
+    dealt = chosen.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).groupBy("block")
+    numbered = materialize(dealt.applyInArrow(lambda key, rows: as_numbers(key[0].as_py(), rows, shards), BLOCK), "blocks")
 
-    def answer_pairs(key, rows):
-        who, place, counts, totals = merged(rows)
-        owner = np.zeros(len(place), np.int64)
-        trained = np.flatnonzero(counts[0] > 0)
-        owner[trained[np.unique(place[trained], return_index=True)[1]]] = 1
-        return table_of(answers(PAIRS, key[0].as_py(), who, np.stack([totals[0][place], owner])), ANSWER)
+    def answer_words(key, rows):
+        shard, asks = key[0].as_py(), sorted(zip(rows.column("block").to_pylist(), map(unpacked, rows.column("data").to_pylist()), strict=True), key=lambda x: x[0])
+        totals, places = added_up(WORDS, [x for _, x in asks])
+        number = np.argsort(np.argsort(-totals, kind="stable"), kind="stable") * shards + shard  # small numbers for words that are often used
+        out = [(WORDS, shard, block, packed(number[p], totals[p]), 0, 0, 0, 0) for (block, _), p in zip(asks, places, strict=True)]
+        return table_of([*out, (-WORDS, shard, -1, b"", int(totals.sum()), *(int(x.sum()) for x in (totals > 0, totals == 1, totals == 2)))], ANSWER)
 
-    def ask_words(key, left, right):
+    def ask(key, left, right):
         if not left.num_rows:
             return table_of([], ASK)
-        own = Block(left)
-        totals, owned = answered(right, PAIRS, own.pair_keys, shards)
-        types = np.bincount(own.left, owned, len(own.hashes)).astype(np.int64)
-        ones, twos = (int((owned * (totals == n)).sum()) for n in (1, 2))
-        return asked(WORDS, key[0].as_py(), own.hashes, [own.counts, types], shards, ones, twos)
-
-    def answer_words(key, rows):
-        who, place, _, totals = merged(rows)
-        c = totals[0]
-        sums = [int(c.sum()), *(int(x.sum()) for x in (c > 0, c == 1, c == 2)), *(sum(rows.column(x).to_pylist()) for x in ("ones", "twos"))]
-        return table_of([*answers(WORDS, key[0].as_py(), who, totals[:, place]), (TOTALS, key[0].as_py(), -1, b"", *sums)], ANSWER)
+        own = Block(left.to_pylist()[0], by_kind(right)[WORDS])
+        return table_of([(kind, s, key[0].as_py(), data) for kind in (PAIRS, TRIPLES) for s, data in own.asked(kind, shards)], ASK)
+
+    def answer(key, rows):
+        kind, shard = (x.as_py() for x in key)
+        asks = sorted(zip(rows.column("block").to_pylist(), map(unpacked, rows.column("data").to_pylist()), strict=True), key=lambda x: x[0])
+        totals, places = added_up(kind, [x for _, x in asks])
+        out = [(kind, shard, block, packed(totals[p]), 0, 0, 0, 0) for (block, _), p in zip(asks, places, strict=True)]
+        return table_of([*out, (-kind, shard, -1, b"", int(totals.sum()), int((totals > 0).sum()), 0, 0)], ANSWER)
+
+    words = numbered.select("block", F.explode("words").alias("x")).select(F.lit(WORDS).alias("kind"), "x.shard", "block", "x.data")
+    words = words.groupBy("shard").applyInArrow(answer_words, ANSWER)
+    texts = numbered.select("block", "docs", "held", "tokens")
+    grams = texts.groupBy("block").cogroup(words.where(F.col("kind") == WORDS).groupBy("block")).applyInArrow(ask, ASK)
+    grams = grams.groupBy("kind", "shard").applyInArrow(answer, ANSWER)
+    told = materialize(words.unionAll(grams), "answers")
+    sums = {r["kind"]: r for r in told.where("kind < 0").groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("n", "types", "ones", "twos")]).collect()}  # three rows
+    of = lambda kind, c: sums[-kind][c] if -kind in sums else 0
+    total = Totals(of(WORDS, "n"), of(WORDS, "types"), of(WORDS, "ones"), of(WORDS, "twos"), of(PAIRS, "types"), of(TRIPLES, "types"))
 
     def score(key, left, right):
         out = []
         if left.num_rows:
-            own = Block(left)
-            total = Totals(*next(x.values() for x in right.filter(pc.equal(right["kind"], TOTALS)).select(SUMS).to_pylist()))
-            c, types = answered(right, WORDS, own.hashes, shards)
-            machine = Automaton(own, c, types, answered(right, PAIRS, own.pair_keys, shards)[0], total)
-            base = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))
-            pairs = np.split(own.places, np.cumsum([len(x) for x in own.documents])[:-1])
-            for doc, held, ids, met in zip(left.column("doc_id").to_pylist(), left.column("held_out").to_pylist(), own.documents, pairs, strict=True):
-                out.append((doc, held, len(ids), int((c[ids] > 0).sum()), total.tokens, float(base[ids].sum()), machine.score(ids.tolist(), met.tolist())))
-        return table_of(out, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-    pairs = grouped.applyInArrow(ask_pairs, ASK).groupBy("shard").applyInArrow(answer_pairs, ANSWER)
-    words = grouped.cogroup(pairs.groupBy("block")).applyInArrow(ask_words, ASK).groupBy("shard").applyInArrow(answer_words, ANSWER)
-    sums = words.where(F.col("kind") == TOTALS).agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in SUMS])
-    sums = sums.select(F.lit(TOTALS).alias("kind"), F.lit(0).alias("shard"), F.explode(F.sequence(F.lit(0).cast("int"), F.lit(blocks - 1).cast("int"))).alias("block"), F.lit(b"").alias("counts"), *SUMS)  # one row for each block
-    told = pairs.unionAll(words.where(F.col("kind") == WORDS)).unionAll(sums)
-    return grouped.cogroup(told.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-SUMS = ["tokens", "types", "w1", "w2", "p1", "p2"]
-
-
-class Totals(NamedTuple):
-    """Training tokens, distinct ones, words seen once and twice, bigrams seen once and twice."""
-
-    tokens: int
-    types: int
-    w1: int
-    w2: int
-    p1: int
-    p2: int
-
-    @staticmethod
-    def share(ones: int, twos: int) -> float:
-        """The absolute discount n1 / (n1 + 2 n2), kept within (0, 1)."""
-        return min(max(ones / (ones + 2 * twos), 1e-3), 1 - 1e-6) if ones + twos else 0.5
+            own, told = None, by_kind(right)
+            own = Block(left.to_pylist()[0], told[WORDS])
+            machine = Automaton(own, own.answered(PAIRS, shards, told[PAIRS]), own.answered(TRIPLES, shards, told[TRIPLES]), total)
+            c = own.counts
+            base, known = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))[own.tokens], (c > 0)[own.tokens]
+            for doc, held, a, n in zip(own.docs, own.held, own.first.tolist(), own.sizes.tolist(), strict=True):
+                out.append((doc, held, n, int(known[a : a + n].sum()), total.tokens, float(base[a : a + n].sum()), machine.score(own, a, a + n)))
+        return table_of(out, RESULT)
+
+    return texts.groupBy("block").cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(score, RESULT)
