@@ -132,20 +132,53 @@ def test_language(spark, docs, rows, edges, nothing):
     assert langid.identify(nothing, train).count() == 0
 
 
+def test_language_where_one_text_is_half_of_a_language(spark, docs):
+    train = docs.where("crc32(cast(doc_id as string)) % 5 <> 0").select("text", "lang")
+    hot = train.where("lang = 'en' and length(text) > 100").orderBy(F.length("text")).limit(1)
+    many = train.unionAll(hot.crossJoin(spark.range(2000)).select("text", "lang"))
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    got = [r for r in langid.identify(docs, many, docs_each=20).collect() if held(r["doc_id"], 5, 0)]
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got]) > 0.9
+
+
+def segmentations(own, p, word, column):
+    """(probability, uses of each piece) of every way to cut word."""
+    place = {x: i for i, x in enumerate(own.pieces)}
+    if not word:
+        return [(1.0, [])]
+    out = []
+    for n in range(1, len(word) + 1):
+        one = p[place[word[:n]], column] if word[:n] in place else langid.UNKNOWN if n == 1 else 0.0
+        out += [(one * rest, [place.get(word[:n]), *used]) for rest, used in segmentations(own, p, word[n:], column) if one]
+    return out
+
+
 def test_forward_sums_all_segmentations():
     own = langid.pieces_of("piece_bpe_32k.model")
     rng = np.random.default_rng(1)
     p = np.vstack([rng.dirichlet(np.ones(len(own.pieces)), 2).T, np.zeros(2)])
-    place = {x: i for i, x in enumerate(own.pieces)}
-
-    def total(word, column):
-        if not word:
-            return 1.0
-        return sum((p[place[word[:n]], column] if word[:n] in place else langid.UNKNOWN if n == 1 else 0.0) * total(word[n:], column) for n in range(1, len(word) + 1))
-
     words = ["▁the", "▁thereof", "▁élan", "中x", "▁"]
-    got = own.log_probabilities(words, p)
-    assert np.allclose(got, np.log([[total(w, c) for c in (0, 1)] for w in words]))
+    ways = {w: segmentations(own, p, w, 0) for w in words}
+    assert np.allclose(own.log_probabilities(words, p)[:, 0], np.log([sum(x for x, _ in ways[w]) for w in words]))
+    want, counts = np.zeros(len(own.pieces)), np.array([1, 5, 2, 1, 7])
+    for w, n in zip(words, counts, strict=True):
+        for x, used in ways[w]:
+            for i in used:
+                if i is not None:
+                    want[i] += n * x / sum(y for y, _ in ways[w])
+    assert np.allclose(own.expected(words, counts, p[:, [0]]), want)
+
+
+def test_long_words_are_scored_whole(monkeypatch):
+    own = langid.pieces_of("piece_bpe_32k.model")
+    rng = np.random.default_rng(1)
+    p = np.vstack([rng.dirichlet(np.ones(len(own.pieces)), 2).T, np.zeros(2)])
+    words = ["▁donaudampfschifffahrtsgesellschaftskapitänsmütze", "▁" + "ab" * 24, "▁" + "the" * 15]
+    got, uses = own.log_probabilities(words, p), own.expected(words, np.array([1, 2, 3]), p[:, [0]])
+    monkeypatch.setattr(langid, "RESCALED", 1000)
+    assert np.allclose(own.log_probabilities(words, p), got) and np.allclose(own.expected(words, np.array([1, 2, 3]), p[:, [0]]), uses)
+    monkeypatch.undo()
+    assert np.isfinite(own.log_probabilities(["▁" + "xyzzy" * 2000], p)).all() and np.isfinite(own.expected(["▁" + "xyzzy" * 2000], np.array([1]), p[:, [0]])).all()
 
 
 def test_lm_scores(spark, docs, rows, edges, nothing):
