@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import prepare, released, texts, tokenizer_path
+from .common import fresh, prepare, released, texts, tokenizer_path
 
 MARK = "▁"
 CROSSING = re.compile("[^▁]▁")
@@ -77,7 +77,8 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str = "piece_bpe_32
     aren't read, so that their names may clash with the results'. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
-    chosen = docs.select(*keep, docs[text].alias("__text"))
+    (body,) = fresh(docs.select(*keep), "text")
+    chosen = docs.select(*keep, docs[text].alias(body))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def count(batches):

@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Each small transducer reads a clause's tags and writes what it sees: insults (with learned weights), threats, targets (who
-is spoken to or of), negation (which covers the next few words) and reported speech (which covers the rest of the clause).
-Their composition is one table over product states; a clause is scored by its run through it, and only clauses that hold
+A cascade of small weighted transducers reads a clause's tags: the first writes offences as targeted where someone is
+spoken to or of, before or after them, and drops threats without a target; the next writes what a negation covers as
+negated, the last what a report covers as reported. Each arc carries a weight; their composition is one table over product
+states whose arcs carry the products, and a clause's score is the sum over its run of arc weight times lexical weight. Only clauses that hold
 an insult or threat are run. A document's clause scores make features that a logistic model, fitted on a bounded sample of
 labelled rows, turns into a probability. The insult lexicon is learned from labels: words that stand after many different
-words in toxic texts and hardly in others, so that copies of one text don't vote many times.
+words in toxic texts and hardly in others, so that copies of one text don't vote many times; the features that the logistic model is fitted
+on come from lexicons learned without the document's own part of the sample.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, prepare, released, texts
+from .common import discard, fresh, materialize, prepare, released, texts
 
 #: Fixed word lists of the grammar, in four languages.
 THREATS = "kill hurt destroy beat burn die töten schlagen vernichten sterben tuer frapper détruire mourir matar golpear destruir morir".split()
@@ -26,65 +28,77 @@ TARGETS = "you your he she they them him her du dich dein ihr euch sie tu toi vo
 NEGATIONS = "not no never neither nor nicht kein keine nie pas jamais aucun nunca jamás ni tampoco".split()
 REPORTS = "said says say told called wrote sagte sagt schrieb nannte dit disait appelé écrit dijo dice llamó escribió".split()
 
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n]")
 STOPS = frozenset(".!?;:\n")
-SCOPE = 3  # words that a negation covers
+SCOPE = 3  # words that a negation covers, and within which a target may follow an offence
 FEATURES = ("insult", "targeted", "negated", "reported", "threat", "strongest", "clauses", "share")
+TAGS = ("word", "insult", "threat", "target", "negation", "report")
+OFFENCES = ("insult", "threat", "targeted")
+PARTS = 4  # of the sample, each left out of one lexicon
 
 
 class Transducer:
-    """States 0..n-1 with moves (state, tag) -> (state, output); a missing move keeps the state and writes nothing."""
-
-    def __init__(self, states: int, moves: dict[tuple[int, str], tuple[int, str]]):
-        self.states, self.moves = states, moves
-
-    def step(self, state: int, tag: str) -> tuple[int, str]:
-        return self.moves.get((state, tag), (state, ""))
-
+    """States 0..n-1 with arcs (state, tag) -> (state, tag written, weight); a missing arc keeps state and tag, at weight 1."""
 
-def negation() -> Transducer:
-    """State: how many words the last negation still covers; writes n where it covers an insult or a threat."""
-    moves = {}
-    for left in range(SCOPE + 1):
-        for tag in ("insult", "threat", "word", "target", "report"):
-            moves[left, tag] = (max(left - 1, 0), "n" if left and tag in ("insult", "threat") else "")
-        moves[left, "negation"] = (SCOPE, "")
-    return Transducer(SCOPE + 1, moves)
+    def __init__(self, states: int, arcs: dict[tuple[int, str], tuple[int, str, float]]):
+        self.states, self.arcs = states, arcs
 
-
-def reported() -> Transducer:
-    return Transducer(2, {(0, "report"): (1, ""), (1, "insult"): (1, "r"), (1, "threat"): (1, "r")})
+    def step(self, state: int, tag: str) -> tuple[int, str, float]:
+        return self.arcs.get((state, tag), (state, tag, 1.0))
 
 
 def targets() -> Transducer:
-    return Transducer(2, {(0, "target"): (1, ""), (1, "insult"): (1, "t"), (1, "threat"): (1, "t")})
+    """State 1: a target was named. States from 2 on: so many words since an offence without one, which a target may still turn."""
+    arcs = {(0, "insult"): (2, "insult", 1.0), (0, "threat"): (0, "word", 0.0), (0, "target"): (1, "target", 1.0)}
+    arcs |= {(1, "insult"): (1, "targeted", 1.5), (1, "threat"): (1, "threat", 1.5)}
+    for left in range(2, 2 + SCOPE):
+        after = left + 1 if left < 1 + SCOPE else 0
+        arcs |= {(left, "insult"): (2, "insult", 1.0), (left, "threat"): (after, "word", 0.0), (left, "target"): (1, "targeted", 0.5)}
+        arcs |= {(left, tag): (after, tag, 1.0) for tag in ("word", "negation", "report")}
+    return Transducer(2 + SCOPE, arcs)
 
 
-def offences() -> Transducer:
-    return Transducer(1, {(0, "insult"): (0, "i"), (0, "threat"): (0, "k")})
+def negation() -> Transducer:
+    """State: how many words the last negation still covers."""
+    arcs = {}
+    for left in range(SCOPE + 1):
+        arcs |= {(left, tag): (max(left - 1, 0), tag, 1.0) for tag in ("word", "target", "report")}
+        arcs |= {(left, tag): (max(left - 1, 0), "negated" if left else tag, 0.5 if left else 1.0) for tag in OFFENCES}
+        arcs[left, "negation"] = (SCOPE, "negation", 1.0)
+    return Transducer(SCOPE + 1, arcs)
 
 
-TAGS = ("word", "insult", "threat", "target", "negation", "report")
+def reported() -> Transducer:
+    return Transducer(2, {(0, "report"): (1, "report", 1.0)} | {(1, tag): (1, "reported", 0.5) for tag in OFFENCES})
 
 
-def compose(*parts: Transducer) -> dict[tuple[int, str], tuple[int, str]]:
-    """One table over product states: each tag moves all parts, and their outputs are written together."""
-    table = {}
-    total = int(np.prod([p.states for p in parts]))
-    for state in range(total):
-        own = np.unravel_index(state, [p.states for p in parts])
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The second reads what the first writes; weights multiply. State p of the first and q of the second is p * states of the second + q."""
+    arcs = {}
+    for state in range(first.states * second.states):
+        p, q = divmod(state, second.states)
         for tag in TAGS:
-            moved = [p.step(int(s), tag) for p, s in zip(parts, own, strict=True)]
-            table[state, tag] = (int(np.ravel_multi_index([s for s, _ in moved], [p.states for p in parts])), "".join(o for _, o in moved))
-    return table
+            p_next, between, v = first.step(p, tag)
+            q_next, out, w = second.step(q, between)
+            arcs[state, tag] = (p_next * second.states + q_next, out, v * w)
+    return Transducer(first.states * second.states, arcs)
 
 
 class Grammar:
     def __init__(self, insults: dict[str, float]):
         self.insults = insults
-        self.tags = dict.fromkeys(REPORTS, "report") | dict.fromkeys(NEGATIONS, "negation") | dict.fromkeys(TARGETS, "target") | dict.fromkeys(THREATS, "threat") | dict.fromkeys(insults, "insult")
-        self.offences = frozenset(w for w, t in self.tags.items() if t in ("insult", "threat"))
-        self.table = compose(offences(), targets(), negation(), reported())
+        self.known = dict.fromkeys(REPORTS, "report") | dict.fromkeys(NEGATIONS, "negation") | dict.fromkeys(TARGETS, "target") | dict.fromkeys(THREATS, "threat") | dict.fromkeys(insults, "insult")
+        self.offences = frozenset(w for w, t in self.known.items() if t in ("insult", "threat"))
+        self.arcs = compose(compose(targets(), negation()), reported()).arcs
+
+    def tag(self, word: str) -> str:
+        """A word's tag; of a contraction that of its negation, or of its first part that has one."""
+        found = self.known.get(word)
+        if found is None and ("'" in word or "’" in word):
+            if word.endswith(("n't", "n’t")):
+                return "negation"
+            found = next((self.known[x] for x in re.split("['’]", word) if x in self.known), None)
+        return found or "word"
 
     def features(self, text: str) -> list[float]:
         out = dict.fromkeys(FEATURES, 0.0)
@@ -107,38 +121,46 @@ class Grammar:
     def match(self, clause: list[str], out: dict[str, float]) -> None:
         state, score = 0, 0.0
         for word in clause:
-            state, wrote = self.table[state, self.tags.get(word, "word")]
-            if not wrote:
-                continue
-            weight = self.insults.get(word, 1.0)
-            kind = "threat" if "k" in wrote else "negated" if "n" in wrote else "reported" if "r" in wrote else "targeted" if "t" in wrote else "insult"
-            out[kind] += weight
-            score += weight * (0.5 if "n" in wrote or "r" in wrote else 1.0) * (1.5 if "t" in wrote else 1.0) * ("k" not in wrote or "t" in wrote)
-            out["share"] += 1
+            state, wrote, weight = self.arcs[state, self.tag(word)]
+            if wrote in out:
+                weight *= self.insults.get(word, 1.0)
+                out[wrote] += weight
+                score += weight
+                out["share"] += word in self.offences
         out["clauses"] += score > 0
         out["strongest"] = max(out["strongest"], score)
 
 
-def learn_insults(labelled: DataFrame, most: int = 500, least: int = 5, ratio: float = 12.0) -> dict[str, float]:
-    """Words with the number of different words before them in toxic texts least or more, and ratio times as frequent there."""
+def learn_insults(labelled: DataFrame, least: int = 5, ratio: float = 12.0) -> list[dict[str, float]]:
+    """Lexicons from rows (toxic, text, part): one without each part, then one of all.
+
+    A word is in if least or more different words stand before it in toxic texts, and ratio times as many, for each text, as in others.
+    The sample's bound is the lexicons' as well.
+    """
 
     def pairs(batches):
         for batch in released(batches):
             seen = set()
-            for toxic, x in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
+            for toxic, part, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), strict=True):
                 tokens = [t for t in TOKEN.findall(x.lower()) if t not in STOPS]
-                seen.update((word, before, toxic) for before, word in zip(["", *tokens], tokens, strict=False) if len(word) > 2)
-            columns = list(zip(*seen, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32()), strict=True)], names=["word", "before", "toxic"])
-
-    met = labelled.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(pairs, "word string, before string, toxic int")
-    met = met.groupBy("word", "before").agg(F.max("toxic").alias("in_toxic"), F.min("toxic").alias("in_all"))
-    by_word = met.groupBy("word").agg(F.sum("in_toxic").alias("a"), F.sum(1 - F.col("in_all")).alias("b"))
-    totals = labelled.groupBy().agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
-    scale = ((totals["b"] or 0) + 1) / ((totals["a"] or 0) + 1)
-    odds = (F.col("a") + 0.5) / (F.col("b") + 0.5) * scale
-    rows = by_word.where((F.col("a") >= least) & (odds >= ratio)).orderBy(F.desc(F.col("a") * F.log(odds)), "word").limit(most).select("word", odds.alias("odds")).collect()  # at most `most` words
-    return {r["word"]: min(float(np.log(r["odds"])), 8.0) / 4 for r in rows}
+                seen.update((word, before, toxic, 1 << part) for before, word in zip(["", *tokens], tokens, strict=False))
+            columns = list(zip(*seen, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int32()), strict=True)], names=["word", "before", "toxic", "part"])
+
+    met = labelled.select(F.col("toxic").cast("int").alias("toxic"), F.col("part").cast("int").alias("part"), "text").mapInArrow(pairs, "word string, before string, toxic int, part int")
+    met = met.groupBy("word", "before").agg(*[F.bit_or(F.when(F.col("toxic") == i, F.col("part"))).alias(c) for i, c in ((1, "a"), (0, "b"))])
+    without = [((1 << PARTS) - 1) ^ (1 << i if i < PARTS else 0) for i in range(PARTS + 1)]
+    some = lambda c, parts: F.sum((F.coalesce(F.col(c), F.lit(0)).bitwiseAND(F.lit(parts)) > 0).cast("long")).alias(f"{c}{parts}")
+    by_word = met.groupBy("word").agg(*[some(c, parts) for c in "ab" for parts in without])
+    sizes = {(r["toxic"], r["part"]): r["count"] for r in labelled.groupBy("toxic", "part").count().collect()}  # two rows a part
+    scale = {}
+    for parts in without:
+        clean, toxic = (sum(n for (t, part), n in sizes.items() if t == kind and parts >> part & 1) for kind in (0, 1))
+        scale[parts] = (clean + 1) / (toxic + 1)
+    odds = lambda parts: (F.col(f"a{parts}") + 0.5) / (F.col(f"b{parts}") + 0.5) * scale[parts]
+    rows = by_word.select("word", *[F.when((F.col(f"a{parts}") >= least) & (odds(parts) >= ratio), odds(parts)).alias(str(parts)) for parts in without])
+    rows = rows.where(F.coalesce(*[str(parts) for parts in without]).isNotNull()).collect()  # words of the bounded sample that pass
+    return [{r["word"]: min(float(np.log(r[str(parts)])), 8.0) / 4 for r in rows if r[str(parts)]} for parts in without]
 
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,32 +181,36 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) ->
 def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", limit: float = 0.3, sample_docs: int = 16_000, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns of keep, score (0 to 1) and predicted (1 where score >= limit) of every row of docs.
 
-    labels (doc_id, toxic) are the rows to learn from; at most sample_docs of them are, taken by a hash of their ids, one
-    half for the lexicon and the other for the logistic model. Null and empty texts score as texts without any match; rows
+    labels (doc_id, toxic) are the rows to learn from; at most sample_docs ids of them are, taken by a hash. An id that is
+    labelled both ways counts as toxic, and of rows that share an id one text is learned from. Null and empty texts score as texts without any match; rows
     without both kinds of label to learn from give a constant score. Repeated rows are treated alike.
     """
     spark = prepare(docs.sparkSession)
-    ids = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").alias("__id"), "toxic").dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(sample_docs)
-    ids = ids.withColumn("part", (F.xxhash64(F.lit(1), "__id") % 2 == 0).cast("int"))
-    sample = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("text")).join(F.broadcast(ids), "__id")  # sample_docs ids
+    ids = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id")  # sample_docs ids
+    sample = sample.groupBy("id", "toxic").agg(F.min("text").alias("text")).withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(PARTS)).cast("int"))
     sample = materialize(sample, "labelled")
-    grammar = Grammar(learn_insults(sample.where("part = 0")))
+    lexicons = learn_insults(sample)
     names = list(FEATURES)
 
     def describe(batches):
+        grammars = [Grammar(x) for x in lexicons]
         for batch in released(batches):
-            x = np.array([grammar.features(t) for t in texts(batch.column(1))], np.float64).reshape(-1, len(names))
+            x = np.array([grammars[part].features(t) for part, t in zip(batch.column(1).to_pylist(), texts(batch.column(2)), strict=True)], np.float64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy(zero_copy_only=False), pa.int32()), *[pa.array(c) for c in x.T]], names=["toxic", *names])
 
-    rows = sample.where("part = 1").select("toxic", "text").mapInArrow(describe, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()  # half of sample_docs
+    rows = sample.select("toxic", "part", "text").mapInArrow(describe, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()  # sample_docs rows
+    discard(sample)
     x, y = rows[names].to_numpy(np.float64), rows["toxic"].to_numpy(np.float64)
     both = 0 < y.sum() < len(y)
     mean, scale, w = fit(x, y) if both else (np.zeros(len(names)), np.ones(len(names)), np.zeros(len(names) + 1))
     constant = float(y.mean()) if len(y) else 0.0
-    chosen = docs.select(*keep, docs[text].alias("__text"))
+    (body,) = fresh(docs.select(*keep), "text")
+    chosen = docs.select(*keep, docs[text].alias(body))
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def predict(batches):
+        grammar = Grammar(lexicons[-1])
         for batch in released(batches):
             x = np.array([grammar.features(t) for t in texts(batch.column(batch.num_columns - 1))], np.float64).reshape(-1, len(names))
             s = 1 / (1 + np.exp(-(w[0] + (x - mean) / scale @ w[1:]))) if both else np.full(len(x), constant)

@@ -416,6 +416,54 @@ def test_clause_grammar():
     read = lambda text: {n: v > 0 for n, v in zip(toxicity.FEATURES, g.features(text), strict=True)}
     assert not any(read("a kind word. nothing else").values())
     assert read("an idiot")["insult"] and read("you idiot")["targeted"] and not read("you idiot")["insult"]
+    assert read("idiot, you")["targeted"] and read("idiot you’re")["targeted"] and not read("idiot in a very long clause you")["targeted"] and not read("idiot. you")["targeted"]
     assert read("not an idiot")["negated"] and not read("not at all bad but an idiot")["negated"]
+    assert read("they aren't idiot")["negated"] and read("they didn’t idiot")["negated"] and not read("they did idiot")["negated"]
     assert read("he said idiot")["reported"] and not read("he said. idiot")["reported"]
-    assert read("kill you")["threat"]
+    assert read("kill you")["threat"] is False and read("you kill")["threat"]
+
+
+def test_composition_is_the_cascade():
+    """The composed table against running the transducers one after the other, over all short tag sequences."""
+    import itertools
+
+    parts = [toxicity.targets(), toxicity.negation(), toxicity.reported()]
+    whole = toxicity.compose(toxicity.compose(*parts[:2]), parts[2])
+    for tags in itertools.chain.from_iterable(itertools.product(toxicity.TAGS, repeat=n) for n in (1, 2, 3, 4, 5)):
+        states, state = [0, 0, 0], 0
+        for tag in tags:
+            state, wrote, weight = whole.step(state, tag)
+            product = 1.0
+            for i, part in enumerate(parts):
+                states[i], tag, w = part.step(states[i], tag)
+                product *= w
+            assert (wrote, weight) == (tag, product)
+
+
+def test_lexicons_against_brute_force(spark):
+    rng = random.Random(6)
+    vocabulary = [a + b for a in "bdfgk" for b in ("an", "el", "ir", "o", "u")]
+    data = []
+    for i in range(120):
+        toxic = int(i % 4 == 0)
+        words = [rng.choice(vocabulary) for _ in range(30)]
+        for _ in range(4 * toxic):
+            words.insert(rng.randrange(30), rng.choice(("grub", "oaf")))
+        data.append((toxic, rng.randrange(4), " ".join(words)))
+    got = toxicity.learn_insults(spark.createDataFrame(data, "toxic int, part int, text string"))
+    for i, lexicon in enumerate(got):
+        before, rows = {0: defaultdict(set), 1: defaultdict(set)}, [r for r in data if r[1] != i]
+        for toxic, _, text in rows:
+            words = text.split()
+            for a, b in zip(["", *words], words, strict=False):
+                before[toxic][b].add(a)
+        scale = (sum(not r[0] for r in rows) + 1) / (sum(r[0] for r in rows) + 1)
+        odds = {w: (len(before[1][w]) + 0.5) / (len(before[0][w]) + 0.5) * scale for w in before[1] if len(before[1][w]) >= 5}
+        assert lexicon == pytest.approx({w: min(math.log(x), 8) / 4 for w, x in odds.items() if x >= 12}) and set(lexicon) == {"grub", "oaf"}
+
+
+def test_toxicity_of_ids_labelled_twice(spark):
+    docs = spark.createDataFrame([(i, "you grub" if i % 3 == 0 else "a kind word", "x") for i in range(90)] * 2, "doc_id long, text string, part string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)] + [(0, 0)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(docs, labels, keep=("doc_id", "part")).collect()
+    assert len(got) == 180 and {r["part"] for r in got} == {"x"} and len({(r["doc_id"], r["score"]) for r in got}) == 90
