@@ -6,15 +6,16 @@ p(w | uv) = (c(uvw) + k3 p(w | v)) / (c(uv) + k3), k being the distinct n-grams
 for each context with successors, an arc for each seen n-gram that carries its log probability, and a failure arc to the
 state of the context's last word, or to the root, that carries log(k / (c + k)); the root has an arc for each word.
 
-Its counts grow with the corpus, so no task holds the whole model. Documents are dealt to blocks of a few megabytes, in
-which words are numbers; a block asks only for the n-grams that stand in it, in packed arrays by shard:
+Its counts grow with the corpus, so no task holds the whole model. Documents are read into blocks of a few megabytes, in
+which words are numbers, and written so to the shared folder; texts are never shuffled. A block asks only for the n-grams
+that stand in it, in packed arrays by shard:
 
 1. block -> word shards, by 64-bit hashes: a shard adds the blocks' training counts up and numbers its words, often used ones first.
 2. block -> n-gram shards, by those numbers, without n-grams that hold an unknown word: a shard adds the counts up.
-3. With both answers a block builds its part of the automaton and each document is traversed once from left to right.
+3. With both answers a block builds its part of the automaton, and its documents are traversed once from left to right, all of
+   them at once: the state before a token is that of the two tokens before it, which a shift by one place carries along.
 
-A word, pair or triple on a third of all rows is one entry for each block. A text is read as words once; the blocks are
-written to the shared folder as numbers.
+A word, pair or triple on a third of all rows is one entry for each block.
 """
 
 from __future__ import annotations
@@ -25,16 +26,17 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, prepare, word_hashes, words_of
+from .common import materialize, mix, prepare, released, word_hashes, words_of
 
 END = np.uint64(0x2545F4914F6CDD1D)
 WORDS, PAIRS, TRIPLES = 1, 2, 3  # n-grams by their order
-BLOCK = "block int, docs array<long>, held array<boolean>, tokens binary, words array<struct<shard int, data binary>>"
-ASK = "kind int, shard int, block int, data binary"
-ANSWER = "kind int, shard int, block int, data binary, n long, types long, ones long, twos long"
+BLOCK = "block long, docs array<long>, held array<boolean>, tokens binary, words array<struct<shard int, data binary>>"
+ASK = "kind int, shard int, block long, data binary"
+ANSWER = "kind int, shard int, block long, data binary, n long, types long, ones long, twos long"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -80,6 +82,19 @@ def table_of(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({n: pa.array(c, kinds[t]) for n, t, c in zip(names, types, columns, strict=True)})
 
 
+def as_blocks(batches, shards: int, most: int):
+    """A row for each most bytes of a task's texts; a block's number holds the task's."""
+    some, size, n = [], 0, 0
+    for batch in batches:
+        some.append(batch)
+        size += batch.nbytes
+        if size > most:
+            yield from as_numbers((TaskContext.get().partitionId() << 24) + n, pa.Table.from_batches(some), shards).to_batches()
+            some, size, n = [], 0, n + 1
+    if sum(x.num_rows for x in some):
+        yield from as_numbers((TaskContext.get().partitionId() << 24) + n, pa.Table.from_batches(some), shards).to_batches()
+
+
 def as_numbers(block: int, table: pa.Table, shards: int) -> pa.Table:
     """One row for a block: its documents' tokens as places in the list of its words, which are sorted by shard and hash."""
     numbers = Numbers()
@@ -93,8 +108,9 @@ def as_numbers(block: int, table: pa.Table, shards: int) -> pa.Table:
     counts = np.bincount(tokens, np.repeat(~np.array(held, bool), sizes), len(order)).astype(np.int64)
     ends = np.searchsorted(shard[order], np.arange(shards + 1))
     words = [{"shard": s, "data": packed(steps(hashes[order[a:z]]), counts[a:z])} for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
-    kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.struct([("shard", pa.int32()), ("data", pa.binary())]))]
-    row = (block, table.column("doc_id").to_pylist(), held, packed(tokens, sizes), words)
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.struct([("shard", pa.int32()), ("data", pa.binary())]))]
+    often = np.argsort(-np.bincount(tokens, minlength=len(order)), kind="stable")  # places by how often they are used: small numbers pack well
+    row = (block, table.column("doc_id").to_pylist(), held, packed(np.argsort(often)[tokens], sizes, often), words)
     return pa.table({n: pa.array([x], t) for n, x, t in zip(("block", "docs", "held", "tokens", "words"), row, kinds, strict=True)})
 
 
@@ -106,10 +122,12 @@ class Block:
     """
 
     def __init__(self, row: dict, told: dict[int, bytes]):
-        tokens, sizes = map(whole, unpacked(row["tokens"]))
-        self.docs, self.held, self.sizes, self.tokens = row["docs"], row["held"], sizes, tokens
+        tokens, sizes, often = map(whole, unpacked(row["tokens"]))
         numbers, counts = zip(*[unpacked(told[s]) for s in sorted(told)], strict=True)
-        self.numbers, self.counts = whole(np.concatenate(numbers)), whole(np.concatenate(counts))
+        numbers = whole(np.concatenate(numbers))
+        order = np.argsort(numbers)  # words by their numbers, so that n-grams come in the order of those
+        self.numbers, self.counts, tokens = numbers[order], whole(np.concatenate(counts))[order], np.argsort(order)[often[tokens]]
+        self.docs, self.held, self.sizes, self.tokens = row["docs"], row["held"], sizes, tokens
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.first, end = first, tokens[-1]
         before = np.concatenate([[end], tokens[:-1]])  # the end also stands before the first word
@@ -141,8 +159,8 @@ class Block:
         rows, hashed = self.grams[kind], np.zeros(len(self.grams[kind]), np.uint64)
         for column in rows.T:
             hashed = mix(hashed + column.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        shard = whole(hashed % np.uint64(shards))
-        order = np.lexsort((*rows.T[::-1], shard))
+        shard = (hashed % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
+        order = np.argsort(shard, kind="stable")
         ends = np.searchsorted(shard[order], np.arange(shards + 1))
         return [(s, order[a:z]) for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
 
@@ -192,6 +210,8 @@ class Automaton:
         self.fail = {PAIRS: np.log10(total.pull_pairs / (c + total.pull_pairs)), TRIPLES: np.log10(total.pull_triples / (pairs + total.pull_triples))}
         self.word_states, self.pair_states = c > 0, pairs > 0
         self.before = before
+        self.last = np.concatenate([[-1], self.pair[:-1]])  # the pair that ends before each token
+        self.last[block.first] = -1
 
     @staticmethod
     def one_place(places: np.ndarray, n: int) -> np.ndarray:
@@ -199,25 +219,26 @@ class Automaton:
         out[places[places >= 0]] = np.flatnonzero(places >= 0)
         return out
 
-    def score(self, block: Block, a: int, z: int) -> float:
-        """One traversal of tokens a to z: an arc of the present state if it has one for the word, else its failure arc, and again."""
-        at = lambda values, places: np.where(places >= 0, values[places], np.nan).tolist() if len(values) else [np.nan] * len(places)
-        tokens, pairs, before = block.tokens[a:z], self.pair[a:z], self.before[a:z]
-        last = np.concatenate([[-1], pairs[:-1]])
-        has_pair = ((last >= 0) & self.pair_states[last]).tolist() if len(self.pair_states) else [False] * len(tokens)
-        states = zip(has_pair, self.word_states[before].tolist(), at(self.arcs[TRIPLES], self.triple[a:z]), at(self.arcs[PAIRS], pairs), self.root[tokens].tolist(), at(self.fail[TRIPLES], last), self.fail[PAIRS][before].tolist(), strict=True)
-        total = 0.0
-        for pair_state, word_state, three, two, one, fail_pair, fail_word in states:
-            if pair_state:
-                if three == three:
-                    total += three
-                    continue
-                total += fail_pair
-            if word_state:
-                total += two if two == two else fail_word + one
-            else:
-                total += one
-        return total
+    def scores(self, block: Block) -> np.ndarray:
+        """Each document's sum over its tokens: the arc of the state before a token if it has one for it, else failure arcs to the state that has.
+
+        A word's arc at the root, with the failure arc of the state of the word before; then pairs' arcs, with the failure arc
+        of the state of the pair before; then triples' arcs.
+        """
+        cost = self.root[block.tokens] + np.where(self.word_states[self.before], self.fail[PAIRS][self.before], 0.0)
+        self.taken(cost, self.arcs[PAIRS], self.pair)
+        at = np.flatnonzero(self.last >= 0)
+        at = at[self.pair_states[self.last[at]]]
+        cost[at] += self.fail[TRIPLES][self.last[at]]
+        self.taken(cost, self.arcs[TRIPLES], self.triple)
+        return np.add.reduceat(cost, block.first)
+
+    @staticmethod
+    def taken(cost: np.ndarray, arcs: np.ndarray, places: np.ndarray) -> None:
+        at = np.flatnonzero(places >= 0)
+        own = arcs[places[at]]
+        seen = ~np.isnan(own)
+        cost[at[seen]] = own[seen]
 
 
 class Totals(NamedTuple):
@@ -264,10 +285,8 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         held_out = F.crc32(F.col(id_col).cast("string")) % 10 == 0
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(True)).alias("held_out"))
     size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-size // (4 * block_bytes)))
-    dealt = chosen.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).groupBy("block")
-    numbered = materialize(dealt.applyInArrow(lambda key, rows: as_numbers(key[0].as_py(), rows, shards), BLOCK), "blocks")
+    numbered = materialize(chosen.mapInArrow(lambda batches: released(as_blocks(batches, shards, block_bytes)), BLOCK), "blocks")
 
     def answer_words(key, rows):
         shard, asks = key[0].as_py(), sorted(zip(rows.column("block").to_pylist(), map(unpacked, rows.column("data").to_pylist()), strict=True), key=lambda x: x[0])
@@ -302,13 +321,13 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     def score(key, left, right):
         out = []
         if left.num_rows:
-            own, told = None, by_kind(right)
+            told = by_kind(right)
             own = Block(left.to_pylist()[0], told[WORDS])
             machine = Automaton(own, own.answered(PAIRS, shards, told[PAIRS]), own.answered(TRIPLES, shards, told[TRIPLES]), total)
             c = own.counts
-            base, known = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))[own.tokens], (c > 0)[own.tokens]
-            for doc, held, a, n in zip(own.docs, own.held, own.first.tolist(), own.sizes.tolist(), strict=True):
-                out.append((doc, held, n, int(known[a : a + n].sum()), total.tokens, float(base[a : a + n].sum()), machine.score(own, a, a + n)))
+            base = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))[own.tokens]
+            sums = [np.add.reduceat(x, own.first).tolist() for x in (base, (c > 0)[own.tokens].astype(np.int64))]
+            out = [(doc, held, n, known, total.tokens, b, s) for doc, held, n, b, known, s in zip(own.docs, own.held, own.sizes.tolist(), *sums, machine.scores(own).tolist(), strict=True)]
         return table_of(out, RESULT)
 
     return texts.groupBy("block").cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(score, RESULT)
