@@ -12,6 +12,7 @@ that stand in it, in packed arrays by shard:
 
 1. block -> word shards, by 64-bit hashes: a shard adds the blocks' training counts up and numbers its words, often used ones first.
 2. block -> n-gram shards, by those numbers, without n-grams that hold an unknown word: a shard adds the counts up.
+   Each shard tells every block its totals too, whose sums a block needs.
 3. With both answers a block builds its part of the automaton, and its documents are traversed once from left to right, all of
    them at once: the state before a token is that of the two tokens before it, which a shift by one place carries along.
 
@@ -37,6 +38,7 @@ WORDS, PAIRS, TRIPLES = 1, 2, 3  # n-grams by their order
 BLOCK = "block long, docs array<long>, held array<boolean>, tokens binary, words array<struct<shard int, data binary>>"
 ASK = "kind int, shard int, block long, data binary"
 ANSWER = "kind int, shard int, block long, data binary, n long, types long, ones long, twos long"
+SUMS = ("n", "types", "ones", "twos")
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -107,7 +109,7 @@ def as_numbers(block: int, table: pa.Table, shards: int) -> pa.Table:
     tokens, sizes = rank[np.concatenate(documents)], np.array([len(x) for x in documents])
     counts = np.bincount(tokens, np.repeat(~np.array(held, bool), sizes), len(order)).astype(np.int64)
     ends = np.searchsorted(shard[order], np.arange(shards + 1))
-    words = [{"shard": s, "data": packed(steps(hashes[order[a:z]]), counts[a:z])} for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
+    words = [{"shard": s, "data": packed(steps(hashes[order[a:z]]), counts[a:z])} for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.struct([("shard", pa.int32()), ("data", pa.binary())]))]
     often = np.argsort(-np.bincount(tokens, minlength=len(order)), kind="stable")  # places by how often they are used: small numbers pack well
     row = (block, table.column("doc_id").to_pylist(), held, packed(np.argsort(often)[tokens], sizes, often), words)
@@ -162,7 +164,7 @@ class Block:
         shard = (hashed % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
         order = np.argsort(shard, kind="stable")
         ends = np.searchsorted(shard[order], np.arange(shards + 1))
-        return [(s, order[a:z]) for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
+        return [(s, order[a:z]) for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
 
     def asked(self, kind: int, shards: int) -> list[tuple[int, bytes]]:
         return [(s, packed(steps(self.grams[kind][at, 0]), *self.grams[kind][at, 1:].T, self.weights[kind][at])) for s, at in self.by_shard(kind, shards)]
@@ -265,12 +267,15 @@ class Totals(NamedTuple):
         return max(self.triples, 1) / max(self.pairs, 1)
 
 
-def by_kind(rows: pa.Table) -> dict[int, dict[int, bytes]]:
-    out: dict[int, dict[int, bytes]] = {WORDS: {}, PAIRS: {}, TRIPLES: {}}
-    for kind, shard, data in zip(*[rows.column(c).to_pylist() for c in ("kind", "shard", "data")], strict=True):
-        if kind in out:
-            out[kind][shard] = data
-    return out
+def by_kind(rows: pa.Table) -> tuple[dict[int, dict[int, bytes]], dict[int, dict[str, int]]]:
+    """What the shards told a block, by kind and shard, and their totals, by kind and column."""
+    told: dict[int, dict[int, bytes]] = {WORDS: {}, PAIRS: {}, TRIPLES: {}}
+    sums = {kind: dict.fromkeys(SUMS, 0) for kind in told}
+    for r in rows.to_pylist():
+        told[r["kind"]][r["shard"]] = r["data"]
+        for c in SUMS:
+            sums[r["kind"]][c] += r[c]
+    return told, sums
 
 
 def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", held_out=None, block_bytes: int = 5_000_000) -> DataFrame:
@@ -292,36 +297,32 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         shard, asks = key[0].as_py(), sorted(zip(rows.column("block").to_pylist(), map(unpacked, rows.column("data").to_pylist()), strict=True), key=lambda x: x[0])
         totals, places = added_up(WORDS, [x for _, x in asks])
         number = np.argsort(np.argsort(-totals, kind="stable"), kind="stable") * shards + shard  # small numbers for words that are often used
-        out = [(WORDS, shard, block, packed(number[p], totals[p]), 0, 0, 0, 0) for (block, _), p in zip(asks, places, strict=True)]
-        return table_of([*out, (-WORDS, shard, -1, b"", int(totals.sum()), *(int(x.sum()) for x in (totals > 0, totals == 1, totals == 2)))], ANSWER)
+        sums = [int(totals.sum()), *(int(x.sum()) for x in (totals > 0, totals == 1, totals == 2))]
+        return table_of([(WORDS, shard, block, packed(number[p], totals[p]), *sums) for (block, _), p in zip(asks, places, strict=True)], ANSWER)
 
     def ask(key, left, right):
         if not left.num_rows:
             return table_of([], ASK)
-        own = Block(left.to_pylist()[0], by_kind(right)[WORDS])
+        own = Block(left.to_pylist()[0], by_kind(right)[0][WORDS])
         return table_of([(kind, s, key[0].as_py(), data) for kind in (PAIRS, TRIPLES) for s, data in own.asked(kind, shards)], ASK)
 
     def answer(key, rows):
         kind, shard = (x.as_py() for x in key)
         asks = sorted(zip(rows.column("block").to_pylist(), map(unpacked, rows.column("data").to_pylist()), strict=True), key=lambda x: x[0])
         totals, places = added_up(kind, [x for _, x in asks])
-        out = [(kind, shard, block, packed(totals[p]), 0, 0, 0, 0) for (block, _), p in zip(asks, places, strict=True)]
-        return table_of([*out, (-kind, shard, -1, b"", int(totals.sum()), int((totals > 0).sum()), 0, 0)], ANSWER)
+        sums = [int(totals.sum()), int((totals > 0).sum()), 0, 0]
+        return table_of([(kind, shard, block, packed(totals[p]), *sums) for (block, _), p in zip(asks, places, strict=True)], ANSWER)
 
     words = numbered.select("block", F.explode("words").alias("x")).select(F.lit(WORDS).alias("kind"), "x.shard", "block", "x.data")
     words = words.groupBy("shard").applyInArrow(answer_words, ANSWER)
     texts = numbered.select("block", "docs", "held", "tokens")
-    grams = texts.groupBy("block").cogroup(words.where(F.col("kind") == WORDS).groupBy("block")).applyInArrow(ask, ASK)
+    grams = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(ask, ASK)
     grams = grams.groupBy("kind", "shard").applyInArrow(answer, ANSWER)
-    told = materialize(words.unionAll(grams), "answers")
-    sums = {r["kind"]: r for r in told.where("kind < 0").groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("n", "types", "ones", "twos")]).collect()}  # three rows
-    of = lambda kind, c: sums[-kind][c] if -kind in sums else 0
-    total = Totals(of(WORDS, "n"), of(WORDS, "types"), of(WORDS, "ones"), of(WORDS, "twos"), of(PAIRS, "types"), of(TRIPLES, "types"))
-
     def score(key, left, right):
         out = []
         if left.num_rows:
-            told = by_kind(right)
+            told, sums = by_kind(right)
+            total = Totals(*sums[WORDS].values(), sums[PAIRS]["types"], sums[TRIPLES]["types"])
             own = Block(left.to_pylist()[0], told[WORDS])
             machine = Automaton(own, own.answered(PAIRS, shards, told[PAIRS]), own.answered(TRIPLES, shards, told[TRIPLES]), total)
             c = own.counts
@@ -330,4 +331,4 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
             out = [(doc, held, n, known, total.tokens, b, s) for doc, held, n, b, known, s in zip(own.docs, own.held, own.sizes.tolist(), *sums, machine.scores(own).tolist(), strict=True)]
         return table_of(out, RESULT)
 
-    return texts.groupBy("block").cogroup(told.where("kind > 0").groupBy("block")).applyInArrow(score, RESULT)
+    return texts.groupBy("block").cogroup(words.unionAll(grams).groupBy("block")).applyInArrow(score, RESULT)
