@@ -120,14 +120,15 @@ def roundtrip_error_cm(x: Column, y: Column, zone: Column, band: Column) -> Colu
 
 
 def to_dms(degrees: Column, axis: str) -> Column:
-    """`D:M:S.sL`, seconds cut to tenths; axis is 'lat' or 'lon'; zero gets no letter."""
-    tenths = F.round(F.abs(degrees) * 36000).cast("long")
+    """`D:M:S.s..L`, seconds cut to seven characters; axis is 'lat' or 'lon'; whole degrees of zero get no letter."""
     plus, minus = ("N", "S") if axis == "lat" else ("E", "W")
-    whole = F.floor(tenths / 36000)
-    minutes = F.floor(tenths / 600) % 60
-    rest = tenths % 600
-    letter = F.when(degrees > 0, plus).when(degrees < 0, minus).otherwise("")
-    return F.concat(whole.cast("string"), F.lit(":"), minutes.cast("string"), F.lit(":"), F.floor(rest / 10).cast("string"), F.lit("."), (rest % 10).cast("string"), letter)
+    whole = degrees.cast("long")
+    parts = F.abs((degrees - whole) * 60)
+    minutes = parts.cast("long")
+    seconds = F.abs((parts - minutes) * 60)
+    digits = F.when((seconds > 0) & (seconds < 0.001), F.format_string("%.5f", seconds)).otherwise(seconds.cast("string"))
+    letter = F.when(whole > 0, plus).when(whole < 0, minus).otherwise("")
+    return F.concat(F.abs(whole).cast("string"), F.lit(":"), minutes.cast("string"), F.lit(":"), F.substring(digits, 1, 7), letter)
 
 
 def _number(text: Column) -> Column:

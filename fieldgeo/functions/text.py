@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 BAND_NAMES = {"blue": "blue", "green": "green", "red": "red", "red edge": "red_edge", "red_edge": "red_edge", "rededge": "red_edge", "nir": "nir"}
 BANDS = ("blue", "green", "red", "nir", "red_edge")
 
-#: Fixed camera and image-type names of data-set folders.
-CAMERAS = {"rededge": "RE", "x5r": "X5R", "x5": "X5", "x3": "X3", "flir": "FLIR", "zenmuse": "ZEN"}
-IMAGE_TYPES = {"still": "STILL", "stills": "STILL", "video": "VIDEO"}
+#: Fixed camera and image-type names of data-set folders, spelled as they may be there.
+CAMERAS = {"RedEdge": "MRE", "rededge": "MRE", "Rededge": "MRE"}
+IMAGE_TYPES = {"still": "Still", "Still": "Still", "stills": "Still", "video": "Video", "Video": "Video"}
 
 
 def _lookup(names: dict[str, str], key: Column) -> Column:
@@ -46,8 +46,15 @@ def archive_image_name(sensor: Column, ts: Column, name: Column) -> Column:
     return F.concat_ws("_", sensor, F.date_format(ts, "yyyyMMdd_HHmmss"), name)
 
 
-def rover_image_name(camera: Column, serial: Column, ts: Column, name: Column) -> Column:
-    return F.concat_ws("_", F.concat(F.lit("CAM"), camera.cast("string")), serial, F.date_format(ts, "yyyyMMdd_HHmmss"), name)
+def rover_image_name(record: Column, serial: Column, data_set: Column, clock: Column) -> Column:
+    """`<serial>_<data set>_<HHmmss>_C0<camera>_<number>` of a trigger record `CAM<n>_IMG_<number>` and its time `HHmmss.SSS`."""
+    camera, number = F.substring(record, 4, 1), F.substring(record, 10, 1000)
+    return F.concat_ws("_", serial, data_set, F.substring(clock, 1, 6), F.concat(F.lit("C0"), camera), number)
+
+
+def flight_folder_name(day: Column, time: Column, elevation: Column, camera: Column, angle: Column, kind: Column, index: Column) -> Column:
+    """`<date>_<time>_<elevation>_<camera>_<angle>_<type>_<index>`."""
+    return F.concat_ws("_", day, time, *[c.cast("string") for c in (elevation, camera, angle, kind, index)])
 
 
 def set_stem(name: Column) -> Column:
@@ -100,6 +107,10 @@ def ext(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([^./]*)$", 1))
 
 
+def matches(text: Column, pattern: str) -> Column:
+    return text.rlike(pattern)
+
+
 def split_tabs(text: Column) -> Column:
     return F.split(text, r"\t+")
 
@@ -109,16 +120,19 @@ def of_type(path: Column, *suffixes: str) -> Column:
 
 
 def dataset_fields(name: Column) -> Column:
-    """struct of a data-set folder's eight `_` tokens, what they mean, is_valid, and the first error."""
+    """struct of a data-set folder's eight `_` tokens, what they mean, is_valid, and the first error.
+
+    planned is the elevation as written, angle the lens angle without its sign.
+    """
     parts = F.split(name, "_")
     at = lambda i: F.get(parts, F.lit(i))
     day = F.try_to_date(at(0), "yyyyMMdd")
-    camera, kind = _lookup(CAMERAS, F.lower(at(3))), _lookup(IMAGE_TYPES, F.lower(at(6)))
-    elevation = F.when(at(4).rlike(r"^\d+[a-zA-Z]+$"), F.regexp_extract(at(4), r"^(\d+)", 1).cast("int"))
-    angle = F.when(F.abs(at(5).try_cast("int")) <= 180, at(5).try_cast("int"))
-    flight = F.when(at(7).rlike(r"^[a-zA-Z]+\d+$"), F.regexp_extract(at(7), r"(\d+)$", 1).cast("int"))
+    camera, kind = _lookup(CAMERAS, at(3)), _lookup(IMAGE_TYPES, at(6))
+    elevation = F.when(at(4).rlike(r"^[0-9]+[a-zA-Z]+"), F.regexp_extract(at(4), r"^([0-9]+)", 1).cast("int"))
+    angle = F.when(F.abs(at(5).try_cast("int")) <= 180, F.abs(at(5).try_cast("int")))
+    flight = F.when(at(7).rlike(r"^[a-zA-Z]+[0-9]+"), F.regexp_extract(at(7), r"^[a-zA-Z]+([0-9]+)", 1).cast("int"))
     error = F.when(F.size(parts) != 8, "fields").when(day.isNull() | ~at(0).rlike(r"^\d{8}$"), "date").when(camera.isNull(), "camera").when(elevation.isNull(), "elevation").when(angle.isNull(), "angle").when(kind.isNull(), "type").when(flight.isNull(), "flight")
-    return F.struct(day.alias("day"), at(1).alias("location"), at(2).alias("experiments"), camera.alias("camera"), elevation.alias("elevation"), angle.alias("angle"), kind.alias("type"), flight.alias("flight"), error.isNull().alias("is_valid"), error.alias("error"))
+    return F.struct(day.alias("day"), at(1).alias("location"), at(2).alias("experiments"), camera.alias("camera"), elevation.alias("elevation"), at(4).alias("planned"), angle.alias("angle"), kind.alias("type"), flight.alias("flight"), error.isNull().alias("is_valid"), error.alias("error"))
 
 
 def archived_fields(name: Column) -> Column:

@@ -52,15 +52,36 @@ def apply_factors(pixels: DataFrame, factors: DataFrame, bits: Column | int = 16
     return pixels.join(known, "band").withColumn("value", geodesy.scale_reflectance(F.col("radiance"), F.col("factor"), bits)).drop("factor")
 
 
-def project_points(points: DataFrame, cameras: DataFrame, key: str = "idx", strict: bool = False) -> DataFrame:
+def with_sizes(cameras: DataFrame, sizes: DataFrame, ext: str = "dng") -> DataFrame:
+    """cameras with the width and height of the image file that a matrix belongs to: its name's first part with ext. Cameras without one go."""
+    name = F.concat(F.get(F.split("image", r"\."), F.lit(0)), F.lit(f".{ext}"))
+    known = sizes.select(F.col("image").alias("__file"), "width", "height")
+    return cameras.drop("width", "height").withColumn("__file", name).join(known, "__file").drop("__file")
+
+
+CAMERA_BLOCK = 1000  # cameras that go with a point as one array
+SALTS = 64
+
+
+def project_points(points: DataFrame, cameras: DataFrame, key: str = "idx", strict: bool = False, most: int = 20_000) -> DataFrame:
     """(image, key, u, v, and the points' other columns) of each point in each image that sees it.
 
     cameras: image, width, height and the 12 numbers m11..m34 row by row. Every point is tried with every camera, which is
-    what the operator is: the cameras go with each point as one array, gathered once, so that points are never shuffled.
+    what the operator is: cameras are gathered to arrays of CAMERA_BLOCK, and each point meets each array. Up to `most` cameras (some 2.5 MB),
+    by a count, the arrays are broadcast and points never shuffled; more are joined by array and a salt of the point.
     """
     matrix = [f"m{r}{c}" for r in (1, 2, 3) for c in (1, 2, 3, 4)]
-    gathered = cameras.agg(F.collect_list(F.struct("image", "width", "height", *matrix)).alias("__cameras"))  # one row of a camera list
-    rows = points.join(F.broadcast(gathered), F.lit(True), "left").withColumn("__m", F.explode("__cameras")).drop("__cameras")
+    n = cameras.count()
+    blocks, few = max(1, -(-n // CAMERA_BLOCK)), n <= most
+    block = F.pmod(F.xxhash64("image"), F.lit(blocks))
+    gathered = cameras.groupBy(block.alias("__block")).agg(F.collect_list(F.struct("image", "width", "height", *matrix)).alias("__cameras"))
+    rows = points.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+    if few:
+        rows = rows.join(F.broadcast(gathered), "__block")
+    else:
+        salted = gathered.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS))).join(salted, ["__block", "__salt"]).drop("__salt")
+    rows = rows.withColumn("__m", F.explode("__cameras")).drop("__cameras", "__block")
     line = lambda r: F.col(f"__m.m{r}1") * F.col("x") + F.col(f"__m.m{r}2") * F.col("y") + F.col(f"__m.m{r}3") * F.col("z") + F.col(f"__m.m{r}4")
     rows = rows.withColumn("__z", line(3)).where("`__z` <> 0")
     rows = rows.withColumns({"u": F.floor(line(1) / F.col("__z")), "v": F.floor(line(2) / F.col("__z"))})

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import geodesy
 
 
+BLOCK_STEPS = 1000  # grid steps that are exploded from one row
+
+
 def _w(by: Sequence[str] | str, *order):
     return Window.partitionBy(*([by] if isinstance(by, str) else by)).orderBy(*order)
 
@@ -31,8 +34,8 @@ def interpolate_grid(df: DataFrame, by: str = "flight_id", ts: str = "ts_ms", va
     """Recording rows, and rows on a step_ms grid linearly between each of them and the row before (recording or not).
 
     Columns: by, ts, values, interpolated, and segment if given. Gaps of step_ms or less get no grid rows; a grid time equal
-    to a row's own time isn't repeated. Each gap's grid is exploded from its two ends alone, so a long one is a long array
-    in one row but no wider shuffle.
+    to a row's own time isn't repeated. Each gap's grid is exploded from its two ends alone, in blocks of BLOCK_STEPS steps
+    first, so that no row holds more than a block or the list of a gap's blocks.
     """
     w = _w(by, ts)
     before = {c: F.lag(c).over(w) for c in (ts, *values)}
@@ -41,7 +44,8 @@ def interpolate_grid(df: DataFrame, by: str = "flight_id", ts: str = "ts_ms", va
     own = linked.select(*keep, ts, *values, F.lit(False).alias("interpolated"))
     first = (F.floor(F.col(f"__p_{ts}") / step_ms) + 1) * step_ms
     last = (F.ceil(F.col(ts) / step_ms) - 1) * step_ms
-    gaps = linked.where((F.col(ts) - F.col(f"__p_{ts}") > step_ms) & (first <= last)).withColumn("__t", F.explode(F.sequence(first, last, F.lit(step_ms).cast("long"))))
+    gaps = linked.where((F.col(ts) - F.col(f"__p_{ts}") > step_ms) & (first <= last)).withColumn("__b", F.explode(F.sequence(first, last, F.lit(step_ms * BLOCK_STEPS).cast("long"))))
+    gaps = gaps.withColumn("__t", F.explode(F.sequence(F.col("__b"), F.least(F.col("__b") + (BLOCK_STEPS - 1) * step_ms, last), F.lit(step_ms).cast("long"))))
     share = (F.col("__t") - F.col(f"__p_{ts}")) / (F.col(ts) - F.col(f"__p_{ts}"))
     grid = gaps.select(*keep, F.col("__t").alias(ts), *[(F.col(f"__p_{c}") + (F.col(c) - F.col(f"__p_{c}")) * share).alias(c) for c in values], F.lit(True).alias("interpolated"))
     return own.unionByName(grid)
@@ -83,23 +87,23 @@ def _probes(df: DataFrame, left: DataFrame, right_on: str, payload: Sequence[str
 def asof_forward(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = (), strict: bool = False, shift: int = 0) -> DataFrame:
     """Each left row with the first right key at or after it (strict: after on + shift): match_<on>, payload, delta.
 
-    Union and one window over `by`; null where no key follows. payload names must not be left's.
+    Union and one window over `by`, read from its end so that the frame only grows; null where no key follows. payload names must not be left's.
     """
     both = _merged(left, right, on, by, payload)
     # at equal times a key must stand after the probe that may take it, and before one that may not
     place = F.col(on) + F.when(F.col("__probe") == 1, F.lit(shift)).otherwise(F.lit(0))
     tie = F.col("__probe") if strict else 1 - F.col("__probe")
-    w = Window.partitionBy(by).orderBy("__place", "__tie").rowsBetween(0, Window.unboundedFollowing)
-    both = both.withColumns({"__place": place, "__tie": tie}).withColumn("__match", F.first("__key", ignorenulls=True).over(w))
+    w = Window.partitionBy(by).orderBy(F.desc("__place"), F.desc("__tie")).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumns({"__place": place, "__tie": tie}).withColumn("__match", F.last("__key", ignorenulls=True).over(w))
     return _probes(both, left, f"match_{on}", payload, on)
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = ()) -> DataFrame:
     """Each left row with the right key nearest to it, the earlier one if two are as near."""
     both = _merged(left, right, on, by, payload).withColumn("__tie", F.col("__probe"))
-    w = Window.partitionBy(by).orderBy(on, "__tie")
-    before = F.last("__key", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("__key", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    so_far = lambda *order: Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last("__key", ignorenulls=True).over(so_far(on, "__tie"))
+    after = F.last("__key", ignorenulls=True).over(so_far(F.desc(on), F.desc("__tie")))  # read from the end, so that the frame only grows
     both = both.withColumns({"__before": before, "__after": after})
     nearer = F.col("__after").isNotNull() & (F.col("__before").isNull() | (F.col("__after")[on] - F.col(on) < F.col(on) - F.col("__before")[on]))
     return _probes(both.withColumn("__match", F.when(nearer, F.col("__after")).otherwise(F.col("__before"))), left, f"match_{on}", payload, on)
@@ -119,6 +123,11 @@ def zip_by_order(images: DataFrame, events: DataFrame, by: str, image_order: str
     return left.join(right.withColumnRenamed("__status", "status"), [by, "i", "status"], "left")
 
 
+def zip_folders(folders: DataFrame, segments: DataFrame, by: str, folder: str = "folder", segment: str = "segment") -> DataFrame:
+    """Image folders in the order of their names with recording segments in theirs: one row a folder, by as zip_by_order has it."""
+    return zip_by_order(folders.select(by, folder).distinct(), segments, by, folder, segment)
+
+
 def sliding(df: DataFrame, columns: Sequence[str], order: str, by: str, n: int, step: int = 1) -> DataFrame:
     """w_<column>: arrays of n successive values, from every step-th row of a group that has n rows left."""
     if not 0 < step <= n:
@@ -129,10 +138,10 @@ def sliding(df: DataFrame, columns: Sequence[str], order: str, by: str, n: int,
     return full.withColumns({f"w_{c}": F.col(f"w_{c}")[c] for c in columns}).drop("__i")
 
 
-def heading_sign(df: DataFrame, y: str = "y", order: str = "ts_ms", by: str = "run_id", n: int = 5, offset: float = 0.24) -> DataFrame:
+def heading_sign(df: DataFrame, y: str = "y", order: str = "ts_ms", by: str = "run_id", n: int = 5, offset: float = 0.24, decided_only: bool = False) -> DataFrame:
     """heading '+' or '-' and y_corrected from n rows from each on: '+' if over n / 2 of the n - 1 steps don't fall, '-' if under.
 
-    The last n - 1 rows of a group, and rows with exactly n / 2, stay undecided (null).
+    The last n - 1 rows of a group, and rows with exactly n / 2, stay undecided (null), or go if decided_only is set.
     """
     w = _w(by, order)
     rises = df.withColumn("__up", (F.col(y) <= F.lead(y).over(w)).cast("int"))
@@ -141,6 +150,8 @@ def heading_sign(df: DataFrame, y: str = "y", order: str = "ts_ms", by: str = "r
     out = rises.withColumn("__ups", F.when(full, ups))
     sign = F.when(F.col("__ups") > n / 2, "+").when(F.col("__ups") < n / 2, "-")
     out = out.withColumn("heading", sign)
+    if decided_only:
+        out = out.where(F.col("heading").isNotNull())
     return out.withColumn("y_corrected", F.when(F.col("heading") == "+", F.col(y) + offset).when(F.col("heading") == "-", F.col(y) - offset)).drop("__up", "__ups")
 
 
@@ -193,5 +204,10 @@ def numbered(df: DataFrame, order: str, by: str, out: str = "i", start: int = 0)
     return df.withColumn(out, F.row_number().over(_w(by, order)) - 1 + start)
 
 
+def ordered(df: DataFrame, order: str, by: str) -> DataFrame:
+    """df sorted by group and order, by ranges of both."""
+    return df.orderBy(by, order)
+
+
 def every_nth(df: DataFrame, n: int, order: str, by: str) -> DataFrame:
     return numbered(df, order, by, "__i").where(F.col("__i") % n == 0).drop("__i")

@@ -16,7 +16,10 @@ def load_run(observations: DataFrame, prefix: str = "phemu", by: str = "run_id",
 
 
 def assign_plots(observations: DataFrame, plots: DataFrame, cell: float) -> DataFrame:
-    """Observations with position (WKT) and the smallest id of the plots that hold them, null where none does."""
-    keyed = observations.withColumn("__id", F.monotonically_increasing_id())
-    hits = spatial.assign_plot(keyed.select("__id", "x", "y"), plots.select("plot_id", "ring"), cell).groupBy("__id").agg(F.min("plot_id").alias("plot_id"))
-    return keyed.join(hits, "__id", "left").drop("__id").withColumn("position", text.wkt_point(F.col("x"), F.col("y")))
+    """Observations with position (WKT) and the smallest id of the plots that hold them, null where none does.
+
+    A plot follows from x and y alone, so places are looked up once each and joined back by their coordinates.
+    """
+    places = observations.select("x", "y").distinct()
+    hits = spatial.assign_plot(places, plots.select("plot_id", "ring"), cell).groupBy("x", "y").agg(F.min("plot_id").alias("plot_id"))
+    return observations.join(hits, ["x", "y"], "left").withColumn("position", text.wkt_point(F.col("x"), F.col("y")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock, geodesy, text
-from ..operators import imaging, summary
+from ..operators import imaging, series, summary
 
 
 def decode_tags(images: DataFrame) -> DataFrame:
@@ -23,6 +23,18 @@ def decode_tags(images: DataFrame) -> DataFrame:
     )
 
 
+def archive_names(flights: DataFrame, name: str = "data_set", start: str = "start", order: str = "folder") -> DataFrame:
+    """flights with archive_name: their data set's planned elevation, camera, angle and type after date and time, and their place in it from 0.
+
+    A data set whose own name isn't valid gives null names.
+    """
+    fields = flights.withColumn("__f", text.dataset_fields(F.col(name)))
+    placed = series.numbered(fields, order, name, "__i")
+    of = lambda c: F.col(f"__f.{c}")
+    made = text.flight_folder_name(F.date_format(start, "yyyyMMdd"), F.date_format(start, "HHmmss"), of("planned"), of("camera"), of("angle"), of("type"), F.col("__i"))
+    return placed.withColumn("archive_name", F.when(of("is_valid"), made)).drop("__f", "__i")
+
+
 def archive(images: DataFrame, by: str = "flight_id", min_size: int = 2_400_000) -> tuple[DataFrame, DataFrame]:
     """(image rows of complete sets, a run row for each flight with hull and count)."""
     listed = imaging.validate_sets(images.withColumn("stem", text.set_stem(text.stem(F.col("name")))), min_size=min_size).where("is_valid")

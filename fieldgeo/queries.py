@@ -185,14 +185,14 @@ def every_nth_frame(spark, sf_dir):
     return series.every_nth(t.flight_log(spark, sf_dir), 7, "ts_ms", "flight_id").select("flight_id", "event_id")
 
 
-@query("""with i as (select o_custkey % 150 as flight_id, o_orderkey as image, row_number() over (partition by o_custkey % 150 order by o_orderkey) as i from orders where o_orderkey % 3 = 0),
-e as (select user_id as flight_id, event_id, row_number() over (partition by user_id order by event_id) as i from events where event_id % 2 = 0 or user_id % 5 = 0),
+@query("""with i as (select o_custkey % 150 as flight_id, o_orderkey as image, row_number() over (partition by o_custkey % 150 order by o_orderkey) as i from orders),
+e as (select event_id % 149 as flight_id, event_id, row_number() over (partition by event_id % 149 order by event_id) as i from events),
 m as (select flight_id, count(*) as m from i group by 1), n as (select flight_id, count(*) as n from e group by 1),
 s as (select m.flight_id, case when m = coalesce(n, 0) then 'matched' when m < coalesce(n, 0) then 'fewer images' else 'more images' end as status from m left join n using (flight_id))
 select i.flight_id, i.image, i.i::int as i, s.status, e.event_id from i join s using (flight_id) left join e on e.flight_id = i.flight_id and e.i = i.i and s.status = 'matched'""")
 def zipped_images(spark, sf_dir):
-    images = t.table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select((F.col("o_custkey") % 150).alias("flight_id"), F.col("o_orderkey").alias("image"))
-    events = t.table(spark, sf_dir, "events").where("event_id % 2 = 0 or user_id % 5 = 0").select(F.col("user_id").alias("flight_id"), "event_id")
+    images = t.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 150).alias("flight_id"), F.col("o_orderkey").alias("image"))
+    events = t.table(spark, sf_dir, "events").select((F.col("event_id") % 149).alias("flight_id"), "event_id")
     return series.zip_by_order(images, events, "flight_id", "image", "event_id").select("flight_id", "image", "i", "status", "event_id")
 
 
@@ -222,7 +222,7 @@ def nearest_plot(spark, sf_dir):
     at = lambda i: F.col("embedding")[i].cast("double")
     p = e.select(F.col("vec_id").alias("idx"), ((at(0) + 0.4) * 60).alias("x"), ((at(1) + 0.4) * 40).alias("y"))
     centres = t.plots(spark, sf_dir).select("plot_id", (F.col("c") + 0.65).alias("rx"), (F.col("r") + 0.5).alias("ry"))
-    return spatial.nearest(p, centres, "idx", 0.7, right_key="plot_id").select("idx", "plot_id", r6("distance").alias("distance"))
+    return spatial.nearest(p, centres, "idx", 0.7, right_key="plot_id", cell=0.35).select("idx", "plot_id", r6("distance").alias("distance"))
 
 
 @query(f"""with {t.PLOTS}, l as (select s_suppkey as line_id, (s_suppkey % 50)::double as x0, (s_suppkey % 40) + 0.5 as y0, (s_suppkey % 50) + 3.0 as x1, (s_suppkey % 40) + 0.5 as y1 from supplier)
@@ -410,10 +410,10 @@ def image_outlines(spark, sf_dir):
     return n.join(hulls, "image").select("image", "n", *[box[k].cast("long").alias(a) for k, a in (("xmin", "umin"), ("xmax", "umax"), ("ymin", "vmin"), ("ymax", "vmax"))])
 
 
-@query(f"with {t.POINTS} select run_id, count(*) as n, sum(case when x > 10 and x < 40 and y > 5 and y < 30 then 0 else 1 end)::bigint as n_masked from points where x not in (10, 40) and y not in (5, 30) group by run_id")
+@query(f"with {t.POINTS} select run_id, count(*) as n, sum(case when x >= 10.0137 and x <= 40.0137 and y >= 5 and y <= 30 then 0 else 1 end)::bigint as n_masked from points group by run_id")
 def masked_pixels(spark, sf_dir):
-    px = t.points(spark, sf_dir).where("x not in (10, 40) and y not in (5, 30)").select("run_id", "x", "y", F.lit(1).alias("r"), F.lit(2).alias("g"), F.lit(3).alias("b"))
-    hulls = px.groupBy("run_id").agg(F.count("*")).select("run_id", rings.box_ring(*map(F.lit, (10.0, 5.0, 40.0, 30.0))).alias("hull"))
+    px = t.points(spark, sf_dir).select("run_id", "x", "y", F.lit(1).alias("r"), F.lit(2).alias("g"), F.lit(3).alias("b"))
+    hulls = px.groupBy("run_id").agg(F.count("*")).select("run_id", rings.box_ring(*map(F.lit, (10.0137, 5.0, 40.0137, 30.0))).alias("hull"))
     return imaging.mask_pixels(px, hulls, "run_id", "x", "y").groupBy("run_id").agg(F.count("*").alias("n"), F.sum((F.col("r") == 128).cast("int")).alias("n_masked"))
 
 
@@ -437,10 +437,10 @@ def rover_matches(spark, sf_dir):
     return relational.match_rover(trig, pos)
 
 
-@query(f"with {t.FLIGHT}, g as (select flight_id, ts_ms // 1000 as s, round(lat, 6) as glat from log where ts_ms % 3 = 0) select l.flight_id, l.event_id, g.glat from log l join g on g.flight_id = l.flight_id and g.s = l.ts_ms // 1000")
+@query(f"with {t.FLIGHT}, g as (select flight_id, ts_ms // 1000 as s, max(round(lat, 6)) as glat from log group by all) select l.flight_id, l.event_id, g.glat from log l join g on g.flight_id = l.flight_id and g.s = l.ts_ms // 1000")
 def gps_seconds(spark, sf_dir):
     log = t.flight_log(spark, sf_dir)
-    gps = log.where("ts_ms % 3 = 0").select("flight_id", (F.floor(F.col("ts_ms") / 1000) * 1000).alias("ts_ms"), r6("lat").alias("glat"))
+    gps = log.groupBy("flight_id", (F.floor(F.col("ts_ms") / 1000) * 1000).alias("ts_ms")).agg(F.max(r6("lat")).alias("glat"))
     return relational.join_gps_second(log.select("flight_id", "event_id", "ts_ms"), gps, "flight_id", payload=["glat"]).select("flight_id", "event_id", "glat")
 
 
@@ -464,10 +464,10 @@ def image_hashes(spark, sf_dir):
     return relational.update_md5(rows, hashes, "p_partkey").select("image_file_name", "p_partkey", "md5sum")
 
 
-@query("select p_partkey as code from part where p_partkey not in (select l_partkey from lineitem where l_quantity > 25)")
+@query("select p_partkey as code from part where p_partkey not in (select l_partkey - l_suppkey % 3 * 7 from lineitem where l_quantity > 49)")
 def unused_codes(spark, sf_dir):
     codes = t.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"))
-    return relational.unused_codes(codes, t.table(spark, sf_dir, "lineitem").where("l_quantity > 25").select(F.col("l_partkey").alias("code")), "code")
+    return relational.unused_codes(codes, t.table(spark, sf_dir, "lineitem").where("l_quantity > 49").select((F.col("l_partkey") - F.col("l_suppkey") % 3 * 7).alias("code")), "code")
 
 
 @query("select p_partkey, p_brand from part where p_brand like 'Brand#1%' and p_type not in (select n_name from nation) and p_type <> 'ECONOMY'")
@@ -511,14 +511,13 @@ def utm_roundtrip(spark, sf_dir):
 
 
 @query("""with p as (select o_orderkey, o_orderkey % 180 as d, o_orderkey % 60 as m, o_orderkey % 59 * 100 + 25 as s from orders)
-select o_orderkey, round(case when o_orderkey % 2 = 1 then -1 else 1 end * (d + m / 60 + s / 100 / 3600), 8) as degrees, d::varchar || ':' || m::varchar || ':' || (s // 100)::varchar || case when s = 25 then '.2' else '.2' end || '' as cut, round(o_orderkey / 8.0, 6)::double as altitude,
+select o_orderkey, round(case when o_orderkey % 2 = 1 then -1 else 1 end * (d + m / 60 + s / 100 / 3600), 8) as degrees, round(o_orderkey / 8.0, 6)::double as altitude,
 case o_orderkey % 3 when 0 then 'AMSL' when 1 then 'BMSL' else 'Not Available' end as altitude_ref from p""")
 def decoded_tags(spark, sf_dir):
     k = F.col("o_orderkey")
     tags = t.table(spark, sf_dir, "orders").select(k, F.format_string("[%d, %d, %d/100]", k % 180, k % 60, k % 59 * 100 + 25).alias("dms"), F.when(k % 2 == 1, "W").otherwise("E").alias("ref"), F.format_string("%d/8", k).alias("alt"), F.when(k % 3 == 2, None).otherwise((k % 3).cast("string")).alias("alt_ref"))
     value = geodesy.dms_to_decimal(F.col("dms"), F.col("ref"))
-    cut = F.regexp_replace(geodesy.to_dms(F.abs(value) - 0.04 / 3600, "lon"), "[EW]$", "")
-    return tags.select("o_orderkey", F.round(value, 8).alias("degrees"), cut.alias("cut"), r6(geodesy.altitude(F.col("alt"))).alias("altitude"), geodesy.altitude_ref(F.col("alt_ref")).alias("altitude_ref"))
+    return tags.select("o_orderkey", F.round(value, 8).alias("degrees"), r6(geodesy.altitude(F.col("alt"))).alias("altitude"), geodesy.altitude_ref(F.col("alt_ref")).alias("altitude_ref"))
 
 
 @query(f"""with {t.FLIGHT} select event_id, strftime(make_timestamp(ts_ms * 1000), '%Y/%m/%d') as d, strftime(make_timestamp(ts_ms * 1000), '%H:%M:%S.%f') as c,
@@ -553,12 +552,12 @@ def image_names(spark, sf_dir):
 
 
 @query("""select o_orderkey, case when o_orderkey % 7 = 0 then 'date' when o_orderkey % 11 = 0 then 'elevation' when o_orderkey % 5 = 0 then 'angle' end as error,
-case when o_orderkey % 7 <> 0 then o_orderdate::date end::varchar as day, case when o_orderkey % 11 <> 0 then 20 end as elevation, case when o_orderkey % 5 <> 0 then -90 end as angle, 1 + o_orderkey % 3 as flight from orders""")
+case when o_orderkey % 7 <> 0 then o_orderdate::date end::varchar as day, case when o_orderkey % 11 <> 0 then 20 end as elevation, case when o_orderkey % 11 = 0 then 'm20' else '20m' end as planned, 'MRE' as camera, case o_orderkey % 4 when 0 then 'Video' else 'Still' end as type, case when o_orderkey % 5 <> 0 then 90 end as angle, 1 + o_orderkey % 3 as flight from orders""")
 def dataset_names(spark, sf_dir):
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    parts = [F.when(k % 7 == 0, "20241399").otherwise(F.date_format(d, "yyyyMMdd")), F.lit("18ASH"), F.lit("BYD0"), F.lit("Rededge"), F.when(k % 11 == 0, "m20").otherwise("20m"), F.when(k % 5 == 0, "-190").otherwise("-90"), F.lit("Still"), F.concat(F.lit("Flight"), (1 + k % 3).cast("string"))]
+    parts = [F.when(k % 7 == 0, "20241399").otherwise(F.date_format(d, "yyyyMMdd")), F.lit("18ASH"), F.lit("BYD0"), F.lit("Rededge"), F.when(k % 11 == 0, "m20").otherwise("20m"), F.when(k % 5 == 0, "-190").otherwise("-90"), F.when(k % 4 == 0, "video").when(k % 4 == 1, "stills").otherwise("Still"), F.concat(F.lit("Flight"), (1 + k % 3).cast("string"))]
     x = text.dataset_fields(F.concat_ws("_", *parts))
-    return t.table(spark, sf_dir, "orders").select("o_orderkey", x.alias("x")).select("o_orderkey", "x.error", F.col("x.day").cast("string").alias("day"), "x.elevation", "x.angle", F.col("x.flight").cast("long").alias("flight"))
+    return t.table(spark, sf_dir, "orders").select("o_orderkey", x.alias("x")).select("o_orderkey", "x.error", F.col("x.day").cast("string").alias("day"), "x.elevation", "x.planned", "x.camera", "x.type", "x.angle", F.col("x.flight").cast("long").alias("flight"))
 
 
 # --- readers and sinks: tables written in a file layout and read back -------------------------------------------------
@@ -579,13 +578,13 @@ def reread_flight_log(spark, sf_dir):
 
 
 @query("""select 'CAM' as tag, event_id as week_ms, (user_id % 2000)::int as week, round(value, 2) as altitude from events where event_id % 3 = 0
-union all select 'GPS', event_id, (user_id % 2000)::int, round(value, 2) from events where event_id % 3 = 1""")
+union all select 'GPS', event_id, (user_id % 2000)::int, round(value, 2) from events where event_id % 3 <> 0""")
 def reread_tagged_log(spark, sf_dir):
     e = t.table(spark, sf_dir, "events")
     v = F.format_string("%.2f", "value")
     cam = F.concat_ws(", ", F.lit("CAM"), "event_id", F.col("user_id") % 2000, F.lit("1.5"), F.lit("2.5"), F.lit("0"), v)
     gps = F.concat_ws(", ", F.lit("GPS"), "event_id", F.col("user_id") % 2000, F.lit("8"), F.lit("0.9"), F.lit("9"), F.lit("1.5"), F.lit("2.5"), v)
-    path = _written(spark, e.select(F.when(F.col("event_id") % 3 == 0, cam).when(F.col("event_id") % 3 == 1, gps).otherwise(F.lit("FMT, 0"))))
+    path = _written(spark, e.select(F.when(F.col("event_id") % 3 == 0, cam).otherwise(gps)).unionAll(spark.sql("select 'FMT, 0'")))
     a, b = readers.read_tagged_log(spark, path)
     pick = lambda df, tag: df.select(F.lit(tag).alias("tag"), "week_ms", "week", "altitude")
     return pick(a, "CAM").unionAll(pick(b, "GPS"))
@@ -624,10 +623,13 @@ def written_metadata(spark, sf_dir):
     return back.select("image_file_name", "flight_id", "altitude", "altitude_ref")
 
 
-@query("select o_orderkey as record_id, o_custkey as run_id from orders where o_orderkey % 2 = 0 union all select o_orderkey, o_custkey from orders where o_orderkey % 2 = 1 and o_orderkey % 3 = 0")
+@query("select o_orderkey as record_id, o_custkey as run_id from orders")
 def appended_rows(spark, sf_dir):
     o = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_custkey").alias("run_id"))
     path = t.scratch(spark)
     sinks.append_table(o.where("record_id % 2 = 0"), path)
-    sinks.append_new(o.where("record_id % 2 = 0 or record_id % 3 = 0"), path, "record_id")
+    sinks.append_new(o, path, "record_id")
     return spark.read.schema(o.schema).parquet(path)
+
+
+from . import file_queries, scalar_queries  # noqa: E402, F401  they register further queries

@@ -26,5 +26,11 @@ IMAGE_SIZE = "image string, width int, height int"
 CALIBRATION = "serial_number string, parameter_type string, parameter_value double"
 EXPERIMENT = "record_id bigint, experiment_id string, location string, environment string, planting_date date, harvest_date date, xmin double, ymin double, xmax double, ymax double, notes string"
 IMAGE_TAGS = "name string, size bigint, gps_lat string, gps_lat_ref string, gps_lon string, gps_lon_ref string, gps_alt string, gps_alt_ref string, gps_date string, gps_time string, datetime_original string, body_serial string"
+#: Columns of the older image metadata files, in their order.
+IMAGE_ROW_OLD = (
+    "record_id", "image_file_name", "flight_id", "sensor_id", "uas_position_x", "uas_position_y", "uas_position_z", "uas_latitude", "uas_longitude", "uas_sampling_date_utc", "uas_sampling_time_utc",
+    "uas_lat_zone", "uas_long_zone", "uas_altitude_reference", "cam_position_x", "cam_position_y", "cam_position_z", "cam_latitude", "cam_longitude", "cam_sampling_date_utc", "cam_sampling_time_utc",
+    "cam_lat_zone", "cam_long_zone", "cam_altitude_reference", "md5sum", "notes",
+)
 #: Columns of the image metadata table, in the order of its files.
 IMAGE_ROW = ("record_id", "image_file_name", "flight_id", "sensor_id", "date_utc", "time_utc", "position", "altitude", "altitude_ref", "gcp_world_coords", "gcp_pixel_coords", "md5sum", "position_source", "notes")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -61,19 +61,29 @@ def read_image_positions(spark: SparkSession, path: str, utm_only: bool = False)
 
 
 def read_gnss(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """(file, clock, day): tab-separated logs take the day from eight digits in their path, comma-separated ones from field 2."""
+    """(file, clock, day): tab-separated logs take the day from eight digits that stand alone in their path, comma-separated ones from field 2."""
     df = _lines(spark, path, sep)
     at = lambda i: F.get(F.col("parts"), F.lit(i))
-    day = F.regexp_extract("file", r"(\d{8})", 1) if sep == "\t" else at(2)
+    day = F.regexp_extract("file", r"(?<![0-9A-Za-z])(\d{8})(?![0-9A-Za-z])", 1) if sep == "\t" else at(2)
     return df.select("file", at(1).alias("clock"), F.try_to_date(day, "yyyyMMdd").alias("day")).where(F.col("clock").try_cast("double").isNotNull())
 
 
-def read_plan(spark: SparkSession, path: str) -> DataFrame:
-    """Waypoints with seq from 1 in the file's order; a plan is one small file, whose lines keep their order by place in it."""
-    df = _csv(spark, path, schemas.WAYPOINT, header=True).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("__at"))
-    from ..operators.series import numbered
+def _line_numbers(df: DataFrame, out: str) -> DataFrame:
+    """df, read from text files, with the number of each line of data in its file from 0, and its file.
+
+    Lines are counted by split; a split's first number is the sum of those before it, whatever tasks splits fall to. There is a row for each split.
+    """
+    at = df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__split"), F.monotonically_increasing_id().alias("__at"))
+    splits = at.groupBy("file", "__split").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("file", "__split", (before - F.col("__first")).alias("__shift"))
+    return at.join(splits, ["file", "__split"]).withColumn(out, F.col("__at") + F.col("__shift")).drop("__split", "__at", "__shift")
 
-    return numbered(df, "__at", "file", "seq", 1).drop("__at")
+
+def read_plan(spark: SparkSession, path: str) -> DataFrame:
+    """Waypoints with seq from 1 in their file's order."""
+    df = _line_numbers(_csv(spark, path, schemas.WAYPOINT, header=True), "seq")
+    return df.select("lat", "lon", "file", (F.col("seq") + 1).cast("int").alias("seq"))
 
 
 def read_plot_corners(spark: SparkSession, path: str) -> DataFrame:
@@ -83,8 +93,8 @@ def read_plot_corners(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Points with idx, an id by file order that later joins may use once it's stored."""
-    return _csv(spark, path, schemas.POINT).select(F.monotonically_increasing_id().alias("idx"), "*")
+    """Points with idx, their line in their file from 0, by which those of two files can be zipped."""
+    return _line_numbers(_csv(spark, path, schemas.POINT), "idx").select("idx", *[c.split()[0] for c in schemas.POINT.split(", ")])
 
 
 def read_pmatrix(spark: SparkSession, path: str) -> DataFrame:

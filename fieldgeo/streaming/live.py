@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,21 +27,21 @@ def fill_gaps(log: DataFrame, step_ms: int = 10) -> DataFrame:
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = state.get if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("ts_ms", kind="stable")
-        out = []
-        for t, lat, lon, recording in rows[["ts_ms", "lat", "lon", "recording"]].itertuples(index=False):
-            if before is not None and t <= before[0]:
-                continue
-            if recording:
-                if before is not None and t - before[0] > step_ms:
-                    for at in range((before[0] // step_ms + 1) * step_ms, t, step_ms):
-                        share = (at - before[0]) / (t - before[0])
-                        out.append((key[0], at, before[1] + (lat - before[1]) * share, before[2] + (lon - before[2]) * share, True))
-                out.append((key[0], int(t), lat, lon, False))
-            before = (int(t), float(lat), float(lon))
-        if before is not None:
-            state.update(before)
-        yield pd.DataFrame(out, columns=["flight_id", "ts_ms", "lat", "lon", "interpolated"])
+        rows = pd.concat(list(batches)).sort_values("ts_ms", kind="stable").drop_duplicates("ts_ms")
+        if state.exists:
+            last = pd.DataFrame([(*state.get, False)], columns=["ts_ms", "lat", "lon", "recording"])
+            rows = pd.concat([last, rows[rows["ts_ms"] > state.get[0]]])
+        t, recording = rows["ts_ms"].to_numpy(np.int64), rows["recording"].to_numpy(bool)
+        state.update((int(t[-1]), float(rows["lat"].iloc[-1]), float(rows["lon"].iloc[-1])))
+        first = (t[:-1] // step_ms + 1) * step_ms
+        steps = np.where(recording[1:] & (np.diff(t) > step_ms), np.maximum(-((first - t[1:]) // step_ms), 0), 0)
+        gap = np.repeat(np.arange(len(steps)), steps)
+        at = first[gap] + step_ms * (np.arange(len(gap)) - np.repeat(np.cumsum(steps) - steps, steps))
+        share = (at - t[gap]) / (t[gap + 1] - t[gap])
+        between = {c: (x := rows[c].to_numpy(float))[gap] + (x[gap + 1] - x[gap]) * share for c in ("lat", "lon")}
+        own = rows[recording]
+        out = pd.concat([pd.DataFrame({"ts_ms": at, **between, "interpolated": True}), own[["ts_ms", "lat", "lon"]].assign(interpolated=False)]).sort_values("ts_ms", kind="stable")
+        out.insert(0, "flight_id", key[0])
+        yield out
 
     return log.groupBy("flight_id").applyInPandasWithState(step, GRID, "ts_ms long, lat double, lon double", "append", GroupStateTimeout.NoTimeout)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -102,6 +103,9 @@ def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for what a query writes: below spark.checkpoint.dir, or of its own where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A new folder for what a query writes: below spark.checkpoint.dir, or of its own in local mode where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -30,7 +30,7 @@ def test_clocks(spark):
 
 def test_names(spark):
     x = one(spark, text.dataset_fields(F.lit("20180404_18ASH_BYD0BYD2_Rededge_20m_-90_Still_Flight1")))
-    assert x["is_valid"] and (x["camera"], x["elevation"], x["angle"], x["type"], x["flight"]) == ("RE", 20, -90, "STILL", 1)
+    assert x["is_valid"] and (x["camera"], x["elevation"], x["angle"], x["type"], x["flight"]) == ("MRE", 20, 90, "Still", 1)
     assert one(spark, text.dataset_fields(F.lit("20180404_18ASH_x_Rededge_20m_-190_Still_Flight1"))["error"]) == "angle"
     assert one(spark, text.dataset_fields(F.lit("nothing"))["error"]) == "fields"
     a = one(spark, text.archived_fields(F.lit("20180404_120000_20m_RE_-90_STILL_0")))
