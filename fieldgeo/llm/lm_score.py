@@ -16,7 +16,9 @@ that stand in it, in packed arrays by shard:
 3. With both answers a block builds its part of the automaton, and its documents are traversed once from left to right, all of
    them at once: the state before a token is that of the two tokens before it, which a shift by one place carries along.
 
-A word, pair or triple on a third of all rows is one entry for each block.
+A word, pair or triple on a third of all rows is one entry for each block. An n-gram goes to a shard by its first word, by its
+first two where that word stands in training more than SPREAD times, and by all three where the second does so too, so that nothing
+brings more than about SPREAD entries to a shard.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ SUMS = ("n", "types", "ones", "twos")
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+SPREAD = 1_000_000
+
+
 class Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self) + 1
@@ -73,6 +78,28 @@ def steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=x.dtype.type(0))
 
 
+def run_starts(first: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, by the steps between them."""
+    starts = first != 0
+    starts[:1] = True
+    return np.flatnonzero(starts)
+
+
+def steps_in_runs(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """As steps, anew in each run of the first column, whose steps are given; x is sorted within those."""
+    out, at = steps(x), run_starts(first)
+    out[at] = x[at]
+    return out
+
+
+def sums_in_runs(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Undoes steps_in_runs."""
+    if not len(x):
+        return x
+    at, total = run_starts(first), np.cumsum(x)
+    return total - np.repeat(total[at] - x[at], np.diff(np.append(at, len(x))))
+
+
 def whole(x: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
@@ -119,11 +146,12 @@ def as_numbers(block: int, table: pa.Table, shards: int) -> pa.Table:
 class Block:
     """A block's documents with what the word shards told of its words, and its distinct n-grams of known words.
 
-    grams[n] are the n-grams of order n as rows of word numbers, in order; places[n] is each token's row there, or -1; weights[n] their
+    grams[n] are the n-grams of order n as rows of places in numbers, in order; places[n] is each token's row there, or -1; weights[n] their
     counts in training documents.
     """
 
-    def __init__(self, row: dict, told: dict[int, bytes]):
+    def __init__(self, row: dict, told: dict[int, bytes], spread: int = SPREAD):
+        self.spread = spread
         tokens, sizes, often = map(whole, unpacked(row["tokens"]))
         numbers, counts = zip(*[unpacked(told[s]) for s in sorted(told)], strict=True)
         numbers = whole(np.concatenate(numbers))
@@ -153,21 +181,28 @@ class Block:
         self.places[kind] = np.full(len(keys), -1)
         self.places[kind][some] = at
         self.weights[kind] = np.bincount(at, trained[some], len(found)).astype(np.int64)
-        left = self.numbers[found // n][:, None] if kind == PAIRS else self.grams[PAIRS][found // n]
-        self.grams[kind] = np.hstack([left, self.numbers[found % n][:, None]]) if len(found) else np.zeros((0, kind), np.int64)
+        left = (found // n)[:, None] if kind == PAIRS else self.grams[PAIRS][found // n]
+        self.grams[kind] = np.hstack([left, (found % n)[:, None]]) if len(found) else np.zeros((0, kind), np.int64)
 
     def by_shard(self, kind: int, shards: int) -> list[tuple[int, np.ndarray]]:
         """Each shard's n-grams, in the order of their first words' numbers."""
-        rows, hashed = self.grams[kind], np.zeros(len(self.grams[kind]), np.uint64)
+        rows = self.grams[kind]
+        hashed, spread = np.zeros(len(rows), np.uint64), np.ones(len(rows), bool)
         for column in rows.T:
-            hashed = mix(hashed + column.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+            hashed[spread] = mix(hashed[spread] + self.numbers[column[spread]].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+            spread &= self.counts[column] > self.spread
         shard = (hashed % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
         order = np.argsort(shard, kind="stable")
         ends = np.searchsorted(shard[order], np.arange(shards + 1))
         return [(s, order[a:z]) for s, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
 
     def asked(self, kind: int, shards: int) -> list[tuple[int, bytes]]:
-        return [(s, packed(steps(self.grams[kind][at, 0]), *self.grams[kind][at, 1:].T, self.weights[kind][at])) for s, at in self.by_shard(kind, shards)]
+        out = []
+        for s, at in self.by_shard(kind, shards):
+            first, second, *rest = self.numbers[self.grams[kind][at]].T
+            moved = steps(first)
+            out.append((s, packed(moved, steps_in_runs(second, moved), *rest, self.weights[kind][at])))
+        return out
 
     def answered(self, kind: int, shards: int, told: dict[int, bytes]) -> np.ndarray:
         """Training counts of the block's n-grams."""
@@ -179,7 +214,9 @@ class Block:
 
 def added_up(kind: int, requests: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Of a shard's requests: their distinct n-grams' total counts, and the place of each entry among those, a list for each request."""
-    columns = [np.concatenate([np.cumsum(r[0]) for r in requests]), *[np.concatenate([r[i] for r in requests]) for i in range(1, len(requests[0]) - 1)]]
+    columns = [np.concatenate([np.cumsum(r[0]) for r in requests])]
+    if kind != WORDS:
+        columns += [np.concatenate([sums_in_runs(r[1], r[0]) for r in requests]), *[np.concatenate([r[i] for r in requests]) for i in range(2, len(requests[0]) - 1)]]
     keys = columns[0]
     for column in columns[1:]:
         _, keys = np.unique(keys, return_inverse=True)
@@ -278,7 +315,7 @@ def by_kind(rows: pa.Table) -> tuple[dict[int, dict[int, bytes]], dict[int, dict
     return told, sums
 
 
-def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", held_out=None, block_bytes: int = 5_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", held_out=None, block_bytes: int = 5_000_000, spread: int = SPREAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; learns from rows not held out.
 
     Tokens are words with A-Z lower-cased, then one end. Null and empty texts have the end alone. held_out is a boolean
@@ -303,7 +340,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     def ask(key, left, right):
         if not left.num_rows:
             return table_of([], ASK)
-        own = Block(left.to_pylist()[0], by_kind(right)[0][WORDS])
+        own = Block(left.to_pylist()[0], by_kind(right)[0][WORDS], spread)
         return table_of([(kind, s, key[0].as_py(), data) for kind in (PAIRS, TRIPLES) for s, data in own.asked(kind, shards)], ASK)
 
     def answer(key, rows):
@@ -318,12 +355,13 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     texts = numbered.select("block", "docs", "held", "tokens")
     grams = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(ask, ASK)
     grams = grams.groupBy("kind", "shard").applyInArrow(answer, ANSWER)
+
     def score(key, left, right):
         out = []
         if left.num_rows:
             told, sums = by_kind(right)
             total = Totals(*sums[WORDS].values(), sums[PAIRS]["types"], sums[TRIPLES]["types"])
-            own = Block(left.to_pylist()[0], told[WORDS])
+            own = Block(left.to_pylist()[0], told[WORDS], spread)
             machine = Automaton(own, own.answered(PAIRS, shards, told[PAIRS]), own.answered(TRIPLES, shards, told[TRIPLES]), total)
             c = own.counts
             base = np.log10((c + 0.1) / (total.tokens + 0.1 * (total.types + 1)))[own.tokens]

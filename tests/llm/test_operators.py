@@ -181,7 +181,8 @@ def test_long_words_are_scored_whole(monkeypatch):
     assert np.isfinite(own.log_probabilities(["▁" + "xyzzy" * 2000], p)).all() and np.isfinite(own.expected(["▁" + "xyzzy" * 2000], np.array([1]), p[:, [0]])).all()
 
 
-def test_lm_scores(spark, docs, rows, edges, nothing):
+@pytest.mark.parametrize("spread", [lm_score.SPREAD, 100])
+def test_lm_scores(spark, docs, rows, edges, nothing, spread):
     both = docs.select("doc_id", "text").unionAll(edges.select("doc_id", "text"))
     rows = rows + [r[:2] for r in EDGES]
     own = [(d, [*words_of(t), None], held(d, 10, 0)) for d, t in rows]
@@ -199,7 +200,7 @@ def test_lm_scores(spark, docs, rows, edges, nothing):
     three = lambda u, v, w: (triples[u, v, w] + k3 * two(v, w)) / (pairs[u, v] + k3) if pairs[u, v] else two(v, w)
     score = lambda t: math.log10(two(None, t[0])) + sum(math.log10(three(*x)) for x in zip([None, *t], t, t[1:], strict=False))
     want = [(doc, out, len(t), sum(c[w] > 0 for w in t), total, round(sum(math.log10((c[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in t), 4), round(score(t), 4)) for doc, t, out in own]
-    got = [(r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in lm_score.score_documents(both, block_bytes=60_000).collect()]
+    got = [(r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in lm_score.score_documents(both, block_bytes=60_000, spread=spread).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert abs(sum(one(w) for w in c) + d * kinds / total - 1) < 1e-9
     u, v, w = next(iter(triples))
@@ -216,10 +217,11 @@ def test_lm_counts_are_added_up_exactly():
         counts = rng.integers(0, 4, len(rows))
         want.update(dict(zip(rows, counts.tolist(), strict=True)))
         columns = np.array(rows, np.uint64).T
-        requests.append(lm_score.unpacked(lm_score.packed(lm_score.steps(columns[0]), *columns[1:], counts)))
+        moved = lm_score.steps(columns[0])
+        requests.append(lm_score.unpacked(lm_score.packed(moved, lm_score.steps_in_runs(columns[1], moved), columns[2], counts)))
     totals, places = lm_score.added_up(lm_score.TRIPLES, requests)
     for request, place in zip(requests, places, strict=True):
-        rows = zip(*[x.tolist() for x in (np.cumsum(request[0]), *request[1:3])], strict=True)
+        rows = zip(*[x.tolist() for x in (np.cumsum(request[0]), lm_score.sums_in_runs(request[1], request[0]), request[2])], strict=True)
         assert [want[r] for r in rows] == totals[place].tolist()
 
 
