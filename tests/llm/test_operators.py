@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldgeo.llm import decontaminate, jaccard_join, langid, line_dedup, lm_score, packing, quality, token_counts, topk, toxicity
-from fieldgeo.llm.common import components, table, words_of
+from fieldgeo.llm.common import are_stars, components, table, words_of
 
 EDGES = [(1001, "", "en", "s"), (1002, None, None, None), (None, "no id here at all", "en", "s"), (1003, "   \n\t ", "en", "s"), (1004, "word " * 30_000, "en", None), (1005, "twice the same row", "en", "s"), (1005, "twice the same row", "en", "s"), (1006, "é" * 5000, "fr", "s"), (1007, "one", None, "s"), (1008, "42 !! 17", "de", "s")]
 SCHEMA = "doc_id long, text string, lang string, source string, score double, n_tokens string, class_id array<int>, rank int, keep string"
@@ -305,6 +305,24 @@ def test_components_of_a_path(spark):
     assert got == {i: 0 if i <= 100 else 101 for i in range(201)}
 
 
+def test_components_of_random_graphs(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400, 400 + i) for i in range(1, 50)] * 2
+    lead = {x: x for pair in pairs for x in pair if pair[0] != pair[1]}
+    for _ in lead:
+        for a, b in pairs:
+            if a != b:
+                lead[a] = lead[b] = min(lead[a], lead[b])
+    got = components(spark.createDataFrame(pairs, "a long, b long"), "random").collect()
+    assert len(got) == len(lead) and {r["node"]: r["component"] for r in got} == lead
+
+
+def test_stars(spark):
+    stars = lambda pairs: are_stars(spark.createDataFrame(pairs, "u long, v long"))
+    assert stars([]) and stars([(2, 1), (3, 1), (5, 4)])
+    assert not stars([(2, 1), (3, 2)]) and not stars([(3, 1), (3, 2)])
+
+
 def test_topk(spark, sf):
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in table(spark, sf, "embeddings").collect()][:300]
     odd = [(10_000, None), (10_020, [float("nan")] * 64), (10_040, []), (None, rows[0][1]), (10_060, rows[0][1]), (10_080, rows[0][1]), (10_100, [1.0, 2.0]), rows[5], (10_120, [0.5, -1.0])]
