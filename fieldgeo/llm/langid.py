@@ -183,7 +183,8 @@ def learn(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["lang", "word", "n"])
 
     tally = few.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    tally = materialize(tally.repartition("word"), "words")
+    tasks = spark.sparkContext.defaultParallelism  # a number given, as these few bytes, dear to work on, would else be one task's
+    tally = materialize(tally.repartition(tasks, "word"), "words")
     languages = sorted(n_each)
     own = pieces_of(vocabulary)
     p = np.full((len(own.pieces) + 1, len(languages)), 1.0 / len(own.pieces))
