@@ -53,6 +53,18 @@ def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int, n_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches put together until they have that many rows or bytes, for work that is dearer by the call than by the row."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= n_bytes:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of its own only in local mode where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
