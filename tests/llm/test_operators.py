@@ -6,11 +6,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fieldgeo.llm import decontaminate, jaccard_join, langid, line_dedup, lm_score, packing, quality, token_counts, topk, toxicity
-from fieldgeo.llm.common import are_stars, components, table, words_of
+from fieldgeo.llm.common import are_stars, components, gathered, table, words_of
 
 EDGES = [(1001, "", "en", "s"), (1002, None, None, None), (None, "no id here at all", "en", "s"), (1003, "   \n\t ", "en", "s"), (1004, "word " * 30_000, "en", None), (1005, "twice the same row", "en", "s"), (1005, "twice the same row", "en", "s"), (1006, "é" * 5000, "fr", "s"), (1007, "one", None, "s"), (1008, "42 !! 17", "de", "s")]
 SCHEMA = "doc_id long, text string, lang string, source string, score double, n_tokens string, class_id array<int>, rank int, keep string"
@@ -153,6 +154,15 @@ def segmentations(own, p, word, column):
     return out
 
 
+def test_gathered_batches_hold_all_rows_in_order():
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 7))], names=["x"]) for i in range(0, 70, 7)]
+    for rows, n_bytes, sizes in [(20, 1 << 20, [21, 21, 21, 7]), (1000, 100, [14] * 5), (1000, 1 << 20, [70]), (1, 1, [7] * 10)]:
+        found = list(gathered(iter(batches), rows, n_bytes))
+        assert [b.num_rows for b in found] == sizes
+        assert [x for b in found for x in b.column(0).to_pylist()] == list(range(70))
+    assert not list(gathered(iter([]), 5))
+
+
 def test_forward_sums_all_segmentations():
     own = langid.pieces_of("piece_bpe_32k.model")
     rng = np.random.default_rng(1)
