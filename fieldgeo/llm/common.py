@@ -46,6 +46,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def hashable(df: DataFrame) -> list:
+    """df's columns for a hash over all of them: those that hold a map, which no hash takes, as JSON."""
+    return [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t else F.col(f"`{c}`") for c, t in df.dtypes]
+
+
 def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task; after the last one, what it has freed goes back to the system, as workers outlive their tasks."""
     yield from batches

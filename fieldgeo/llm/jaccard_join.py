@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -56,13 +58,38 @@ class Edges:
 EDGES: dict[int, Edges] = {}
 
 
+def parts_of(band: int, percent: int) -> tuple[int, int]:
+    """(d, parts) of a band: the most elements that linked sets signed there differ in, and how many parts their elements are dealt to.
+
+    The least number of parts that leaves more than d of them filled, with five standard deviations to spare, by the smallest set
+    that signs the band (the first of the band before). So all but never is an empty part signed, which sets would share by chance.
+    """
+    if (band, percent) not in PARTS:
+        ends = EDGES.setdefault(percent, Edges(percent))
+        d = (100 - percent) * 2 * ends.end(band) // (100 + percent)
+        least = ends.end(band - 2) + 1 if band > 1 else 1
+
+        def enough(parts: int) -> bool:
+            empty = math.exp(-least / parts)
+            deviation = math.sqrt(max(parts * empty * (1 - (1 + least / parts) * empty), 0))
+            return parts * (1 - empty) - 5 * deviation >= d + 1
+
+        parts = d + 1
+        while d and not enough(parts) and parts < 2 * d + 8:  # the smallest sets have too few elements for any number of parts
+            parts += 1 + parts // 256
+        PARTS[band, percent] = (d, parts)
+    return PARTS[band, percent]
+
+
+PARTS: dict[tuple[int, int], tuple[int, int]] = {}
+
+
 def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
     """Hashes (int64) of the parts of a set of uint64 tokens, for its own band and the next."""
     own = band_of(len(tokens), percent)
     out = []
     for band in (own, own + 1):
-        d = (100 - percent) * 2 * EDGES[percent].end(band) // (100 + percent)
-        parts = d + 1 + (d // 32 + 3 if d else 0)  # a few more, as some parts are empty
+        d, parts = parts_of(band, percent)
         part = (mix(tokens ^ np.uint64(band + 1)) % np.uint64(parts)).astype(np.int64)
         filled = np.zeros(parts, bool)
         filled[part] = True

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import fresh, hashable, materialize
 
 SALTS = 16  # parts into which a line's places are dealt in joins, so that a line on very many rows isn't one task's
 
@@ -41,19 +41,20 @@ def dedup_lines(docs: DataFrame, text: str = "text", site: str = "source", min_s
     A line is boilerplate on min_sites distinct sites or more, one under short_chars characters on short_sites or more, since
     short ones recur by chance; empty lines never are. Lines are compared without outer spaces. The lines left are joined by
     line feeds, untouched. A text all of whose lines go becomes empty; a
-    null text stays null with 0 lines; repeated rows are all kept. Own columns named n_lines or n_removed are replaced.
+    null text stays null with 0 lines; repeated rows are all kept; very long texts are treated as any; an empty table gives an empty result. Rows are
+    told apart by two 64-bit hashes over all their columns, lines by one. Own columns named n_lines or n_removed are replaced.
     """
     docs = docs.drop("n_lines", "n_removed")
-    key, gone = fresh(docs, "row_key", "gone_places")
-    keyed = docs.withColumn(key, F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
-    places = keyed.select(F.col(key).alias("key"), F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("place", "content")).where(F.length("content") > 0)
+    key, other, gone = fresh(docs, "row_key", "other_key", "gone_places")
+    keyed = docs.withColumns({key: F.xxhash64(*hashable(docs)), other: F.xxhash64(F.lit(1), *hashable(docs))})
+    places = keyed.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("place", "content")).where(F.length("content") > 0)
     needed = F.when(F.length("content") < short_chars, short_sites).otherwise(min_sites).alias("needed")
-    places = places.select("key", "site", "place", F.xxhash64("content").alias("line"), needed, F.pmod("key", F.lit(SALTS)).cast("int").alias("salt"))
+    places = places.select("key", "other", "site", "place", F.xxhash64("content").alias("line"), needed, F.pmod("key", F.lit(SALTS)).cast("int").alias("salt"))
     found = materialize(boilerplate(places.select("line", "site", "needed", "salt"), lg_k), "boilerplate")  # a table, so that a join with it is broadcast by its size
-    marks = places.select("key", "place", "line", "salt").join(_salted(found), ["line", "salt"]).groupBy("key").agg(F.collect_set("place").alias(gone))
+    marks = places.select("key", "other", "place", "line", "salt").join(_salted(found), ["line", "salt"]).groupBy("key", "other").agg(F.collect_set("place").alias(gone))
     whole = F.split(F.col(text), "\n")
     left = F.filter(whole, lambda x, i: ~F.array_contains(F.col(gone), i))
-    out = keyed.join(marks.withColumnRenamed("key", key), key, "left")
+    out = keyed.join(marks.withColumnsRenamed({"key": key, "other": other}), [key, other], "left")
     cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     n_removed = F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed")
     return out.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns], F.when(whole.isNull(), 0).otherwise(F.size(whole)).cast("long").alias("n_lines"), n_removed)

@@ -220,7 +220,9 @@ def added_up(kind: int, requests: list[list[np.ndarray]]) -> tuple[np.ndarray, n
     keys = columns[0]
     for column in columns[1:]:
         _, keys = np.unique(keys, return_inverse=True)
-        keys = (keys.astype(np.uint64) << np.uint64(32)) | column
+        if len(column) and int(column.max()) >> 32:  # numbers too large for half a key: their places among the shard's own
+            _, column = np.unique(column, return_inverse=True)
+        keys = (keys.astype(np.uint64) << np.uint64(32)) | column.astype(np.uint64)
     _, place = np.unique(keys, return_inverse=True)
     totals = np.bincount(place, np.concatenate([r[-1] for r in requests])).astype(np.int64)
     return totals, np.split(place, np.cumsum([len(r[0]) for r in requests])[:-1])

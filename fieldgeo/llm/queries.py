@@ -103,10 +103,10 @@ from p join q using (s) join sizes using (item_id) group by doc_id, item_id havi
 """
 
 TOPK = """
-with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+with v as (select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score from v q join v c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
-select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
+s as (select q.row as query, q.vec_id as query_id, c.vec_id, c.row, list_inner_product(q.v::double[], c.v::double[])::bigint as score from v q join v c on q.row <> c.row and len(q.v) = len(c.v) where q.vec_id % 20 = 0)
+select query_id, rank::int as rank, vec_id, score from (select *, row_number() over (partition by query order by score desc, vec_id) as rank from s) where rank <= 20
 """
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

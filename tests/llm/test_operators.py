@@ -335,20 +335,86 @@ def test_stars(spark):
 
 def test_topk(spark, sf):
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in table(spark, sf, "embeddings").collect()][:300]
-    odd = [(10_000, None), (10_020, [float("nan")] * 64), (10_040, []), (None, rows[0][1]), (10_060, rows[0][1]), (10_080, rows[0][1]), (10_100, [1.0, 2.0]), rows[5], (10_120, [0.5, -1.0])]
-    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
-    clean = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows + odd if i is not None and v and all(map(math.isfinite, v))}
+    odd = [(10_000, None), (10_020, [float("nan")] * 64), (10_040, []), (None, rows[0][1]), (10_060, rows[0][1]), (10_080, rows[0][1]), (10_100, [1.0, 2.0]), rows[5], rows[20], (10_120, [0.5, -1.0])] + [(20_001 + i // 2, rows[7][1]) for i in range(90)]
+    clash = "query long, query_id string, row int, shard string, score array<int>, dim int, v string"
+    frame = spark.createDataFrame([(*r, 1, "a", 2, "b", [3], 4, "c") for r in rows + odd], f"vec_id long, embedding array<double>, {clash}").repartition(3)
+    clean = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows + odd if i is not None and v and all(map(math.isfinite, v))]
     want = []
-    for q, v in clean:
+    for at, (q, v) in enumerate(clean):
         if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in clean if i != q and len(w) == len(v))[:20]
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for n, (i, w) in enumerate(clean) if n != at and len(w) == len(v))[:20]
             want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
-    for shard_rows in (40, 10_000):
-        got = topk.top_k(frame, shard_rows=shard_rows).collect()
+    for sizes in ({"shard_rows": 10, "query_rows": 5}, {"shard_rows": 40}, {"shard_rows": 10, "most_shards": 3, "sample_rows": 50}, {}):
+        got = topk.top_k(frame, **sizes).collect()
         assert by_row(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+    assert len(got) > len({(r["query_id"], r["vec_id"]) for r in got})  # repeated rows stand twice
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_shards_and_boxes(spark):
+    """Vectors in clusters: shards are of a bounded size, boxes hold their rows, and a query is sent to few shards."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 100, (40, 8))
+    at = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(0, 1, (4000, 8)))
+    splits = topk.Splits(at, 50)
+    shard = splits.of(at)
+    assert np.bincount(shard).max() <= 50 and splits.shards == len(np.unique(shard))
+    names = np.arange(splits.shards)
+    boxes = topk.Boxes(names, *[np.array([f(at[shard == s], axis=0) for s in names]) for f in (np.min, np.max)])
+    scores = at[:200] @ at.T
+    bounds = boxes.bounds(at[:200])
+    assert all((bounds[:, s] >= scores[:, shard == s].max(1) - 1e-6).all() for s in names)
+    kth = np.sort(scores, axis=1)[:, -20]
+    q = spark.createDataFrame([(i, i, 8, at[i].astype(int).tolist(), float(kth[i])) for i in range(200)], "query long, query_id long, dim int, v array<long>, floor double")
+    sent = topk.routed(q, {8: boxes}, 0, None).count()
+    assert sent < 200 * splits.shards / 4
+
+
+def test_only_filled_parts_are_signed():
+    rng = np.random.default_rng(7)
+    for percent in (80, 90):
+        for n in (100, 137, 300, 777, 1200, 5000, 20_000):
+            for _ in range(20):
+                tokens = rng.integers(0, 2**63, n).astype(np.uint64)
+                own = jaccard_join.band_of(n, percent)
+                filled = 0
+                for band in (own, own + 1):
+                    d, parts = jaccard_join.parts_of(band, percent)
+                    f = len(np.unique(jaccard_join.mix(tokens ^ np.uint64(band + 1)) % np.uint64(parts)))
+                    assert f > d
+                    filled += f
+                assert len(jaccard_join.signatures(tokens, percent)) == filled
+    # of unrelated sets of a band hardly any two share a sign
+    sets = [rng.integers(0, 2**63, int(n)).astype(np.uint64) for n in rng.integers(900, 1100, 300)]
+    signs = np.concatenate([jaccard_join.signatures(x, 80) for x in sets])
+    assert len(np.unique(signs)) == len(signs)
+
+
+def test_lm_numbers_of_any_size():
+    """Numbers over 32 bits don't fall together."""
+    big = np.array([5, 2**32 + 5, 2**33 + 5, 2**40 + 5], np.uint64)
+    rows = np.array([(a, b) for a in big for b in big])
+    request = [lm_score.steps(rows[:, 0]), lm_score.steps_in_runs(rows[:, 1], lm_score.steps(rows[:, 0])), np.ones(len(rows), np.int64)]
+    totals, places = lm_score.added_up(lm_score.PAIRS, [request, request])
+    assert totals.tolist() == [2] * 16 and all(sorted(p.tolist()) == list(range(16)) for p in places)
+
+
+def test_long_trusted_texts_do_not_end_the_sample(spark):
+    data = [(i, "a text of some words " * 15 if i != 40 else "x" * 50_000) for i in range(200)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    whole = {r["id"] for r in quality.sample_of(docs, labels, 3000, "text", "doc_id").collect()}
+    some = {r["id"] for r in quality.sample_of(docs, labels, 3000, "text", "doc_id", most_bytes=60_000).collect()}
+    assert some == whole - {40} and len(some) > 80
+
+
+def test_rows_with_maps_inside(spark):
+    docs = spark.createDataFrame([(i, f"shared line of text\nown line {i}", f"s{i}") for i in range(9)], "doc_id long, text string, source string")
+    docs = docs.withColumns({"m": F.struct(F.create_map(F.lit("a"), F.col("doc_id")).alias("n")), "lang": F.lit("en")})
+    assert line_dedup.dedup_lines(docs).where("n_removed = 1").count() == 9
+    assert quality.classify(docs, docs.select("doc_id", F.lit(1).alias("quality"))).count() == 9
+
+
 def brute_kneser_ney(samples, order):
     """p(byte | up to order - 1 before) by the textbook recursion over dictionaries."""
     counts = Counter()
