@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import overlap
 
 POINT = "struct<x:double,y:double>"
 
@@ -84,6 +88,51 @@ def contains(r: Column, x: Column, y: Column) -> Column:
     return odd & ~on_edge(r, x, y)
 
 
+def prepared(r: Column) -> Column:
+    """The ring's edges as array<struct<ax, ay, bx, by>>, for contains_prepared: made once a ring, not once a point."""
+    return F.zip_with(r, _next(r), lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
+
+
+def contains_prepared(prepared_edges: Column, x: Column, y: Column) -> Column:
+    """As contains, of a prepared ring: one pass over its edges, which counts those to the right and stops counting at one that holds the point."""
+    turn = lambda e: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+    between = lambda e: y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
+    right = lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
+    on_edge = 1 << 20
+    count = F.aggregate(prepared_edges, F.lit(0), lambda n, e: n + F.when(between(e) & (turn(e) == 0), F.lit(on_edge)).when(right(e), F.lit(1)).otherwise(F.lit(0)))
+    return (count < on_edge) & (count % 2 == 1)
+
+
+def is_box(r: Column) -> Column:
+    """Whether the ring is its own bounding box: four corners, each on two of the box's sides, none twice."""
+    box = bbox(r)
+    corner = lambda p: ((p["x"] == box["xmin"]) | (p["x"] == box["xmax"])) & ((p["y"] == box["ymin"]) | (p["y"] == box["ymax"]))
+    straight = lambda e: (e["ax"] == e["bx"]) != (e["ay"] == e["by"])
+    return (F.size(r) == 4) & F.forall(r, corner) & F.forall(prepared(r), straight)
+
+
+@F.arrow_udf(T.DoubleType())
+def _common_area(a: pa.Array, b: pa.Array) -> pa.Array:
+    return overlap.common_area(a, b)
+
+
+def common_area(a: Column, b: Column) -> Column:
+    """The area that two simple rings of any shape have in common, concave and touching themselves included; null where one is null."""
+    return _common_area(a.cast(f"array<{POINT}>"), b.cast(f"array<{POINT}>"))
+
+
+def with_holes(outer: Column, holes: Column) -> Column:
+    """One ring for a polygon with holes: from the outer ring's start over to each hole, round it the other way, and back.
+
+    Area, common area and containment are those of the polygon with its holes, as the ways over and back cancel; points just
+    on such a way count as on an edge.
+    """
+    start = F.slice(outer, 1, 1)
+    turned = lambda h: F.when(F.signum(signed_area(h)) == F.signum(signed_area(outer)), F.reverse(h)).otherwise(h)
+    ways = F.transform(F.filter(holes, lambda h: F.size(h) > 2), lambda h: F.concat(turned(h), F.slice(turned(h), 1, 1), start))
+    return F.when(F.size(ways) > 0, F.concat(outer, start, F.flatten(ways))).otherwise(outer)
+
+
 def _touch(a: Column, b: Column, c: Column, d: Column) -> Column:
     """Whether segments ab and cd meet, touching included."""
     side = lambda o, p, q: F.signum(cross(o, p, q))
@@ -103,7 +152,7 @@ def counter_clockwise(r: Column) -> Column:
 
 
 def clip(subject: Column, window: Column) -> Column:
-    """The part of a ring inside a convex ring, cut edge by edge."""
+    """The part of a ring inside a convex ring, cut edge by edge; common_area takes rings of any shape."""
     return clip_convex(subject, counter_clockwise(window))
 
 

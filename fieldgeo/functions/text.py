@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import rings
+
 #: Fixed names of the five bands, by what listings call them.
 BAND_NAMES = {"blue": "blue", "green": "green", "red": "red", "red edge": "red_edge", "red_edge": "red_edge", "rededge": "red_edge", "nir": "nir"}
 BANDS = ("blue", "green", "red", "nir", "red_edge")
@@ -30,10 +32,22 @@ def wkt_point(x: Column, y: Column) -> Column:
     return F.when(x.isNotNull() & y.isNotNull(), F.concat(F.lit("POINT("), coordinate(x), F.lit(" "), coordinate(y), F.lit(")")))
 
 
+def _wkt_rings(text: Column) -> Column:
+    """The innermost brackets' points: a polygon's rings as they stand, or the one line."""
+    pairs = lambda body: F.regexp_extract_all(body, F.lit(r"(-?[0-9.eE+-]+\s+-?[0-9.eE+-]+)"), 1)
+    points = lambda body: F.transform(pairs(body), lambda p: F.struct(F.split(p, r"\s+")[0].cast("double").alias("x"), F.split(p, r"\s+")[1].cast("double").alias("y")))
+    return F.transform(F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), 1), points)
+
+
 def parse_wkt(text: Column) -> Column:
     """The outer ring of a POLYGON, or a LINESTRING's points, as array<struct<x, y>>."""
-    pairs = F.regexp_extract_all(text, F.lit(r"(-?[0-9.eE+-]+\s+-?[0-9.eE+-]+)"), 1)
-    return F.transform(pairs, lambda p: F.struct(F.split(p, r"\s+")[0].cast("double").alias("x"), F.split(p, r"\s+")[1].cast("double").alias("y")))
+    return F.get(_wkt_rings(text), F.lit(0))
+
+
+def parse_polygon(text: Column) -> Column:
+    """A POLYGON as one ring, not closed, holes taken in as rings.with_holes does."""
+    opened = F.transform(_wkt_rings(text), lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r))
+    return rings.let(opened, lambda parts: rings.with_holes(F.get(parts, F.lit(0)), F.slice(parts, F.lit(2), F.size(parts))))
 
 
 def wkt_polygon(ring: Column) -> Column:

@@ -71,11 +71,83 @@ def frame_rate(frames: DataFrame, segments: DataFrame, by: Sequence[str]) -> Dat
     return segments.join(n, list(by)).withColumn("interval_ms", interval).withColumn("frames_per_s", F.when(interval > 0, 1000 / interval))
 
 
-def _merged(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str]) -> DataFrame:
-    """Both sides' keys in one frame: probes with all their columns, keys with their payload in one struct."""
+SLICE_ROWS = 2_000_000  # rows of a group that as-of joins put into one task, about
+CELLS_EACH, MOST_CELLS = 16, 4096  # cells of time that a slice is put together from, and those that anything is cut into at most
+
+
+def _cell(lo: str = "__lo", width: str = "__width", cells: str = "__cells") -> Column:
+    """The cell that __at lies in, of equal ones from lo on."""
+    return F.greatest(F.lit(0), F.least(F.floor((F.col("__at") - F.col(lo)) / F.col(width)), F.col(cells) - 1)).cast("int")
+
+
+def _slice_table(rows: DataFrame, by: str, slice_rows: int) -> DataFrame:
+    """(by, __lo, __width, __cells, __slices) of groups of over slice_rows rows (by, __at): what slice each of a group's equal cells of time is in.
+
+    Cells are counted and put together in order until a slice has its rows; a cell of more than slice_rows (a burst after long
+    gaps) is cut into equal cells again. The table has a row for each large group, so at most rows / slice_rows rows, each with some 16
+    numbers for each slice_rows of its rows.
+    """
+    cells = lambda n: F.least(F.lit(MOST_CELLS), CELLS_EACH * F.ceil(F.col(n) / slice_rows)).cast("int")
+    before = lambda *keys: F.coalesce(F.sum("__k").over(_w(keys[:-1], keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    big = rows.groupBy(by).agg(F.count("*").alias("__n"), F.min("__at").alias("__lo"), F.max("__at").alias("__hi")).where((F.col("__n") > slice_rows) & (F.col("__hi") > F.col("__lo")))
+    big = big.withColumn("__cells", cells("__n")).select(by, "__lo", "__cells", ((F.col("__hi") - F.col("__lo")) / F.col("__cells")).alias("__width"))
+    group = [by, "__lo", "__cells", "__width"]
+    met = rows.join(F.broadcast(big), by).withColumn("__c", _cell())
+    empty = big.select(*group, F.explode(F.sequence(F.lit(0), F.col("__cells") - 1)).alias("__c"), F.lit(0).alias("__k"))
+    counts = met.select(*group, "__c", F.lit(1).alias("__k")).unionAll(empty).groupBy(*group, "__c").agg(F.sum("__k").alias("__k"))
+    counts = counts.withColumn("__s", F.floor(before(by, "__c") / slice_rows) * (2 * MOST_CELLS))
+    heavy = counts.where(F.col("__k") > slice_rows).select(by, "__c", cells("__k").alias("__parts"), (F.col("__lo") + F.col("__c") * F.col("__width")).alias("__from"), F.col("__width").alias("__cell"))
+    heavy = heavy.select(by, "__c", "__parts", "__from", (F.col("__cell") / F.col("__parts")).alias("__step"))
+    part = [by, "__c", "__parts", "__from", "__step"]
+    inner = met.select(by, "__c", "__at").join(F.broadcast(heavy), [by, "__c"]).select(*part, _cell("__from", "__step", "__parts").alias("__p"), F.lit(1).alias("__k"))
+    empty = heavy.select(*part, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__p"), F.lit(0).alias("__k"))
+    inner = inner.unionAll(empty).groupBy(*part, "__p").agg(F.sum("__k").alias("__k")).withColumn("__i", F.floor(before(by, "__c", "__p") / slice_rows).cast("int"))
+    subs = inner.groupBy(by, "__c").agg(F.transform(F.array_sort(F.collect_list(F.struct("__p", "__i"))), lambda x: x["__i"]).alias("__subs"))
+    return counts.join(subs, [by, "__c"], "left").groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("__c", "__s", "__subs"))).alias("__slices"))
+
+
+def _slice() -> Column:
+    """The slice of __at by its group's row of the table; null where the group has none."""
+    cell = F.get("__slices", _cell())
+    parts = F.size(cell["__subs"])
+    within = F.greatest(F.lit(0), F.least(F.floor((F.col("__at") - F.col("__lo") - cell["__c"] * F.col("__width")) / (F.col("__width") / parts)), parts - 1)).cast("int")
+    return cell["__s"] + F.when(cell["__subs"].isNotNull(), F.get(cell["__subs"], within)).otherwise(F.lit(0))
+
+
+def _has_large(rows: DataFrame, by: str, slice_rows: int) -> bool:
+    """Whether any group has over slice_rows rows; a job over the groups' column alone."""
+    return not rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("__n")).where(F.col("__n") > slice_rows).isEmpty()
+
+
+def _merged(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str], shift: int, carry: Sequence[str], slice_rows: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Both sides' keys in one frame: probes with all their columns, keys with their payload in one struct, each with its slice.
+
+    Keys without a time or group take no part. Probes without one get slices of their own, a number below 0 for each task they come
+    from, in which there are no keys. carry: 'next' gives each slice of a large group also the first key after it, 'last' the last one
+    before it, found by a scan over the slices' ends.
+    """
     probes = left.select(by, on, F.lit(1).alias("__probe"), F.struct(*left.columns).alias("__row"), F.lit(None).cast(right.select(F.struct(on, *payload).alias("x")).schema[0].dataType).alias("__key"))
-    keys = right.select(by, on, F.lit(0).alias("__probe"), F.lit(None).cast(probes.schema["__row"].dataType).alias("__row"), F.struct(on, *payload).alias("__key"))
-    return probes.unionByName(keys)
+    keys = right.where(F.col(on).isNotNull() & F.col(by).isNotNull()).select(by, on, F.lit(0).alias("__probe"), F.lit(None).cast(probes.schema["__row"].dataType).alias("__row"), F.struct(on, *payload).alias("__key"))
+    both = probes.unionByName(keys).withColumn("__place", F.col(on) + F.when(F.col("__probe") == 1, F.lit(shift)).otherwise(F.lit(0)))
+    timed = F.col(by).isNotNull() & F.col("__place").isNotNull()
+    alone = -1 - F.spark_partition_id()
+    if not _has_large(left.select(by).unionAll(right.select(by)) if sizes is None else sizes.select(by), by, slice_rows):
+        return both.withColumn("__slice", F.when(timed, F.lit(0)).otherwise(alone).cast("long"))
+    both = both.withColumn("__at", F.col("__place").cast("double"))
+    table = _slice_table(both.where(timed).select(by, "__at"), by, slice_rows)
+    slices = both.join(F.broadcast(table), by, "left").withColumn("__large", F.col("__slices").isNotNull() & F.col("__at").isNotNull())
+    number = F.when(~timed, alone.cast("long")).otherwise(F.coalesce(_slice(), F.lit(0)))
+    slices = slices.withColumn("__slice", number).drop("__lo", "__width", "__cells", "__slices", "__at")
+    key_place = F.when(F.col("__probe") == 0, F.col("__place"))
+    ends = slices.where("__large").groupBy(by, "__slice").agg(F.min_by("__key", key_place).alias("__first"), F.max_by("__key", key_place).alias("__last"))
+    before = lambda order: Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = {"next": F.last("__first", ignorenulls=True).over(before(F.desc("__slice"))), "last": F.last("__last", ignorenulls=True).over(before(F.asc("__slice")))}
+    out = slices.drop("__large")
+    for name in carry:
+        found = ends.select(by, "__slice", carried[name].alias("__key")).where("__key is not null")
+        empty = {"__probe": F.lit(0), "__row": F.lit(None).cast(probes.schema["__row"].dataType), "__place": F.col(f"__key.{on}"), on: F.col(f"__key.{on}")}
+        out = out.unionByName(found.withColumns(empty))
+    return out
 
 
 def _probes(df: DataFrame, left: DataFrame, right_on: str, payload: Sequence[str], on: str) -> DataFrame:
@@ -84,24 +156,26 @@ def _probes(df: DataFrame, left: DataFrame, right_on: str, payload: Sequence[str
     return rows.select(*[F.col(f"__row.{c}").alias(c) for c in left.columns], match[on].alias(right_on), *[match[c].alias(c) for c in payload], F.abs(match[on] - F.col(f"__row.{on}")).alias("delta"))
 
 
-def asof_forward(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = (), strict: bool = False, shift: int = 0) -> DataFrame:
+def asof_forward(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = (), strict: bool = False, shift: int = 0, slice_rows: int = SLICE_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Each left row with the first right key at or after it (strict: after on + shift): match_<on>, payload, delta.
 
-    Union and one window over `by`, read from its end so that the frame only grows; null where no key follows. payload names must not be left's.
+    Null where no key follows, and for rows whose time or group is null; keys without one match nothing. Of keys at one time any
+    is taken. `on` is a number; payload names must not be left's. Groups of over slice_rows rows are cut into slices of time of about so
+    many rows each, so that a task holds one slice: union, and one window over (by, slice), read from its end so that the frame only grows.
+    Whether there are such groups is counted first, in both sides or, where those are dear to compute, in the rows of `sizes`.
     """
-    both = _merged(left, right, on, by, payload)
+    both = _merged(left, right, on, by, payload, shift, ["next"], slice_rows, sizes)
     # at equal times a key must stand after the probe that may take it, and before one that may not
-    place = F.col(on) + F.when(F.col("__probe") == 1, F.lit(shift)).otherwise(F.lit(0))
     tie = F.col("__probe") if strict else 1 - F.col("__probe")
-    w = Window.partitionBy(by).orderBy(F.desc("__place"), F.desc("__tie")).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({"__place": place, "__tie": tie}).withColumn("__match", F.last("__key", ignorenulls=True).over(w))
+    w = Window.partitionBy(by, "__slice").orderBy(F.desc("__place"), F.desc("__tie")).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__tie", tie).withColumn("__match", F.last("__key", ignorenulls=True).over(w))
     return _probes(both, left, f"match_{on}", payload, on)
 
 
-def asof_nearest(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = ()) -> DataFrame:
-    """Each left row with the right key nearest to it, the earlier one if two are as near."""
-    both = _merged(left, right, on, by, payload).withColumn("__tie", F.col("__probe"))
-    so_far = lambda *order: Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+def asof_nearest(left: DataFrame, right: DataFrame, on: str, by: str, payload: Sequence[str] = (), slice_rows: int = SLICE_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """Each left row with the right key nearest to it, the earlier one if two are as near. Nulls and slices as in asof_forward."""
+    both = _merged(left, right, on, by, payload, 0, ["next", "last"], slice_rows, sizes).withColumn("__tie", F.col("__probe"))
+    so_far = lambda *order: Window.partitionBy(by, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = F.last("__key", ignorenulls=True).over(so_far(on, "__tie"))
     after = F.last("__key", ignorenulls=True).over(so_far(F.desc(on), F.desc("__tie")))  # read from the end, so that the frame only grows
     both = both.withColumns({"__before": before, "__after": after})

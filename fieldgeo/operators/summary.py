@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import workers
 from ..functions import clock, rings
+from ..functions.hull import hull
 
 
 def bbox(df: DataFrame, by: str, x: str = "x", y: str = "y") -> DataFrame:
@@ -19,20 +26,66 @@ def bbox_center(df: DataFrame) -> DataFrame:
     return df.withColumns({"x": (F.col("xmin") + F.col("xmax")) / 2, "y": (F.col("ymin") + F.col("ymax")) / 2})
 
 
-def convex_hull(df: DataFrame, by: str, x: str = "x", y: str = "y", strips: int = 256) -> DataFrame:
-    """(by, hull) of each group's points, null where there is none.
-
-    A group is cut into upright strips; at each x only the lowest and highest point can be on the hull, and a strip brings
-    only its own hull to the last step. Strips keep large groups from one task.
+HULL_ROWS = 200_000  # points a task holds before it reduces them to hulls
+HULL_SALTS = 64  # partial hulls of a group meet in so many tasks before they meet in one
+
+
+def _hulls_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows (group, hull as lists x and y) of batches of such rows: groups' points gathered and reduced to their hulls, HULL_ROWS points at a time."""
+    Held = tuple[pa.Array, np.ndarray, np.ndarray]  # groups, how many points each has, the points
+
+    def reduced(held: list[Held]) -> Held:
+        codes = pc.dictionary_encode(pa.concat_arrays([h[0] for h in held]), null_encoding="encode")
+        points = np.concatenate([h[2] for h in held])
+        owner = np.repeat(codes.indices.to_numpy(zero_copy_only=False), np.concatenate([h[1] for h in held]))
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(codes.dictionary) + 1)).tolist()
+        found = [hull(points[order[a:b]]) if b > a else points[:0] for a, b in pairwise(cuts)]
+        return codes.dictionary, np.array([len(f) for f in found]), np.concatenate(found)
+
+    def read(batch: pa.RecordBatch) -> Held:
+        size = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        return batch.column(0), size, np.column_stack([batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (1, 2)])
+
+    held: list[Held] = []
+    rows, most = 0, HULL_ROWS
+    for batch in batches:
+        if batch.num_rows:
+            held.append(read(batch))
+            rows += len(held[-1][1]) + len(held[-1][2])
+        if rows > most:
+            held = [reduced(held)]
+            rows = len(held[0][1]) + len(held[0][2])
+            most = HULL_ROWS + 2 * rows  # corners that stay don't make each batch a reduction
+    if held:
+        group, size, points = reduced(held)
+        ends = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(points[:, i]))) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([group, *lists], names=schema.names)
+
+
+def convex_hull(df: DataFrame, by: str, x: str = "x", y: str = "y") -> DataFrame:
+    """(by, hull) of each group's points, null where there is none: array<struct<x, y>>, counter-clockwise from the leftmost lowest corner.
+
+    A mergeable aggregate: each task reduces its points to its groups' hulls before anything is shuffled, partial hulls of a group
+    meet in HULL_SALTS tasks, what is left of them in one. A task holds HULL_ROWS points and its groups' corners. Points
+    with a null or NaN coordinate don't count; a null group is a group.
     """
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    ends = points.groupBy(by).agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
-    strip = F.when(F.col("__hi") > F.col("__lo"), F.floor((F.col("x") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * strips)).otherwise(F.lit(0))
-    # a hull vertex is a vertex of its own strip's hull, so strips are reduced first
-    outer = points.join(ends, by).withColumn("strip", strip.cast("int")).groupBy(by, "strip", "x").agg(F.min("y").alias("low"), F.max("y").alias("high"))
-    small = outer.groupBy(by, "strip").agg(rings.hull_of(F.flatten(F.collect_list(F.array(F.struct(F.col("x"), F.col("low").alias("y")), F.struct(F.col("x"), F.col("high").alias("y")))))).alias("part"))
-    hull = small.groupBy(by).agg(rings.hull_of(F.flatten(F.collect_list("part"))).alias("hull"))
-    return df.select(by).distinct().join(hull, by, "left")
+    workers.ready(df.sparkSession)
+    real = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
+    one = lambda c: F.when(real, F.array(F.col(c).cast("double"))).otherwise(F.array().cast("array<double>")).alias(c)
+    schema = T.StructType([df.schema[by], *T._parse_datatype_string("xs array<double>, ys array<double>").fields])
+    points = df.select(by, one(x).alias("xs"), one(y).alias("ys"))
+    names = pa.schema([(c, pa.null()) for c in schema.names])
+
+    def step(batches):
+        return _hulls_of(batches, names)
+
+    parts = points.mapInArrow(step, schema).withColumn("__salt", F.spark_partition_id() % HULL_SALTS)
+    parts = parts.repartition(by, "__salt").drop("__salt").mapInArrow(step, schema)
+    whole = parts.repartition(by).mapInArrow(step, schema)
+    corners = F.zip_with("xs", "ys", lambda a, b: F.struct(a.alias("x"), b.alias("y")))
+    return whole.select(by, F.when(F.size("xs") > 0, corners).alias("hull"))
 
 
 def corner_hull(df: DataFrame, corners: Sequence[Column]) -> DataFrame:

@@ -112,6 +112,51 @@ def asof_nearest(spark, sf_dir):
     return series.asof_nearest(left, right, "ts_ms", "flight_id", ["event_id"])
 
 
+_GAPS = f"""with {t.FLIGHT}, p as (select case when event_id % 13 <> 0 then flight_id end as flight_id, event_id as probe, case when event_id % 11 <> 0 then ts_ms + 97000 end as ts_ms from log),
+k as (select case when event_id % 7 <> 0 then flight_id end as flight_id, event_id, case when event_id % 5 <> 0 then ts_ms end as ts_ms from log)"""
+
+
+def _gaps(spark, sf_dir):
+    """Probes and keys of the log, some of them without a time or a flight."""
+    log, i = t.flight_log(spark, sf_dir), F.col("event_id")
+    p = log.select(F.when(i % 13 != 0, F.col("flight_id")).alias("flight_id"), i.alias("probe"), F.when(i % 11 != 0, F.col("ts_ms") + 97_000).alias("ts_ms"))
+    return p, log.select(F.when(i % 7 != 0, F.col("flight_id")).alias("flight_id"), i, F.when(i % 5 != 0, F.col("ts_ms")).alias("ts_ms"))
+
+
+@query(f"{_GAPS} select p.flight_id, probe, p.ts_ms, k.ts_ms as match_ts_ms, k.event_id, k.ts_ms - p.ts_ms as delta from p asof left join k on p.flight_id = k.flight_id and p.ts_ms <= k.ts_ms")
+def asof_with_gaps(spark, sf_dir):
+    return series.asof_forward(*_gaps(spark, sf_dir), "ts_ms", "flight_id", ["event_id"])
+
+
+@query(f"""{_GAPS}, a as (select p.*, k.ts_ms as after_ms, k.event_id as after_id from p asof left join k on p.flight_id = k.flight_id and p.ts_ms <= k.ts_ms),
+b as (select a.*, k.ts_ms as before_ms, k.event_id as before_id from a asof left join k on a.flight_id = k.flight_id and a.ts_ms >= k.ts_ms),
+m as (select *, after_ms is not null and (before_ms is null or after_ms - ts_ms < ts_ms - before_ms) as later from b)
+select flight_id, probe, ts_ms, case when later then after_ms else before_ms end as match_ts_ms, case when later then after_id else before_id end as event_id, abs(case when later then after_ms else before_ms end - ts_ms) as delta from m""")
+def asof_nearest_with_gaps(spark, sf_dir):
+    return series.asof_nearest(*_gaps(spark, sf_dir), "ts_ms", "flight_id", ["event_id"])
+
+
+_ONE_FLIGHT = f"with {t.FLIGHT}, o as (select event_id, epoch_us(ts) // 1000 as ts_ms from events), k as (select min(event_id) as event_id, ts_ms from o where event_id % 3 = 0 group by ts_ms)"
+
+
+def _one_flight(spark, sf_dir):
+    """The whole log as one flight: all its rows as probes, every third event (one of a time) as keys."""
+    log = t.flight_log(spark, sf_dir).select(F.lit("all").alias("flight_id"), "event_id", "ts_ms")
+    return log.withColumnRenamed("event_id", "probe"), log.where("event_id % 3 = 0").groupBy("flight_id", "ts_ms").agg(F.min("event_id").alias("event_id"))
+
+
+@query(f"{_ONE_FLIGHT} select o.event_id as probe, o.ts_ms, k.ts_ms as match_ts_ms, k.event_id from o asof left join k on o.ts_ms < k.ts_ms")
+def asof_one_flight(spark, sf_dir):
+    """One flight in slices: a task holds some 1000 rows of it."""
+    return series.asof_forward(*_one_flight(spark, sf_dir), "ts_ms", "flight_id", ["event_id"], strict=True, slice_rows=1000).select("probe", "ts_ms", "match_ts_ms", "event_id")
+
+
+@query(f"""{_ONE_FLIGHT}, a as (select o.*, k.ts_ms as after_ms, k.event_id as after_id from o asof left join k on o.ts_ms <= k.ts_ms), b as (select a.*, k.ts_ms as before_ms, k.event_id as before_id from a asof left join k on a.ts_ms >= k.ts_ms),
+m as (select *, after_ms is not null and (before_ms is null or after_ms - ts_ms < ts_ms - before_ms) as later from b) select event_id as probe, ts_ms, case when later then after_ms else before_ms end as match_ts_ms, case when later then after_id else before_id end as event_id from m""")
+def asof_nearest_one_flight(spark, sf_dir):
+    return series.asof_nearest(*_one_flight(spark, sf_dir), "ts_ms", "flight_id", ["event_id"], slice_rows=1000).select("probe", "ts_ms", "match_ts_ms", "event_id")
+
+
 @query(f"with {t.FLIGHT}, d as (select flight_id, event_id, ts_ms - lag(ts_ms) over w as d_ts_ms, round(lat - lag(lat) over w, 6) as d_lat, round(alt - lag(alt) over w, 6) as d_alt from log window w as (partition by flight_id order by ts_ms)) select * from d")
 def log_deltas(spark, sf_dir):
     return series.deltas(t.flight_log(spark, sf_dir), ["ts_ms", "lat", "alt"], "ts_ms", "flight_id").select("flight_id", "event_id", "d_ts_ms", r6("d_lat").alias("d_lat"), r6("d_alt").alias("d_alt"))
@@ -222,7 +267,59 @@ def nearest_plot(spark, sf_dir):
     at = lambda i: F.col("embedding")[i].cast("double")
     p = e.select(F.col("vec_id").alias("idx"), ((at(0) + 0.4) * 60).alias("x"), ((at(1) + 0.4) * 40).alias("y"))
     centres = t.plots(spark, sf_dir).select("plot_id", (F.col("c") + 0.65).alias("rx"), (F.col("r") + 0.5).alias("ry"))
-    return spatial.nearest(p, centres, "idx", 0.7, right_key="plot_id", cell=0.35).select("idx", "plot_id", r6("distance").alias("distance"))
+    return spatial.nearest(p, centres, "idx", 0.7, right_key="plot_id").select("idx", "plot_id", r6("distance").alias("distance"))
+
+
+@query(f"""with {t.PLOTS}, p as (select vec_id as idx, (embedding[1]::double + 0.4) * 60 as x, (embedding[2]::double + 0.4) * 40 as y from embeddings),
+d as (select idx, plot_id, sqrt((x - c - 0.65) ** 2 + (y - r - 0.5) ** 2) as distance from p cross join plots), b as (select *, row_number() over (partition by idx order by distance, plot_id) as rank from d)
+select idx, plot_id, rank::int as rank, round(distance, 6) as distance from b where rank <= 3""")
+def nearest_three_plots(spark, sf_dir):
+    """No bound on the distance."""
+    e = t.table(spark, sf_dir, "embeddings")
+    at = lambda i: F.col("embedding")[i].cast("double")
+    p = e.select(F.col("vec_id").alias("idx"), ((at(0) + 0.4) * 60).alias("x"), ((at(1) + 0.4) * 40).alias("y"))
+    centres = t.plots(spark, sf_dir).select("plot_id", (F.col("c") + 0.65).alias("rx"), (F.col("r") + 0.5).alias("ry"))
+    return spatial.nearest(p, centres, "idx", right_key="plot_id", k=3).select("idx", "plot_id", "rank", r6("distance").alias("distance"))
+
+
+_FIELDS = "fields as (select s_suppkey as field_id, (s_suppkey % 7) * 6.0::double as a, (s_suppkey % 5) * 7.0::double as b, 10.0 + s_suppkey % 11 as w from supplier)"
+
+
+def _fields(spark, sf_dir):
+    """Squares of w with their upper right quarter cut out, an L each, and a hole of a fifth in the lower left quarter."""
+    s, k = t.table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    a, b, w = (k % 7) * 6.0, (k % 5) * 7.0, 10.0 + k % 11
+    corner = lambda u, v: rings.point(a + u * w, b + v * w)
+    outer = F.array(*[corner(*c) for c in ((0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1))])
+    hole = F.array(*[corner(*c) for c in ((0.1, 0.1), (0.3, 0.1), (0.3, 0.3), (0.1, 0.3))])
+    return s.select(k.alias("field_id"), outer.alias("outer"), hole.alias("hole"), a.alias("a"), b.alias("b"), w.alias("w"))
+
+
+@query(f"""with {t.POINTS}, {_FIELDS} select field_id, count(*) as n, round(sum(x), 6) as sum_x from points join fields on x > a and x < a + w and y > b and y < b + w and (x < a + w / 2 or y < b + w / 2)
+  and not (x >= a + w * 0.1 and x <= a + w * 0.3 and y >= b + w * 0.1 and y <= b + w * 0.3) and x <> a + w / 2 and y <> b + w / 2 group by field_id""")
+def points_in_fields(spark, sf_dir):
+    """Large concave fields with holes, some hundred cells each: most points in them are in inner cells."""
+    fields = _fields(spark, sf_dir).select("field_id", rings.with_holes(F.col("outer"), F.array("hole")).alias("ring"), (F.col("a") + F.col("w") / 2).alias("u"), (F.col("b") + F.col("w") / 2).alias("v"))
+    hits = spatial.assign_plot(t.points(spark, sf_dir), fields, 0.5).where("x <> u and y <> v")
+    return hits.groupBy("field_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 6).alias("sum_x"))
+
+
+_SHARED = "greatest(0, least(x1, {x1}) - greatest(x0, {x0})) * greatest(0, least(y1, {y1}) - greatest(y0, {y0}))"
+
+
+@query(f"""with {_FIELDS}, r as (select c_custkey as run_id, (c_custkey % 47)::double + 0.25 as x0, (c_custkey % 37)::double + 0.25 as y0, (c_custkey % 47)::double + 4.25 + c_custkey % 3 as x1, (c_custkey % 37)::double + 6.75 as y1 from customer),
+o as (select run_id, field_id, ({_SHARED.format(x0="a", x1="a + w", y0="b", y1="b + w / 2")} + {_SHARED.format(x0="a", x1="a + w / 2", y0="b + w / 2", y1="b + w")} - {_SHARED.format(x0="a + w * 0.1", x1="a + w * 0.3", y0="b + w * 0.1", y1="b + w * 0.3")}) / (w * w * 0.71) * 100 as pct
+  from r join fields on x0 < a + w and x1 > a and y0 < b + w and y1 > b)
+select run_id, field_id, round(pct, 3) as overlap_pct from o where pct > 5""")
+def overlapping_fields(spark, sf_dir):
+    """Runs' boxes over concave fields with holes, read from WKT."""
+    k = F.col("c_custkey")
+    x, y = (k % 47) + 0.25, (k % 37) + 0.25
+    runs = t.table(spark, sf_dir, "customer").select(k.alias("run_id"), rings.box_ring(x, y, x + 4 + k % 3, y + 6.5).alias("ring_a"))
+    bodies = [F.substring(text.wkt_polygon(F.col(c)), 9, 10_000) for c in ("outer", "hole")]
+    wkt = F.concat(F.lit("POLYGON("), F.regexp_replace(bodies[0], r"\)\)$", ")"), F.lit(", "), bodies[1])
+    fields = _fields(spark, sf_dir).select("field_id", wkt.alias("wkt")).select("field_id", text.parse_polygon(F.col("wkt")).alias("ring_b"))
+    return spatial.overlap_join(runs, fields, 5.0, min_pct=5.0).select("run_id", "field_id", F.round("overlap_pct", 3).alias("overlap_pct"))
 
 
 @query(f"""with {t.PLOTS}, l as (select s_suppkey as line_id, (s_suppkey % 50)::double as x0, (s_suppkey % 40) + 0.5 as y0, (s_suppkey % 50) + 3.0 as x1, (s_suppkey % 40) + 0.5 as y1 from supplier)

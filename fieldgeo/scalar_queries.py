@@ -160,7 +160,7 @@ def geotagged_images(spark, sf_dir):
     p = t.table(spark, sf_dir, "part")
     cx, cy = F.lit(-96.6) + (F.col("p_partkey") % 50) / 1000.0, F.lit(39.1) + F.floor(F.col("p_partkey") / 50) / 1000.0
     plots = p.select(F.col("p_partkey").alias("plot_id"), rings.box_ring(cx - 0.000437, cy - 0.000437, cx + 0.000437, cy + 0.000437).alias("ring"))
-    out = flight_plan.geotag(t.flight_log(spark, sf_dir), plots, 0.002, cell=0.001)
+    out = flight_plan.geotag(t.flight_log(spark, sf_dir), plots, 0.002)
     return out.select("flight_id", "plot_id", "date_utc", r6("altitude").alias("altitude"), "position")
 
 

@@ -90,13 +90,6 @@ def test_projection_is_the_same_in_blocks(spark, monkeypatch):
     assert want and rows() == want and rows(most=0) == want
 
 
-def test_nearest_in_two_passes_is_nearest_in_one(spark):
-    left = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 37 % 101 / 10).alias("x"), (F.col("id") * 53 % 97 / 10).alias("y"))
-    right = spark.range(30).select(F.col("id").alias("r"), (F.col("id") * 29 % 71 / 7).alias("rx"), (F.col("id") * 31 % 67 / 7).alias("ry"))
-    rows = lambda **k: sorted((r["k"], r["r"], r["distance"]) for r in spatial.nearest(left, right, "k", 6.0, right_key="r", **k).collect())
-    assert rows() == rows(cell=0.5) == rows(cell=2.0)
-
-
 def test_entry_works_without_the_corpus_package():
     code = "import sys\nsys.modules['fieldgeo.llm'] = None\nsys.modules['corpus_pipeline'] = None\nimport __spark_entry__ as e\nassert len(e.queries()) > 90 and not any(n.startswith('op') and n[2].isdigit() for n in e.queries())\n"
     assert subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True).returncode == 0
