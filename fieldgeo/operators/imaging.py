@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,34 +61,89 @@ def with_sizes(cameras: DataFrame, sizes: DataFrame, ext: str = "dng") -> DataFr
     return cameras.drop("width", "height").withColumn("__file", name).join(known, "__file").drop("__file")
 
 
-CAMERA_BLOCK = 1000  # cameras that go with a point as one array
-SALTS = 64
-
-
-def project_points(points: DataFrame, cameras: DataFrame, key: str = "idx", strict: bool = False, most: int = 20_000) -> DataFrame:
+NODE_POINTS = 4096  # points of an octree's leaf, about
+DEEPEST = 8  # levels of the octree at most
+MATRIX = [f"m{r}{c}" for r in (1, 2, 3) for c in (1, 2, 3, 4)]
+
+
+class Octree:
+    """Equal cubes of the box that holds all points, halved `depth` times each way; a node of a level is its three numbers there."""
+
+    def __init__(self, low: list[float], high: list[float], depth: int):
+        self.low, self.depth = low, depth
+        self.sides = [b - a for a, b in zip(low, high, strict=True)]
+        self.slack = [1e-9 * max(abs(a), abs(b)) for a, b in zip(low, high, strict=True)]
+
+    @classmethod
+    def of(cls, points: DataFrame, node_points: int) -> Octree:
+        """For points (x, y, z), as deep as evenly spread ones need; one aggregate over them."""
+        ends = [f(F.col(c).cast("double")).alias(f"{c}_{n}") for n, f in (("low", F.min), ("high", F.max)) for c in "xyz"]
+        n, *found = points.agg(F.count("*"), *ends).first()
+        if None in found:
+            return cls([0.0] * 3, [0.0] * 3, 0)
+        return cls(found[:3], found[3:], min(DEEPEST, max(0, math.ceil(math.log(max(n, 1) / node_points, 8)))))
+
+    def leaf(self) -> dict[str, Column]:
+        """A point's leaf."""
+        cells = 1 << self.depth
+        number = lambda c, low, side: F.least(F.floor((F.col(c) - low) / side * cells), F.lit(cells - 1)).cast("int") if side > 0 else F.lit(0)
+        return {f"__n{c}": number(c, low, side) for c, low, side in zip("xyz", self.low, self.sides, strict=True)}
+
+    def range_of(self, level: int, weights: list[Column]) -> tuple[Column, Column]:
+        """The least and greatest value of w1 * x + w2 * y + w3 * z + w4 over a node of a level: its value in the middle, and how far it gets from there."""
+        middle, reach = weights[3], F.lit(0.0)
+        for w, c, low, side, slack in zip(weights, "xyz", self.low, self.sides, self.slack, strict=False):
+            half = side / (1 << level) / 2
+            middle = middle + w * (F.lit(low) + (2 * F.col(f"__n{c}") + 1) * half)
+            reach = reach + F.abs(w) * (half * (1 + 1e-6) + slack)
+        return middle - reach, middle + reach
+
+    def may_see(self, level: int) -> Column:
+        """Whether a camera (__m) may see any point of a node: no bound of its frame has all of the node on its outer side.
+
+        For a depth w over 0, u >= 0 and u < width + 1 are u * w >= 0 and u * w - (width + 1) * w < 0, linear in the point; for w under 0 the other way
+        round.
+        """
+        row = lambda r: [F.col(f"__m.m{r}{c}") for c in (1, 2, 3, 4)]
+        over = lambda r, size: [a - (F.col(f"__m.{size}") + 1) * w for a, w in zip(row(r), row(3), strict=True)]
+        depth = self.range_of(level, row(3))
+        inner, outer = [self.range_of(level, row(r)) for r in (1, 2)], [self.range_of(level, over(r, size)) for r, size in ((1, "width"), (2, "height"))]
+        before = (depth[1] > 0) & (inner[0][1] >= 0) & (inner[1][1] >= 0) & (outer[0][0] <= 0) & (outer[1][0] <= 0)
+        behind = (depth[0] < 0) & (inner[0][0] <= 0) & (inner[1][0] <= 0) & (outer[0][1] >= 0) & (outer[1][1] >= 0)
+        return before | behind
+
+    def seen_by(self, cameras: DataFrame) -> DataFrame:
+        """(__m, __nx, __ny, __nz): every camera with the leaves that it may see, from the root down; no shuffle."""
+        nodes = cameras.select(F.struct("image", "width", "height", *MATRIX).alias("__m"), *[F.lit(0).alias(f"__n{c}") for c in "xyz"]).where(self.may_see(0))
+        for level in range(1, self.depth + 1):
+            halves = nodes.withColumn("__k", F.explode(F.array(*map(F.lit, range(8)))))
+            part = {f"__n{c}": F.col(f"__n{c}") * 2 + F.shiftright("__k", i).bitwiseAND(F.lit(1)) for i, c in enumerate("xyz")}
+            nodes = halves.withColumns(part).drop("__k").where(self.may_see(level))
+        return nodes
+
+
+def project_points(points: DataFrame, cameras: DataFrame, key: str = "idx", strict: bool = False, node_points: int = NODE_POINTS) -> DataFrame:
     """(image, key, u, v, and the points' other columns) of each point in each image that sees it.
 
-    cameras: image, width, height and the 12 numbers m11..m34 row by row. Every point is tried with every camera, which is
-    what the operator is: cameras are gathered to arrays of CAMERA_BLOCK, and each point meets each array. Up to `most` cameras (some 2.5 MB),
-    by a count, the arrays are broadcast and points never shuffled; more are joined by array and a salt of the point.
+    cameras: image, width, height and the 12 numbers m11..m34 row by row. Points are put into the leaves of an octree; each camera goes down the
+    tree and drops every node that its frame rules out, by the least and greatest value of linear functions over the node's
+    box. Points and cameras then meet by equality on the leaf, and are projected exactly. A point with a null coordinate is in no image.
     """
-    matrix = [f"m{r}{c}" for r in (1, 2, 3) for c in (1, 2, 3, 4)]
-    n = cameras.count()
-    blocks, few = max(1, -(-n // CAMERA_BLOCK)), n <= most
-    block = F.pmod(F.xxhash64("image"), F.lit(blocks))
-    gathered = cameras.groupBy(block.alias("__block")).agg(F.collect_list(F.struct("image", "width", "height", *matrix)).alias("__cameras"))
-    rows = points.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    if few:
-        rows = rows.join(F.broadcast(gathered), "__block")
-    else:
-        salted = gathered.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(SALTS))).join(salted, ["__block", "__salt"]).drop("__salt")
-    rows = rows.withColumn("__m", F.explode("__cameras")).drop("__cameras", "__block")
+    real = points.where("x is not null and y is not null and z is not null")
+    return projected(real, cameras, Octree.of(real, node_points), key, strict)
+
+
+def tried_pairs(points: DataFrame, cameras: DataFrame, tree: Octree) -> DataFrame:
+    """Points with the cameras that may see their leaf."""
+    return points.withColumns(tree.leaf()).join(tree.seen_by(cameras), [f"__n{c}" for c in "xyz"])
+
+
+def projected(points: DataFrame, cameras: DataFrame, tree: Octree, key: str, strict: bool) -> DataFrame:
+    rows = tried_pairs(points, cameras, tree)
     line = lambda r: F.col(f"__m.m{r}1") * F.col("x") + F.col(f"__m.m{r}2") * F.col("y") + F.col(f"__m.m{r}3") * F.col("z") + F.col(f"__m.m{r}4")
     rows = rows.withColumn("__z", line(3)).where("`__z` <> 0")
     rows = rows.withColumns({"u": F.floor(line(1) / F.col("__z")), "v": F.floor(line(2) / F.col("__z"))})
-    w, h = F.col("__m.width"), F.col("__m.height")
-    seen = in_frame(F.col("u"), F.col("v"), w, h, strict)
+    seen = in_frame(F.col("u"), F.col("v"), F.col("__m.width"), F.col("__m.height"), strict)
     return rows.where(seen).select(F.col("__m.image").alias("image"), key, "u", "v", *[c for c in points.columns if c not in (key, "x", "y", "z")])
 
 

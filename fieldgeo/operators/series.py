@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import workers
 from ..functions import geodesy
+from ..functions.matching import match
 
 
 BLOCK_STEPS = 1000  # grid steps that are exploded from one row
@@ -197,6 +202,36 @@ def zip_by_order(images: DataFrame, events: DataFrame, by: str, image_order: str
     return left.join(right.withColumnRenamed("__status", "status"), [by, "i", "status"], "left")
 
 
+def match_in_order(images: DataFrame, events: DataFrame, on: str, by: str, image: str, event: str) -> DataFrame:
+    """(by, image, its time, event, match_<on>, delta) of each image: no event twice, both in the order of their times, the sum of time differences least.
+
+    Within a group as many pairs are made as the shorter side has rows. Images left over, without a time or in groups without events have a null event; events
+    without a time or group aren't used. Of equal sums earlier events are taken; rows at one time go by their image or event. A group is one task, whose
+    memory is a bit for each row of the shorter side and each row that the other one has more.
+    """
+    workers.ready(images.sparkSession)
+    left = images.select(by, F.col(image).alias("name"), F.col(on).alias("at"))
+    right = events.where(F.col(on).isNotNull() & F.col(by).isNotNull()).select(F.col(by).alias("other"), F.col(event).alias("event"), F.col(on).alias("event_at"))
+    schema = T.StructType([left.schema[by], T.StructField(image, left.schema["name"].dataType), T.StructField(on, left.schema["at"].dataType), T.StructField(event, right.schema["event"].dataType), T.StructField(f"match_{on}", right.schema["event_at"].dataType)])
+    names = schema.names
+
+    def pair(rows: pa.Table, keys: pa.Table) -> pa.Table:
+        rows, keys = rows.sort_by([("at", "ascending"), ("name", "ascending")]), keys.sort_by([("event_at", "ascending"), ("event", "ascending")])
+        n = rows.num_rows - rows.column("at").null_count  # nulls stand last
+        a, b = rows.column("at").to_numpy()[:n].astype(float), keys.column("event_at").to_numpy().astype(float)
+        partner = np.full(rows.num_rows, -1)
+        if n <= len(b):
+            partner[:n] = match(a, b)
+        else:
+            partner[match(b, a)] = np.arange(len(b))
+        at = pa.array(partner, mask=partner < 0)
+        return pa.table([*rows.columns, keys.column("event").take(at), keys.column("event_at").take(at)], names=names)
+
+    found = left.where(F.col(by).isNotNull()).groupBy(by).cogroup(right.groupBy("other")).applyInArrow(pair, schema)
+    alone = left.where(F.col(by).isNull()).select(by, F.col("name").alias(image), F.col("at").alias(on), *[F.lit(None).cast(schema[c].dataType).alias(c) for c in (event, f"match_{on}")])
+    return found.unionByName(alone).withColumn("delta", F.abs(F.col(f"match_{on}") - F.col(on)))
+
+
 def zip_folders(folders: DataFrame, segments: DataFrame, by: str, folder: str = "folder", segment: str = "segment") -> DataFrame:
     """Image folders in the order of their names with recording segments in theirs: one row a folder, by as zip_by_order has it."""
     return zip_by_order(folders.select(by, folder).distinct(), segments, by, folder, segment)

@@ -507,6 +507,17 @@ def image_outlines(spark, sf_dir):
     return n.join(hulls, "image").select("image", "n", *[box[k].cast("long").alias(a) for k, a in (("xmin", "umin"), ("xmax", "umax"), ("ymin", "vmin"), ("ymax", "vmax"))])
 
 
+@query(f"""with {t.CLOUD}, cam as (select s_suppkey as image, ((s_suppkey % 30) - 15) * -40.0::double as p, ((s_suppkey * 7 % 30) - 15) * -40.0::double as q from supplier),
+uv as (select image, idx, floor((x * 40 + p) / (z * 0.01 + 1.5))::bigint as u, floor((y * 40 + q) / (z * 0.01 + 1.5))::bigint as v from cloud cross join cam where z * 0.01 + 1.5 <> 0)
+select image, idx, u, v from uv where u >= 0 and u <= 640 and v > 0 and v <= 480""")
+def culled_points(spark, sf_dir):
+    """A camera for each supplier, each over a small part of the cloud: most pairs are ruled out by the octree."""
+    k = F.col("s_suppkey")
+    numbers = {"m11": F.lit(40.0), "m14": ((k % 30) - 15) * -40.0, "m22": F.lit(40.0), "m24": ((k * 7 % 30) - 15) * -40.0, "m33": F.lit(0.01), "m34": F.lit(1.5)}
+    cameras = t.table(spark, sf_dir, "supplier").select(k.alias("image"), F.lit(640).alias("width"), F.lit(480).alias("height"), *[numbers.get(m, F.lit(0.0)).cast("double").alias(m) for m in imaging.MATRIX])
+    return imaging.project_points(t.cloud(spark, sf_dir), cameras, node_points=16).select("image", "idx", "u", "v")
+
+
 @query(f"with {t.POINTS} select run_id, count(*) as n, sum(case when x >= 10.0137 and x <= 40.0137 and y >= 5 and y <= 30 then 0 else 1 end)::bigint as n_masked from points group by run_id")
 def masked_pixels(spark, sf_dir):
     px = t.points(spark, sf_dir).select("run_id", "x", "y", F.lit(1).alias("r"), F.lit(2).alias("g"), F.lit(3).alias("b"))
@@ -729,4 +740,34 @@ def appended_rows(spark, sf_dir):
     return spark.read.schema(o.schema).parquet(path)
 
 
+@query("""select c_custkey as run_id, c_nationkey as nation, coalesce(s.s_acctbal, c_acctbal) as balance from customer left join supplier s on s.s_suppkey = c_custkey""")
+def updated_table(spark, sf_dir):
+    """A table stored by nation, updated by key in place: only nations with an updated row are written again."""
+    target = t.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id"), F.col("c_acctbal").alias("balance"), F.col("c_nationkey").alias("nation"))
+    path = t.scratch(spark)
+    target.repartition("nation").write.partitionBy("nation").parquet(path)
+    source = t.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("run_id"), F.col("s_acctbal").alias("balance"))
+    sinks.update_table(source, path, "run_id", ["balance"], "nation", t.scratch(spark))
+    return spark.read.schema("run_id long, balance double, nation int").parquet(path).select("run_id", F.col("nation").cast(target.schema["nation"].dataType).alias("nation"), "balance")
+
+
+@query("select o_orderkey as record_id, o_orderpriority as day, case when o_orderstatus = 'O' and o_orderkey > 1000 and o_orderpriority <> '1-URGENT' then 'uas_new' when o_orderstatus = 'O' and o_orderpriority <> '1-URGENT' then null else o_orderstatus end as run_id from orders")
+def filled_table(spark, sf_dir):
+    """Open runs of a stored table filled in place; the partition without any stays as it is."""
+    o = t.table(spark, sf_dir, "orders")
+    rows = o.select(F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("day"), F.when((F.col("o_orderstatus") != "O") | (F.col("o_orderpriority") == "1-URGENT"), F.col("o_orderstatus")).alias("run_id"))
+    path = t.scratch(spark)
+    rows.repartition("day").write.partitionBy("day").parquet(path)
+    sinks.fill_run_ids(spark, path, "uas_new", 1000, "day", t.scratch(spark))
+    return spark.read.schema("record_id long, run_id string, day string").parquet(path).select("record_id", "day", "run_id")
+
+
+@query()
+def matched_in_order(spark, sf_dir):
+    """Orders as images, timed by their keys, with events of the same flight: one event each, in order. The sums have no short SQL; tests/test_matching.py holds them against brute force."""
+    images = t.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 150).alias("flight_id"), F.col("o_orderkey").alias("image"), (F.col("o_orderkey") * 7919 % 100_000).alias("t"))
+    events = t.table(spark, sf_dir, "events").select((F.col("event_id") % 149).alias("flight_id"), "event_id", (F.col("event_id") * 104_729 % 100_000).alias("t"))
+    return series.match_in_order(images, events, "t", "flight_id", "image", "event_id")
+
+
 from . import file_queries, scalar_queries  # noqa: E402, F401  they register further queries

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, workers
 from ..functions import rings, text
 
 
@@ -14,10 +21,10 @@ def _fields(parts: Column, layout: dict[int, str]) -> list[Column]:
 
 
 def _lines(spark: SparkSession, path: str, sep: str, header: bool = False) -> DataFrame:
-    """parts (array of trimmed fields) and the file's path; a header line is told by a first field that is no number."""
+    """parts (array of trimmed fields) and the file's path; a header line is told by a first field that is neither empty nor a number."""
     df = spark.read.text(path).withColumn("file", F.input_file_name())
     df = df.select(F.transform(F.split("value", sep), lambda x: F.trim(x)).alias("parts"), "file").where(F.size("parts") > 1)
-    return df.where(F.col("parts")[0].try_cast("double").isNotNull()) if header else df
+    return df.where((F.col("parts")[0] == "") | F.col("parts")[0].try_cast("double").isNotNull()) if header else df
 
 
 def read_flight_log(spark: SparkSession, path: str) -> DataFrame:
@@ -113,8 +120,38 @@ def read_segment_times(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.SEGMENT_TIME)
 
 
+BLOCK_BYTES = 65_536
+STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "abfs")  # schemes that Arrow opens by itself
+
+
+def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (path, ...) with each file's MD5, read in blocks."""
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            digest = hashlib.md5()
+            local = re.match("file:/+(.*)", path)
+            system, name = (fs.LocalFileSystem(), "/" + local[1]) if local else fs.FileSystem.from_uri(quote(re.sub("^s3a:", "s3:", path), safe=":/@"))
+            with system.open_input_stream(name) as stream:
+                while block := stream.read(BLOCK_BYTES):
+                    digest.update(block)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "md5sum"])
+
+
 def list_images(spark: SparkSession, path: str, ext: str = "*", md5: bool = False) -> DataFrame:
-    """path, name, size (and md5sum, the only column that reads content) of files by extension, sub-folders included."""
+    """path, name, size (and md5sum, the only column that reads content) of files by extension, sub-folders included.
+
+    Files in stores that Arrow opens are digested in blocks of BLOCK_BYTES, whatever their size; those in others are read as one value by Spark, which ends
+    at 2 GB. Spark's listing leaves files without content out.
+    """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ext.lstrip('.')}" if ext != "*" else "*").load(path)
     columns = [F.col("path"), F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size")]
-    return df.select(*columns, *([text.content_md5(F.col("content")).alias("md5sum")] if md5 else []))
+    if not md5:
+        return df.select(*columns)
+    home = path if re.match("[a-zA-Z0-9]+:", path) else spark._jsc.hadoopConfiguration().get("fs.defaultFS")
+    if home.split(":")[0] not in STREAMED:
+        return df.select(*columns, text.content_md5(F.col("content")).alias("md5sum"))
+    workers.ready(spark)
+    slim = df.select(*columns)
+    return slim.repartition("path").mapInArrow(_digests, slim.schema.add("md5sum", "string"))  # a listing's own partitions go by size
