@@ -10,6 +10,7 @@ from . import testbed as t
 from .functions import rings
 from .operators import imaging, relational, series
 from .queries import _written, query, r6
+from .plans import multispectral
 from .sources import readers, sinks
 
 
@@ -107,11 +108,26 @@ def reread_segment_times(spark, sf_dir):
     return readers.read_segment_times(spark, path)
 
 
-@query("select sum(strlen('IMG ' || p_partkey) + 1)::bigint as bytes, true as told_apart from part")
+@query("select p_size as folder, sum(strlen(p_name) + 1)::bigint as size, md5(string_agg(p_name || chr(10), '' order by p_name)) as md5sum from part group by p_size")
 def listed_images(spark, sf_dir):
-    path = _written(spark, t.table(spark, sf_dir, "part").select(F.concat(F.lit("IMG "), "p_partkey")))
-    listed = readers.list_images(spark, path, "txt", md5=True).where("size > 0")
-    return listed.agg(F.sum("size").alias("bytes"), (F.countDistinct("md5sum") == F.count("*")).alias("told_apart"))
+    """A file for each size of part, told by its folder, with its length and the digest of its content."""
+    path = t.scratch(spark)
+    parts = t.table(spark, sf_dir, "part").select("p_size", "p_name")
+    parts.repartition("p_size").sortWithinPartitions("p_size", "p_name").write.partitionBy("p_size").text(path)
+    listed = readers.list_images(spark, path, "txt", md5=True)
+    return listed.select(F.regexp_extract("path", "p_size=([0-9]+)", 1).cast("int").alias("folder"), "size", "md5sum")
+
+
+@query("""with p as (select o_orderkey, o_orderkey % 180 as d, o_orderkey % 60 as m from orders)
+select 'IMG_' || o_orderkey || '.tif' as name, round(case when o_orderkey % 2 = 1 then -1 else 1 end * (d + m / 60.0::double + 0.25 / 3600), 8) as lat, round(o_orderkey / 8.0::double, 6) as altitude,
+case when o_orderkey % 3 = 2 then 'Not Available' else 'AMSL' end as altitude_ref from p""")
+def reread_image_tags(spark, sf_dir):
+    k = F.col("o_orderkey")
+    tags = {"name": F.concat(F.lit("IMG_"), k, F.lit(".tif")), "size": k, "gps_lat": F.format_string("[%d, %d, 25/100]", k % 180, k % 60), "gps_lat_ref": F.when(k % 2 == 1, "S").otherwise("N"), "gps_alt": F.format_string("%d/8", k), "gps_alt_ref": F.when(k % 3 != 2, "0")}
+    path = t.scratch(spark)
+    t.table(spark, sf_dir, "orders").select(*[v.alias(c) for c, v in tags.items()]).write.json(path)
+    found = multispectral.decode_tags(readers.read_image_tags(spark, path))
+    return found.select("name", F.round("lat", 8).alias("lat"), r6("altitude").alias("altitude"), "altitude_ref")
 
 
 @query(f"with {t.FLIGHT} select 'IMG_' || event_id || '.jpg' as image_file_name, flight_id, round(lat, 6) as uas_latitude, round(lon, 6) as cam_longitude, md5('IMG_' || event_id || '.jpg') as md5sum, null::varchar as notes from log")

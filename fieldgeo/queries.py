@@ -407,7 +407,7 @@ def run_windows(spark, sf_dir):
 @query(f"with {t.RUNS} select c_custkey as run_id, count(r.run_id) as n, min(x) as xmin, max(x) as xmax from customer left join (select * from runs where status = 'F') r on r.run_id = c_custkey group by c_custkey")
 def runs_with_observations(spark, sf_dir):
     runs = t.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id"))
-    return summary.summarise_runs(runs, t.run_points(spark, sf_dir).where("status = 'F'"), "run_id").select("run_id", "n", "xmin", "xmax")
+    return summary.summarise_runs(runs, t.run_points(spark, sf_dir).withColumn("run_id", F.when(F.col("status") == "F", F.col("run_id")).otherwise(-1 - F.col("run_id"))), "run_id").select("run_id", "n", "xmin", "xmax")
 
 
 @query(f"with {t.FLIGHT}, f as (select flight_id, arg_min(event_id, ts_ms) as event_id, min(ts_ms) as ts_ms from log where recording group by flight_id), e as (select flight_id, min(ts_ms) as first, max(ts_ms) as last from log group by flight_id) select e.flight_id, f.event_id, f.ts_ms, e.first, e.last from e left join f using (flight_id)")
@@ -518,10 +518,12 @@ def culled_points(spark, sf_dir):
     return imaging.project_points(t.cloud(spark, sf_dir), cameras, node_points=16).select("image", "idx", "u", "v")
 
 
-@query(f"with {t.POINTS} select run_id, count(*) as n, sum(case when x >= 10.0137 and x <= 40.0137 and y >= 5 and y <= 30 then 0 else 1 end)::bigint as n_masked from points group by run_id")
+@query(f"""with {t.POINTS} select run_id, count(*) as n, sum(case when x >= 10.0137 + run_id % 5 and x <= 40.0137 - run_id % 7 and y >= 5 + run_id % 3 and y <= 30 then 0 else 1 end)::bigint as n_masked from points group by run_id""")
 def masked_pixels(spark, sf_dir):
+    """Each run has a hull of its own."""
     px = t.points(spark, sf_dir).select("run_id", "x", "y", F.lit(1).alias("r"), F.lit(2).alias("g"), F.lit(3).alias("b"))
-    hulls = px.groupBy("run_id").agg(F.count("*")).select("run_id", rings.box_ring(*map(F.lit, (10.0137, 5.0, 40.0137, 30.0))).alias("hull"))
+    k = F.col("run_id")
+    hulls = px.select("run_id").distinct().select("run_id", rings.box_ring(10.0137 + k % 5, 5.0 + k % 3, 40.0137 - k % 7, F.lit(30.0)).alias("hull"))
     return imaging.mask_pixels(px, hulls, "run_id", "x", "y").groupBy("run_id").agg(F.count("*").alias("n"), F.sum((F.col("r") == 128).cast("int")).alias("n_masked"))
 
 
@@ -567,7 +569,7 @@ def merged_updates(spark, sf_dir):
 @query("select p_name as image_file_name, p_partkey, case when n > 0 then md5(p_name) end as md5sum from (select p.*, (select count(*) from lineitem l where l.l_partkey = p.p_partkey and l.l_quantity = 50) as n from part p)")
 def image_hashes(spark, sf_dir):
     rows = t.table(spark, sf_dir, "part").select(F.col("p_name").alias("image_file_name"), "p_partkey", F.lit(None).cast("string").alias("md5sum"))
-    used = t.table(spark, sf_dir, "lineitem").where("l_quantity = 50").select(F.col("l_partkey").alias("p_partkey"))
+    used = t.table(spark, sf_dir, "lineitem").select(F.when(F.col("l_quantity") == 50, F.col("l_partkey")).otherwise(-1 - F.col("l_partkey")).alias("p_partkey"))
     hashes = rows.select("p_partkey", text.content_md5(F.col("image_file_name").cast("binary")).alias("md5sum")).join(used.distinct(), "p_partkey")
     return relational.update_md5(rows, hashes, "p_partkey").select("image_file_name", "p_partkey", "md5sum")
 
@@ -575,7 +577,7 @@ def image_hashes(spark, sf_dir):
 @query("select p_partkey as code from part where p_partkey not in (select l_partkey - l_suppkey % 3 * 7 from lineitem where l_quantity > 49)")
 def unused_codes(spark, sf_dir):
     codes = t.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"))
-    return relational.unused_codes(codes, t.table(spark, sf_dir, "lineitem").where("l_quantity > 49").select((F.col("l_partkey") - F.col("l_suppkey") % 3 * 7).alias("code")), "code")
+    return relational.unused_codes(codes, t.table(spark, sf_dir, "lineitem").select(F.when(F.col("l_quantity") > 49, F.col("l_partkey") - F.col("l_suppkey") % 3 * 7).otherwise(-1 - F.col("l_partkey")).alias("code")), "code")
 
 
 @query("select p_partkey, p_brand from part where p_brand like 'Brand#1%' and p_type not in (select n_name from nation) and p_type <> 'ECONOMY'")
@@ -639,6 +641,18 @@ def time_formats(spark, sf_dir):
     return t.flight_log(spark, sf_dir).select("event_id", clock.ms_to_date(ms).alias("d"), clock.ms_to_time(ms).alias("c"), gps.alias("gps"), clock.grid_seed(ms).alias("seed"), local.alias("local_hour"), clock.hhmmss(i % 86400).alias("hms"))
 
 
+@query("""with p as (select o_orderkey, o_totalprice % 100 as x, (o_orderkey % 80)::double as y, o_orderdate as utc from orders),
+sites as (select n_nationkey as site_id, (n_nationkey % 5) * 20.0 as a, (n_nationkey // 5) * 16.0 as b, n_nationkey % 12 as hours from nation)
+select o_orderkey, site_id, strftime(utc::timestamp - hours * interval 1 hour, '%Y-%m-%d %H:%M') as local_time from p left join sites on x >= a and x < a + 20 and y >= b and y < b + 16""")
+def local_times(spark, sf_dir):
+    """Times by the zone of the site that a place lies in."""
+    o, n = t.table(spark, sf_dir, "orders"), F.col("n_nationkey")
+    rows = o.select("o_orderkey", (F.col("o_totalprice") % 100).alias("x"), (F.col("o_orderkey") % 80).cast("double").alias("y"), F.col("o_orderdate").cast("timestamp").alias("utc"))
+    a, b = (n % 5) * 20.0, F.floor(n / 5) * 16.0
+    sites = t.table(spark, sf_dir, "nation").select(n.alias("site_id"), F.concat(F.lit("Etc/GMT+"), n % 12).alias("zone"), a.alias("xmin"), b.alias("ymin"), (a + 20.0).alias("xmax"), (b + 16.0).alias("ymax"))
+    return spatial.at_sites(rows, sites, "utc", "o_orderkey", 20.0).select("o_orderkey", "site_id", F.date_format("local_time", "yyyy-MM-dd HH:mm").alias("local_time"))
+
+
 @query("""with p as (select event_id, event_id % 24 as h, event_id % 63 as m, event_id * 7 % 63 as s from events),
 q as (select *, lpad(h::varchar, 2, '0') || lpad(m::varchar, 2, '0') || lpad(s::varchar, 2, '0') || '.5' as raw, case when m > 59 then (h + 1) * 3600 + case when s > 59 then 0 else s end else h * 3600 + m * 60 + case when s > 59 then 60 else s end end % 86400 as n, (h * 3600 + m * 60 + s) % 86400 as n2 from p)
 select event_id, raw, lpad((n // 3600)::varchar, 2, '0') || lpad((n // 60 % 60)::varchar, 2, '0') || lpad((n % 60)::varchar, 2, '0') || '.5' as rolled,

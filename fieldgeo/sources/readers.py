@@ -120,6 +120,11 @@ def read_segment_times(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.SEGMENT_TIME)
 
 
+def read_image_tags(spark: SparkSession, path: str) -> DataFrame:
+    """Tag strings of images, one JSON object a line, missing ones null; plans.multispectral.decode_tags reads them."""
+    return spark.read.schema(schemas.IMAGE_TAGS).json(path)
+
+
 BLOCK_BYTES = 65_536
 STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "abfs")  # schemes that Arrow opens by itself
 
