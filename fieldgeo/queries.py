@@ -776,12 +776,19 @@ def filled_table(spark, sf_dir):
     return spark.read.schema("record_id long, run_id string, day string").parquet(path).select("record_id", "day", "run_id")
 
 
-@query()
+@query("""with recursive a as (select o_custkey % 150 as flight_id, list(o_orderkey * 7919 % 100000 order by o_orderkey * 7919 % 100000) as a from orders group by 1),
+b as (select event_id % 149 as flight_id, list(event_id * 104729 % 100000 order by event_id * 104729 % 100000) as b from events group by 1),
+p as (select flight_id, len(a) as images, case when len(a) <= len(b) then a else b end as few, case when len(a) <= len(b) then b else a end as many from a join b using (flight_id)),
+d as (select flight_id, 0 as i, list_transform(range(0, len(many) - len(few) + 1), lambda k: 0::bigint) as d from p union all
+  select flight_id, i + 1, list_transform(range(1, len(l) + 1), lambda j: list_min(l[1:j])) from
+    (select flight_id, i, list_transform(range(1, len(d) + 1), lambda k: d[k] + abs(many[i + k] - few[i + 1])) as l from d join p using (flight_id) where i < len(few)))
+select flight_id, len(a)::bigint as images, coalesce(i, 0)::bigint as matched, d.d[len(d.d)] as total from a left join (select d.* from d join p using (flight_id) where i = len(few)) d using (flight_id)""")
 def matched_in_order(spark, sf_dir):
-    """Orders as images, timed by their keys, with events of the same flight: one event each, in order. The sums have no short SQL; tests/test_matching.py holds them against brute force."""
+    """Orders as images with events of the same flight, one event each and in order: of each flight the pairs and the least sum of their differences."""
     images = t.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 150).alias("flight_id"), F.col("o_orderkey").alias("image"), (F.col("o_orderkey") * 7919 % 100_000).alias("t"))
     events = t.table(spark, sf_dir, "events").select((F.col("event_id") % 149).alias("flight_id"), "event_id", (F.col("event_id") * 104_729 % 100_000).alias("t"))
-    return series.match_in_order(images, events, "t", "flight_id", "image", "event_id")
+    pairs = series.match_in_order(images, events, "t", "flight_id", "image", "event_id")
+    return pairs.groupBy("flight_id").agg(F.count("*").alias("images"), F.countDistinct("event_id").alias("matched"), F.sum("delta").alias("total"))
 
 
 from . import file_queries, scalar_queries  # noqa: E402, F401  they register further queries
