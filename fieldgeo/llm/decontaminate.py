@@ -90,7 +90,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
 
     The benchmark is taken in blocks of at most block_items items, each sent to the tasks of a pass of its own over docs; no pass
     shuffles. Items without words match nothing; an item under k words is one shingle of its own length. Null and empty
-    texts match nothing; repeated rows give repeated results; an empty table on either side gives an empty result.
+    texts match nothing; repeated rows give repeated results; an empty table on either side gives an empty result. Texts of any length are searched
+    whole, with some thirty bytes a word in a task. Item ids are cast to long; other columns aren't read, so their names may clash.
     """
     spark = prepare(docs.sparkSession)
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
@@ -119,7 +120,11 @@ def item_blocks(benchmark: DataFrame, block_items: int) -> list:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = 0.8, k: int = 5, bands: int = 64, block_items: int = 20_000) -> DataFrame:
-    """docs without the rows whose text contains a benchmark item; rows with null texts stay. One narrow pass for each block."""
+    """docs without the rows whose text contains a benchmark item; rows with null texts stay.
+
+    One narrow pass for each block of items. Repeated rows stay or go together, all columns come through whatever their names, an empty
+    table or benchmark gives docs as they are.
+    """
     prepare(docs.sparkSession)
     names = docs.columns
     for sent in item_blocks(benchmark, block_items):

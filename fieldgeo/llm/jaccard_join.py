@@ -321,7 +321,9 @@ def similar_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     class_id names the row's shingle set; component_id is the smallest doc_id reachable by links, itself included, and
     n_classes how many different sets the component has. Rows with
     equal sets are linked. Null, empty or wordless texts have 0 shingles, null class_id, and their own id as component; a
-    null id is never a component's name while another is there. Repeated rows are all returned. Sets are compared by 64-bit hashes.
+    null id is never a component's name while another is there. Repeated rows are all returned. Sets are compared by 64-bit hashes. Ids are
+    cast to long. Texts of any length are one set, with some forty bytes a word in a task. Other columns aren't read, so their names may clash; an
+    empty table gives an empty result.
     """
     slim, grouped = grouped_classes(docs, text, id_col, k, percent, chunk_rows, chunk_tokens)
     lowest = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_classes"))

@@ -219,7 +219,9 @@ def identify(docs: DataFrame, labelled: DataFrame, text: str = "text", lang: str
     """Columns of keep, lang_pred and score (the posterior of lang_pred, 0 to 1) of every row of docs.
 
     Only text is read to predict. Texts that are null or hold no letter get `und` with score 0; ties go to the first
-    language by name; repeated rows are treated alike. Without labelled texts all are `und`.
+    language by name; repeated rows are treated alike. Without labelled texts all are `und`. Texts of any length are read whole: a task holds the
+    counts of a block's words, and a word of any length is summed over with rescaling. Other columns than keep and text aren't read, so
+    their names may clash; an empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
     languages, p = learn(labelled, vocabulary, text, lang, **options)

@@ -322,7 +322,8 @@ def score_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     Tokens are words with A-Z lower-cased, then one end. Null and empty texts have the end alone. held_out is a boolean
     column, null meaning held out; by default rows whose crc32(doc_id) mod 10 is 0, a null id's being held out. Repeated rows count as often
-    as they stand there. Without training rows every word is unknown and has probability 1. An empty table gives an empty result.
+    as they stand there. Ids are cast to long; one that isn't a number is an error under ANSI rules. A text of any length is one block's at least, which a
+    task holds with some forty bytes a token. Other columns aren't read, so their names may clash. Without training rows every word is unknown and has probability 1. An empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
     if held_out is None:

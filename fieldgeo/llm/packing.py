@@ -243,7 +243,8 @@ def pack(docs: DataFrame, text: str = "text", id_col: str = "doc_id", capacity:
 
     A null or empty text has its end id alone. Repeated rows and null ids are documents of their own. Texts of any length
     are cut into full pieces and a rest; rests are rounded up to grain for the program, but lie gapless in their sequence.
-    An empty table gives an empty result.
+    Pieces alike in all of the order's columns are ranked in any order, which changes no row but for their places. Other columns aren't read,
+    so their names may clash. An empty table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
     size = capacity // grain

@@ -74,7 +74,8 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str = "piece_bpe_32
     """Columns of keep, n_bytes, n_tokens and over_limit of every row; one narrow pass, no shuffle.
 
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows give repeated rows; columns other than keep and text
-    aren't read, so that their names may clash with the results'. An empty table gives an empty result.
+    aren't read, so that their names may clash with the results'. Texts of any length are counted whole, with some ten times their bytes in a
+    task. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     (body,) = fresh(docs.select(*keep), "text")

@@ -183,7 +183,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
 
     labels (doc_id, toxic) are the rows to learn from; at most sample_docs ids of them are, taken by a hash. An id that is
     labelled both ways counts as toxic, and of rows that share an id one text is learned from. Null and empty texts score as texts without any match; rows
-    without both kinds of label to learn from give a constant score. Repeated rows are treated alike.
+    without both kinds of label to learn from give a constant score. Repeated rows are treated alike. A score of just the limit counts as
+    toxic. Texts of any length are read whole, clause by clause. Other columns than keep and text aren't read, so their names may clash; an empty
+    table gives an empty result.
     """
     spark = prepare(docs.sparkSession)
     ids = labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
