@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns the documents' columns, the
 last one the packed pieces. run() writes each stage's result to the shared folder and reads it again. Columns that are
-named as a stage's own results come through unchanged; n_chars follows the text where there is such a column.
+named as a stage's own results come through unchanged; n_chars follows the text where there is such a column. Rows without a
+text go at the first stage, repeated rows are treated alike by all but the third, which keeps one; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -55,6 +56,7 @@ def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents left, in sequences of 2048 tokens."""
     prepare(spark)
     return packing.pack(docs)
 

@@ -727,11 +727,12 @@ def reread_points(spark, sf_dir):
     return readers.read_points(spark, path).select(r6("x").alias("x"), r6("y").alias("y"), r6("z").alias("z"), "r", "g", "b")
 
 
-@query("select n_name as image, n_nationkey + 50.0::double as m11, n_nationkey + 40.0::double as m22, n_nationkey / 10 + 4 as m34 from nation")
+@query("select 'IMG_' || s_suppkey as image, s_suppkey + 50.0::double as m11, s_suppkey % 40 + 40.0::double as m22, s_suppkey / 8 + 4 as m34 from supplier")
 def reread_matrices(spark, sf_dir):
-    c = t.cameras(spark, sf_dir)
-    path = _written(spark, c.select(F.concat_ws(" ", "image", *[f"m{r}{k}" for r in (1, 2, 3) for k in (1, 2, 3, 4)])))
-    return readers.read_pmatrix(spark, path).select("image", "m11", "m22", "m34")
+    k = F.col("s_suppkey")
+    numbers = {"m11": k + 50.0, "m22": k % 40 + 40.0, "m34": k / 8 + 4}
+    rows = t.table(spark, sf_dir, "supplier").select(F.concat_ws(" ", F.concat(F.lit("IMG_"), k), *[numbers.get(m, F.lit(1.5)).cast("double").cast("string") for m in imaging.MATRIX]))
+    return readers.read_pmatrix(spark, _written(spark, rows)).select("image", "m11", "m22", "m34")
 
 
 @query(f"with {t.FLIGHT} select 'IMG_' || event_id || '.jpg' as image_file_name, flight_id, round(alt, 4) as altitude, 'AMSL' as altitude_ref from log where recording")

@@ -305,3 +305,25 @@ def test_nearest_looks_at_few_leaves(spark):
     x, y = np.concatenate([rng.uniform(-150, 150, (2, 500)), rng.normal(0, 1e-3, (2, 500))], axis=1)
     rows, _ = found.boxes.near(x, y, 1, None)
     assert len(set(rows.tolist())) == 1000 and len(rows) < 1000 * 10
+
+
+def test_boxes_and_lines_of_all_sizes(spark):
+    """One very large box or line doesn't become very many rows, and meets what it should."""
+    rng = random.Random(11)
+    spans = [(i, x, y, x + w, y + w * rng.uniform(0.1, 2)) for i, w in enumerate([0.5, 1.0, 3.0, 40.0, 5e5, 3e6] * 6) for x, y in [(rng.uniform(-60, 60), rng.uniform(-60, 60))]]
+    boxes = spark.createDataFrame(spans, "i int, xmin double, ymin double, xmax double, ymax double")
+    points = [(j, rng.uniform(-80, 80), rng.uniform(-80, 80)) for j in range(300)]
+    met = spatial.box_join(spark.createDataFrame(points, "j int, x double, y double"), boxes, 1.0).select("i", "j").collect()
+    want = {(i, j) for i, a, b, c, d in spans for j, x, y in points if a <= x <= c and b <= y <= d}
+    assert len(met) == len(want) and {tuple(r) for r in met} == want
+    ringed = boxes.select("i", rings.box_ring(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]).alias("ring_b"))
+    met = spatial.overlap_join(ringed.select((F.col("i") + 100).alias("j"), F.col("ring_b").alias("ring_a")), ringed, 1.0, min_pct=0.001).select("i", "j").collect()
+    shared = lambda p, q: max(0, min(p[3], q[3]) - max(p[1], q[1])) * max(0, min(p[4], q[4]) - max(p[2], q[2]))
+    want = {(q[0], p[0] + 100) for p in spans for q in spans if shared(p, q) * 100 > 0.001 * (q[3] - q[1]) * (q[4] - q[2])}
+    assert len(met) == len(want) and {tuple(r) for r in met} == want
+    lines = boxes.select((F.col("i") + 100).alias("j"), F.array(rings.point(F.col("xmin"), F.col("ymin")), rings.point(F.col("xmax"), F.col("ymin"))).alias("line"))
+    met = spatial.line_polygon_join(lines, ringed.withColumnRenamed("ring_b", "ring"), 1.0).select("i", "j").collect()
+    want = {(q[0], p[0] + 100) for p in spans for q in spans if q[2] <= p[2] <= q[4] and p[1] <= q[3] and q[1] <= p[3]}
+    assert len(met) == len(want) and {tuple(r) for r in met} == want
+    large = boxes.withColumn("__b", F.struct("xmin", "ymin", "xmax", "ymax"))
+    assert spatial._on_levels(large, 1.0, "__b", [0, 4, 18, 20]).count() < 36 * 4 * 36
