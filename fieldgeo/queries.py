@@ -792,4 +792,4 @@ def matched_in_order(spark, sf_dir):
     return pairs.groupBy("flight_id").agg(F.count("*").alias("images"), F.countDistinct("event_id").alias("matched"), F.sum("delta").alias("total"))
 
 
-from . import file_queries, scalar_queries  # noqa: E402, F401  they register further queries
+from . import file_queries, live_queries, scalar_queries  # noqa: E402, F401  they register further queries
