@@ -23,3 +23,9 @@ def against_sql(spark, folder, name, **tables):
 def test_image_names_of_long_keys(spark, tmp_path):
     got, want = against_sql(spark, tmp_path, "image_names", part={"p_partkey": pa.array([7, 9999, 10_000, 123_456], pa.int64())})
     assert got == want
+
+
+def test_utm_positions_near_a_rounding_step(spark, tmp_path):
+    """At 24.92, north of y = 5 mod 10 by less than the two series differ."""
+    got, want = against_sql(spark, tmp_path, "utm_positions", events={"event_id": pa.array([100_336, 100_438, 5], pa.int64()), "value": [24.92, 24.92, 60.0]})
+    assert got == want
