@@ -21,11 +21,11 @@ def _outer(points: np.ndarray) -> np.ndarray:
     return points[~inside]
 
 
-def hull(points: np.ndarray) -> np.ndarray:
-    """Corners of the convex hull of (n, 2) points, counter-clockwise from the leftmost lowest, without points on its edges.
+def hull(points: np.ndarray, on_edges: bool = False) -> np.ndarray:
+    """Corners of the convex hull of (n, 2) points, counter-clockwise from the leftmost lowest, without points on its edges, or with them.
 
     Andrew's monotone chain: after sorting, each point goes onto a stack once and off it at most once. Of fewer than three different
-    points, and of points on one line, the hull is the different ones, or the line's two ends.
+    points, and of points on one line, the hull is the different ones, or the line's two ends (with on_edges all of them).
     """
     if len(points) > 64:
         points = _outer(points)
@@ -39,11 +39,15 @@ def hull(points: np.ndarray) -> np.ndarray:
         for x, y in ordered:
             while len(chain) > 1:
                 (ox, oy), (ax, ay) = chain[-2], chain[-1]
-                if (ax - ox) * (y - oy) - (ay - oy) * (x - ox) > 0:
+                turn = (ax - ox) * (y - oy) - (ay - oy) * (x - ox)
+                if turn > 0 or on_edges and turn == 0:
                     break
                 chain.pop()
             chain.append([x, y])
         return chain
 
     ordered = points.tolist()
-    return np.array(half(ordered)[:-1] + half(ordered[::-1])[:-1])
+    low = half(ordered)
+    if len(low) == len(points) and on_edges and low == half(ordered[::-1])[::-1]:
+        return points
+    return np.array(low[:-1] + half(ordered[::-1])[:-1])

@@ -191,3 +191,23 @@ def hull_of(points: Column) -> Column:
     return F.when(F.size(points) < 3, points).otherwise(F.concat(most(low), most(high)))
 
 
+def straight_somewhere(r: Column) -> Column:
+    """Whether any corner lies on the line from the one before to the one after."""
+    after = _next(r)
+    return (F.size(r) > 2) & F.exists(F.zip_with(F.zip_with(r, after, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), _next(after), lambda e, c: cross(e["a"], e["b"], c) == 0), lambda v: v)
+
+
+def side_pairs(hull: Column) -> Column:
+    """struct(n, twice) of a hull with the points on its edges: pairs of points that have no other one to their right, and the sum of their shoelace terms.
+
+    An edge with m points has m * (m - 1) / 2 of them; a hull that is a line has two edges, there and back.
+    """
+    none = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("twice"))
+
+    def along(e: Column) -> Column:
+        on = F.array_sort(F.filter(hull, lambda p: cross(e["a"], e["b"], p) == 0))
+        sums = F.aggregate(on, none, lambda s, p: F.struct((s["x"] + p["x"]).alias("x"), (s["y"] + p["y"]).alias("y"), (s["twice"] + s["x"] * p["y"] - s["y"] * p["x"]).alias("twice")), lambda s: s["twice"])
+        return F.struct((F.size(on) * (F.size(on) - 1) / 2).cast("long").alias("n"), F.when(e["a"] < e["b"], sums).otherwise(-sums).alias("twice"))
+
+    sides = F.transform(edges(hull_of(hull)), along)
+    return let(sides, lambda s: F.struct(F.aggregate(s, F.lit(0).cast("long"), lambda n, v: n + v["n"]).alias("n"), _total(F.transform(s, lambda v: v["twice"])).alias("twice")))

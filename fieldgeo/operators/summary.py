@@ -30,7 +30,7 @@ HULL_ROWS = 200_000  # points a task holds before it reduces them to hulls
 HULL_SALTS = 64  # partial hulls of a group meet in so many tasks before they meet in one
 
 
-def _hulls_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _hulls_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema, on_edges: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows (group, hull as lists x and y) of batches of such rows: groups' points gathered and reduced to their hulls, HULL_ROWS points at a time."""
     Held = tuple[pa.Array, np.ndarray, np.ndarray]  # groups, how many points each has, the points
 
@@ -40,7 +40,7 @@ def _hulls_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[
         owner = np.repeat(codes.indices.to_numpy(zero_copy_only=False), np.concatenate([h[1] for h in held]))
         order = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[order], np.arange(len(codes.dictionary) + 1)).tolist()
-        found = [hull(points[order[a:b]]) if b > a else points[:0] for a, b in pairwise(cuts)]
+        found = [hull(points[order[a:b]], on_edges) if b > a else points[:0] for a, b in pairwise(cuts)]
         return codes.dictionary, np.array([len(f) for f in found]), np.concatenate(found)
 
     def read(batch: pa.RecordBatch) -> Held:
@@ -64,12 +64,12 @@ def _hulls_of(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[
         yield pa.RecordBatch.from_arrays([group, *lists], names=schema.names)
 
 
-def convex_hull(df: DataFrame, by: str, x: str = "x", y: str = "y") -> DataFrame:
+def convex_hull(df: DataFrame, by: str, x: str = "x", y: str = "y", on_edges: bool = False) -> DataFrame:
     """(by, hull) of each group's points, null where there is none: array<struct<x, y>>, counter-clockwise from the leftmost lowest corner.
 
     A mergeable aggregate: each task reduces its points to its groups' hulls before anything is shuffled, partial hulls of a group
     meet in HULL_SALTS tasks, what is left of them in one. A task holds HULL_ROWS points and its groups' corners. Points
-    with a null or NaN coordinate don't count; a null group is a group.
+    with a null or NaN coordinate don't count; a null group is a group. With on_edges the different points on a hull's edges stand between its corners.
     """
     workers.ready(df.sparkSession)
     real = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
@@ -79,7 +79,7 @@ def convex_hull(df: DataFrame, by: str, x: str = "x", y: str = "y") -> DataFrame
     names = pa.schema([(c, pa.null()) for c in schema.names])
 
     def step(batches):
-        return _hulls_of(batches, names)
+        return _hulls_of(batches, names, on_edges)
 
     parts = points.mapInArrow(step, schema).withColumn("__salt", F.spark_partition_id() % HULL_SALTS)
     parts = parts.repartition(by, "__salt").drop("__salt").mapInArrow(step, schema)

@@ -1,5 +1,7 @@
 """Queries against their SQL on small tables with what larger tables hold: longer keys, ties, many rows in one place."""
 
+import datetime
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -29,3 +31,12 @@ def test_utm_positions_near_a_rounding_step(spark, tmp_path):
     """At 24.92, north of y = 5 mod 10 by less than the two series differ."""
     got, want = against_sql(spark, tmp_path, "utm_positions", events={"event_id": pa.array([100_336, 100_438, 5], pa.int64()), "value": [24.92, 24.92, 60.0]})
     assert got == want
+
+
+def test_run_hulls_with_points_on_edges(spark, tmp_path):
+    """Runs with three orders of one day on their hull's edge, on one day altogether, and in one place."""
+    runs = {1: [(1000, 1), (2000, 1), (4000, 1), (3000, 9), (2500, 4)], 2: [(1000, 5), (3000, 5), (2000, 5)], 3: [(700, 2), (700, 2)], 4: [(0, 1), (1000, 2), (2000, 3), (0, 3), (0, 2), (1000, 3)]}
+    rows = [(run, price, day) for run, points in runs.items() for price, day in points]
+    orders = pa.table({"o_orderkey": list(range(len(rows))), "o_custkey": [r[0] for r in rows], "o_orderstatus": ["F"] * len(rows), "o_totalprice": [float(r[1]) for r in rows], "o_orderdate": pa.array([datetime.datetime(1992, 1, r[2]) for r in rows], pa.timestamp("us")), "o_orderpriority": ["x"] * len(rows)})
+    got, want = against_sql(spark, tmp_path, "run_hulls", orders=orders)
+    assert got == want and (3, 1, 0.0) in got and got[1][1] == 6
