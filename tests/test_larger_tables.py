@@ -5,8 +5,11 @@ import datetime
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fieldgeo.functions import rings
+from fieldgeo.operators import imaging, spatial
 
 
 def against_sql(spark, folder, name, **tables):
@@ -40,3 +43,39 @@ def test_run_hulls_with_points_on_edges(spark, tmp_path):
     orders = pa.table({"o_orderkey": list(range(len(rows))), "o_custkey": [r[0] for r in rows], "o_orderstatus": ["F"] * len(rows), "o_totalprice": [float(r[1]) for r in rows], "o_orderdate": pa.array([datetime.datetime(1992, 1, r[2]) for r in rows], pa.timestamp("us")), "o_orderpriority": ["x"] * len(rows)})
     got, want = against_sql(spark, tmp_path, "run_hulls", orders=orders)
     assert got == want and (3, 1, 0.0) in got and got[1][1] == 6
+
+
+def test_fields_on_lines_and_alike(spark, tmp_path):
+    """Points on the fields' inner lines and edges, and two fields of one shape."""
+    at = [(float(q), price, 0.05) for q in (1, 6, 9, 14, 20) for price in (0.5, 4.5, 5.0, 7.0, 12.5, 15.5, 20.0, 25.5)]
+    lines = pa.table({"l_quantity": [a[0] for a in at], "l_extendedprice": [a[1] for a in at], "l_discount": [a[2] for a in at], "l_suppkey": [1] * len(at), "l_orderkey": list(range(len(at))), "l_linenumber": [1] * len(at)})
+    got, want = against_sql(spark, tmp_path, "points_in_fields", lineitem=lines, supplier={"s_suppkey": pa.array([1, 2, 3, 386, 7 * 5 * 11 + 2], pa.int64())})
+    assert got == want and len(got) > 2
+
+
+def test_equal_rings_and_cameras_are_compared_once(spark, monkeypatch):
+    compared = []
+    meeting, projected = spatial._meeting, imaging.projected
+    monkeypatch.setattr(spatial, "_meeting", lambda a, b, cell: compared.append((a.count(), b.count())) or meeting(a, b, cell))
+    monkeypatch.setattr(imaging, "projected", lambda points, cameras, *rest: compared.append(cameras.count()) or projected(points, cameras, *rest))
+    box = rings.box_ring(F.lit(0.0), F.lit(0.0), F.lit(2.0), F.lit(2.0))
+    a, b = spark.range(30).select(F.col("id").alias("a"), box.alias("ring_a")), spark.range(20).select(F.col("id").alias("b"), box.alias("ring_b"))
+    assert {tuple(r) for r in spatial.overlap_join(a, b, 1.0).select("a", "b", "overlap_pct").collect()} == {(i, j, 100.0) for i in range(30) for j in range(20)}
+    cameras = spark.range(12).select(F.col("id").alias("image"), F.lit(10).alias("width"), F.lit(10).alias("height"), *[F.lit(1.0 if m in ("m11", "m22", "m34") else 0.0).alias(m) for m in imaging.MATRIX])
+    points = spark.createDataFrame([(1, 2.0, 3.0, 0.0), (2, 20.0, 3.0, 0.0)], "idx long, x double, y double, z double")
+    assert sorted(r["image"] for r in imaging.project_points(points, cameras).where("idx = 1 and u = 2 and v = 3").collect()) == list(range(12))
+    assert compared == [(1, 1), 1]
+
+
+def test_rows_out_of_reach_get_no_leaves(spark):
+    right = spark.range(20_000).select(F.col("id").alias("right_key"), (F.col("id") % 50).cast("double").alias("rx"), F.floor(F.col("id") / 50).cast("double").alias("ry"))
+    left = spark.range(40).select("id", (F.col("id") % 8).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y"))
+    kept, found = spatial._within_reach(left, right, "x", "y", "rx", "ry", 3, None, 8)
+    assert kept.count() < 2000 and found.boxes.count.sum() == kept.count()
+    got = {(r["id"], r["rank"]): (r["right_key"], r["distance"]) for r in spatial.nearest(left, right, "id", k=3).collect()}
+    assert all(got[i, 1] == (i % 8 + i % 5 * 50, 0.0) and got[i, 2][1] == got[i, 3][1] == 1.0 for i in range(40)) and len(got) == 120
+
+
+def test_heavy_rows_are_dealt_over_cores(spark, sf):
+    for name in ("ring_measures", "utm_rings"):
+        assert entry.queries()[name](spark, sf).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
