@@ -485,6 +485,41 @@ def test_quality_against_brute_force(spark, sf, docs, rows, edges, nothing):
     assert quality.classify(nothing, labels).count() == 0
 
 
+def test_quality_learns_from_all_trusted_rows(spark, docs):
+    some = docs.select("doc_id", "text", "lang").where("text <> ''").orderBy("doc_id").limit(24)
+    labels = some.select("doc_id", F.when(F.col("doc_id") % 4 < 3, 1).otherwise(0).alias("quality"))
+    rows = some.withColumn("fold", quality.fold_of("doc_id")).collect()
+    folds = [[r["text"].encode() for r in rows if r["fold"] == f and r["doc_id"] % 4 < 3] for f in (0, 1)]
+    assert all(folds)
+    models, pad = [brute_kneser_ney(texts, quality.ORDER) for texts in folds], bytes([quality.START]) * (quality.ORDER - 1)
+
+    def log_perplexity(p, text):
+        x = pad + text.encode() + bytes([quality.END])
+        return -sum(math.log(p(x[i : i + quality.ORDER])) for i in range(len(x) - 4)) / (len(x) - 4)
+
+    got = {r["doc_id"]: r for r in quality.classify(some, labels).collect()}
+    values = {r["doc_id"]: [log_perplexity(p, r["text"]) for p in models] for r in rows}
+    assert len(got) == len(rows) and all(abs(got[d]["log_perplexity"] - sum(v) / 2) < 1e-5 for d, v in values.items())
+    trusted = [r for r in rows if r["doc_id"] % 4 < 3]
+    means, unseen = (sorted(x) for x in zip(*[(sum(values[r["doc_id"]]) / 2, values[r["doc_id"]][1 - r["fold"]]) for r in trusted], strict=True))
+    quantile = lambda x, q: x[max(0, math.ceil(q * len(x)) - 1)]
+    low = means[0] - 0.5 * (quantile(means, 0.5) - means[0])
+    high = unseen[-1] + 0.5 * (unseen[-1] - quantile(unseen, 0.5))
+    assert all(low < v < high for v in (got[r["doc_id"]]["log_perplexity"] for r in trusted))
+    scored = quality.perplexity(some, *[fit(quality.trusted_rows(some, quality.ids_of(labels), "doc_id").withColumn("fold", quality.fold_of("doc_id"))) for fit in (quality.fit, quality.fit_marks)], folds=2)
+    assert all(abs(r["log_perplexity_gap"] - (values[r["doc_id"]][0] - values[r["doc_id"]][1]) / 2) < 1e-4 for r in scored.collect())
+    named = lambda df: df.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert {r["doc_id"] for r in quality.trusted_rows(named(some), quality.ids_of(named(labels)), "doc_id").collect()} == {f"d{r['doc_id']}" for r in trusted}
+
+
+def test_marks_against_words_one_by_one():
+    rng = random.Random(5)
+    for _ in range(50):
+        words = [rng.choice("abcdefghijkl") for _ in range(rng.randint(0, 40))]
+        seen = [next((back for back in range(1, min(quality.REACH, i) + 1) if words[i - back] == w), 0) for i, w in enumerate(words)]
+        assert (quality.marks_of(" ".join(words)) & 0xFF).tolist() == [quality.ALPHABET // 2 + back for back in seen]
+
+
 def test_quality_of_repeated_words(spark):
     rng = random.Random(1)
     words = [a + b for a in ("ba", "ke", "lo", "mi", "su") for b in ("n", "rt", "sh", "nd", "lly")]
