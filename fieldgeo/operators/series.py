@@ -207,7 +207,7 @@ def match_in_order(images: DataFrame, events: DataFrame, on: str, by: str, image
 
     Within a group as many pairs are made as the shorter side has rows. Images left over, without a time or in groups without events have a null event; events
     without a time or group aren't used. Of equal sums earlier events are taken; rows at one time go by their image or event. A group is one task, whose
-    memory is a bit for each row of the shorter side and each row that the other one has more.
+    memory is linear in the group's rows.
     """
     workers.ready(images.sparkSession)
     left = images.select(by, F.col(image).alias("name"), F.col(on).alias("at"))

@@ -5,6 +5,7 @@ import itertools
 import math
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -32,6 +33,25 @@ def test_match_of_long_series():
     assert (match(many[keep], many) == keep).all()
 
 
+def test_match_takes_the_earliest_partners_of_equal_sums():
+    rng = random.Random(6)
+    for _ in range(400):
+        n, top = rng.randint(0, 5), rng.choice((3, 12))
+        few, many = (np.array(sorted(rng.randint(0, top) for _ in range(k)), float) for k in (n, n + rng.randint(0, 4)))
+        ways = list(itertools.combinations(range(len(many)), n))
+        sums = [sum(abs(a - many[j]) for a, j in zip(few, way, strict=True)) for way in ways]
+        assert match(few, many).tolist() == [min(places) for places in zip(*[w for w, x in zip(ways, sums, strict=True) if x == min(sums)], strict=True)]
+
+
+def test_match_of_very_long_series():
+    """Two hundred thousand rows with half as many left over: rows times rest would be two and a half gigabytes of bits."""
+    rng = np.random.default_rng(7)
+    many = np.sort(rng.uniform(0, 1e6, 300_000))
+    keep = np.sort(rng.choice(300_000, 200_000, replace=False))
+    began = time.monotonic()
+    assert (match(many[keep], many) == keep).all() and time.monotonic() - began < 30
+
+
 def test_match_in_order(spark):
     rng = random.Random(3)
     images = [(g, i, rng.choice([None, *range(40)])) for i, g in enumerate(rng.choice(["a", "b", "c", None]) for _ in range(40))]
