@@ -3,6 +3,7 @@
 import random
 import sqlite3
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,72 @@ def test_live_asof_as_in_batch(rocks, tmp_path):
     assert len(got.keys() - {1000}) == 100
 
 
+class CountedState:
+    """A flight's state in memory, which counts how often it is asked."""
+
+    def __init__(self):
+        self.calls, self.rows, self.value, self.timers = 0, [], None, set()
+
+    def getListState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        state = self
+
+        class Value:
+            get = lambda _: state.count() or state.value
+            update = lambda _, value: state.count() or setattr(state, "value", value)
+            clear = lambda _: state.count() or setattr(state, "value", None)
+
+        return Value()
+
+    def count(self):
+        self.calls += 1
+
+    def appendValue(self, row):
+        self.count()
+        self.rows.append(row)
+
+    def put(self, rows):
+        self.count()
+        self.rows = rows
+
+    def get(self):
+        self.count()
+        return iter(self.rows)
+
+    def clear(self):
+        self.put([])
+
+    def registerTimer(self, at):
+        self.count()
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.count()
+        self.timers.discard(at)
+
+
+@pytest.mark.parametrize("processor", [stateful.GapFiller(10, 1000), stateful.NextKey(200)])
+def test_state_is_asked_by_the_piece_not_by_the_row(processor):
+    rng, state = random.Random(3), CountedState()
+    rows = pd.DataFrame([(i * 20, i % 2, i if i % 2 else 0, 1.0 * i, 2.0 * i, True) for i in range(4000)], columns=["ts_ms", "kind", "probe", "lat", "lon", "recording"])
+    rows = rows.sample(frac=1, random_state=rng.randint(0, 99))
+    clock = lambda now: type("Clock", (), {"getCurrentWatermarkInMs": lambda _: now})()
+    processor.init(state)
+    out = list(processor.handleInputRows((1,), iter([rows[:3000], rows[3000:]]), clock(-1)))
+    assert not out and len(state.timers) == 1
+    for now in (40_000, 1_000_000):
+        state.timers.clear()  # it fires
+        out += list(processor.handleExpiredTimer((1,), clock(now), None))
+    found = pd.concat(out)
+    if "probe" in found:
+        assert sorted(found["probe"]) == list(range(1, 4000, 2)) and (found["match_ts_ms"] - found["ts_ms"]).dropna().eq(20).all()
+    else:
+        assert sorted(found["ts_ms"]) == list(range(0, 79_981, 10)) and (found["lat"] == found["ts_ms"] / 20).all()
+    assert state.calls < 30 and not state.rows and state.value is None and not state.timers
+
+
 def test_the_state_store_is_asked_for(spark):
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     with pytest.raises(ValueError, match="RocksDB"):
