@@ -6,6 +6,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
+from fieldgeo.llm import quality
 from fieldgeo.llm.common import table, words_of
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, part string, keep int, n_lines string, __id long, row double"
@@ -112,6 +113,22 @@ def test_stages_against_brute_force(spark, folder):
     assert stages["lines"](spark, frame.drop("n_chars"), folder).columns == [c for c in docs.columns if c != "n_chars"]
 
 
+def test_quality_stage_learns_from_all_trusted_rows(spark, tmp_path, monkeypatch):
+    """Every byte of every trusted document is counted, of more documents than the sample took, and all of them set the limits."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(3, 12))), rng.choice(["en", "fr"])) for i in range(8_000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 8 > 0)) for i, *_ in rows], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    trusted, counted, limited = [r for r in rows if r[0] % 8 > 0], [], []
+    count, limits = quality.count_ngrams, quality.limits_of
+    monkeypatch.setattr(quality, "count_ngrams", lambda *a: (counted.append(sum(r["c"] for r in count(*a).collect())), count(*a))[1])
+    monkeypatch.setattr(quality, "limits_of", lambda scored, *a, **k: (limited.append((scored.count(), scored.where("own").count())), limits(scored, *a, **k))[1])
+    corpus_pipeline.quality_stage(spark, table(spark, str(tmp_path), "documents"), str(tmp_path)).count()
+    assert counted == [sum(len(t) + 1 for _, t, _ in trusted)]
+    assert limited == [(len(trusted), 0)] * 2
+
+
 def test_run_packs_what_the_stages_keep(spark, folder):
     from public_tokenizers import path
     from tokenizers import Tokenizer
