@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from fieldgeo.functions import rings
+from fieldgeo.functions import overlap, rings
 from fieldgeo.operators import imaging, spatial
 
 
@@ -79,3 +79,19 @@ def test_rows_out_of_reach_get_no_leaves(spark):
 def test_heavy_rows_are_dealt_over_cores(spark, sf):
     for name in ("ring_measures", "utm_rings"):
         assert entry.queries()[name](spark, sf).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_points_on_polygons_edges_are_tested_without_a_copy_on_disk(spark, monkeypatch):
+    """Rows on their way to a function's column are kept, on disk where they are many; points take another way, whether the cells are held by each task or joined."""
+    at = lambda i, n: (F.col("id") * i % n / 7 - 9).alias("x" if n > 900 else "y")
+    points = spark.range(20_000).select(at(13, 1009), at(29, 401), F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"))
+    c = F.col("id") % 40
+    ring = F.array(*[rings.point(c * u + v, (c % 9) * w) for u, v, w in ((0.5, 0, 1), (1.0, 20, -1), (1.0, 21.5, 6), (0.5, 3, 2), (0.5, -4, 7))])
+    fields = spark.range(60).select(F.col("id").alias("field_id"), ring.alias("ring"))
+    want = {r["field_id"]: (r["n"], r["v"]) for r in spatial.assign_plot(points, fields, 0.5).groupBy("field_id").agg(F.count("*").alias("n"), F.sum("v").alias("v")).collect()}
+    monkeypatch.setattr(overlap, "PAIRS_AT_ONCE", 1 << 10)
+    for held in (0, 1 << 20):
+        tally = spatial.tally_plots(points, fields, 0.5, "field_id", ["v"], held_edges=held)
+        plan = tally._jdf.queryExecution().executedPlan().toString()
+        assert all("cells(" in line for line in plan.splitlines() if "ArrowEvalPython" in line)
+        assert {r["field_id"]: (r["n"], r["sum_v"]) for r in tally.collect()} == want and len(want) > 30
