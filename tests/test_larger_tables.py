@@ -95,3 +95,18 @@ def test_points_on_polygons_edges_are_tested_without_a_copy_on_disk(spark, monke
         plan = tally._jdf.queryExecution().executedPlan().toString()
         assert all("cells(" in line for line in plan.splitlines() if "ArrowEvalPython" in line)
         assert {r["field_id"]: (r["n"], r["sum_v"]) for r in tally.collect()} == want and len(want) > 30
+
+
+def test_many_rows_of_equal_rings_are_dealt_over_cores(spark):
+    """2.1 million pairs of a few different rings: as many rows as there should be, of which no task makes most; nulls in rows stay."""
+    box = lambda u: rings.box_ring(u, F.lit(0.0), u + 2.0, F.lit(2.0))
+    i = F.col("id")
+    a = spark.range(3000).select(i.alias("a"), F.when(i % 4 > 0, i % 7).alias("tag"), box((i % 2) * 50.0).alias("ring_a"))
+    b = spark.range(1400).select(F.when(i % 5 > 0, i).alias("b"), box((i % 2) * 50.0 + 0.5).alias("ring_b"))
+    got = spatial.overlap_join(a, b, 1.0, digits=1).withColumn("task", F.spark_partition_id()).cache()
+    assert got.count() == 3000 * 700 and {r[0] for r in got.select("overlap_pct").distinct().collect()} == {75.0}
+    assert max(r["count"] for r in got.groupBy("task").count().collect()) < 3000 * 700 / 2
+    ids = lambda rows, key: {(r[key], r["n"]) for r in rows.groupBy(key).agg(F.count("*").alias("n")).collect()}
+    assert ids(got, "a") == {(k, 700) for k in range(3000)} and ids(got, "b") == {(k, 1500) for k in range(1400) if k % 5} | {(None, 280 * 1500)}
+    assert ids(got, "tag") == {(k, n * 700) for k, n in ids(a, "tag")} and got.where("ring_a[0].x + 0.5 <> ring_b[0].x").count() == 0
+    got.unpersist()
