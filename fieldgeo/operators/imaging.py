@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, rings, text
+from . import relational
 
 
 def validate_sets(images: DataFrame, n: int = 5, min_size: int = 2_097_152, stem: str = "stem", size: str = "size") -> DataFrame:
@@ -128,14 +129,18 @@ def project_points(points: DataFrame, cameras: DataFrame, key: str = "idx", stri
     cameras: image, width, height and the 12 numbers m11..m34 row by row. Points are put into the leaves of an octree; each camera goes down the
     tree and drops every node that its frame rules out, by the least and greatest value of linear functions over the node's
     box. Points and cameras then meet by equality on the leaf, and are projected exactly. A point with a null coordinate is in no image. Equal cameras are
-    projected once, and what they see is joined with their images.
+    projected once, and what they see is joined with their images; where these are many, pack by pack.
     """
     real = points.where("x is not null and y is not null and z is not null")
     named = cameras.withColumn("__shape", F.unhex(F.md5(F.struct("width", "height", *MATRIX).cast("string").cast("binary"))))
     firsts = named.groupBy("__shape").agg(F.first(F.struct("width", "height", *MATRIX)).alias("__f")).select(F.col("__shape").alias("image"), "__f.*")
     seen = projected(real, firsts, Octree.of(real, node_points), key, strict)
     columns = ["image", *[c for c in seen.columns if c != "image"]]
-    return seen.withColumnRenamed("image", "__shape").join(named.select("__shape", "image"), "__shape").select(*columns)
+    seen, named = seen.withColumnRenamed("image", "__shape"), named.select("__shape", "image")
+    if (named.groupBy("__shape").count().agg(F.max("count")).first()[0] or 0) < relational.PACK:
+        return seen.join(named, "__shape").select(*columns)
+    packs = math.ceil(max(real.count(), 1) / (4 * relational.PACK))  # a point is seen once at most by a camera
+    return relational.with_all_rows(named.select("__shape").distinct(), seen, "__shape", named, "__shape", packs).select(*columns)
 
 
 def tried_pairs(points: DataFrame, cameras: DataFrame, tree: Octree) -> DataFrame:

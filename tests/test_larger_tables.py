@@ -110,3 +110,12 @@ def test_many_rows_of_equal_rings_are_dealt_over_cores(spark):
     assert ids(got, "a") == {(k, 700) for k in range(3000)} and ids(got, "b") == {(k, 1500) for k in range(1400) if k % 5} | {(None, 280 * 1500)}
     assert ids(got, "tag") == {(k, n * 700) for k, n in ids(a, "tag")} and got.where("ring_a[0].x + 0.5 <> ring_b[0].x").count() == 0
     got.unpersist()
+
+
+def test_what_many_equal_cameras_see_is_dealt_over_cores(spark, tmp_path):
+    """9,000 cameras of 30 kinds: the rows of the SQL, most of which come from no one task."""
+    points = pa.table({"vec_id": list(range(150)), "embedding": pa.array([[i * 37 % 150 / 200 - 0.35, i * 53 % 150 / 200 - 0.35, i % 9 / 20, 0.0, 0.0, 0.0] for i in range(150)], pa.list_(pa.float32())), "label": [0] * 150})
+    got, want = against_sql(spark, tmp_path, "culled_points", supplier={"s_suppkey": pa.array(range(9000), pa.int64())}, embeddings=points)
+    assert got == want and len(got) > 100_000
+    tasks = entry.queries()["culled_points"](spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < len(got) / 2
